@@ -36,5 +36,5 @@ def build_if_name(fpc: str | Column, pic: str | Column, port: str | Column, plat
     hint = F.lower(_col(platform))
     matches = [F.when(hint.contains(key), F.lit(prefix)) for key, prefix in C.PLATFORM_PREFIXES.items()]
     prefix = F.coalesce(*matches, F.lit(C.DEFAULT_PREFIX))
-    parts = [_col(p).cast("string") for p in (fpc, pic, port)]
-    return F.concat(prefix, F.lit("-"), F.concat_ws("/", *parts))
+    fpc, pic, port = (_col(p).cast("string") for p in (fpc, pic, port))
+    return F.concat(prefix, F.lit("-"), fpc, F.lit("/"), pic, F.lit("/"), port)

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # dt and hr are strings: without this hr=05 reads back as the number 5.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # A repeated slot, port or bin within one reply replaces the earlier one.
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
 
 GROUP_ROWS_SETTING = "spark.opticlake.maxGroupRows"
