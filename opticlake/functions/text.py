@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from opticlake import constants as C
 
-_DIGITS = r"\d+(_\d+)*"
-_DECIMAL = rf"^[+-]?({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?$"
-_NOT_FINITE = r"(?i)^[+-]?(inf|infinity|nan)$"
-_INTEGER = rf"^[+-]?{_DIGITS}$"
+_DIGITS = r"\d++(?:_\d++)*+"
+_DECIMAL = rf"[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+_NOT_FINITE = r"(?i)(?:[+-]?inf(?:inity)?|nan)"
+_INTEGER = rf"[+-]?{_DIGITS}"
+_WHOLE, _FIRST_WORD = r"\s*$", r"(?:\s|$)"
 
 
 def _col(c: str | Column) -> Column:
@@ -22,31 +23,34 @@ def filled(c: str | Column) -> Column:
     return F.nullif(_col(c), F.lit(""))
 
 
+def _number(c: Column, end: str) -> Column:
+    """The number at the start of the text, if `end` follows. One pattern both finds and checks it:
+    Java's `2f` and `1.0d` are no numbers, `1_000` is one."""
+    digits = F.replace(F.regexp_extract(c, rf"^\s*({_DECIMAL}){end}", 1), F.lit("_"), F.lit(""))
+    other = F.regexp_extract(c, rf"^\s*({_NOT_FINITE}){end}", 1)
+    return F.coalesce(digits.try_cast("double"), other.try_cast("double"))
+
+
 def parse_number(c: str | Column) -> Column:
-    """A whole text as double. Java's `2f` and `1.0d` are not numbers; `1_000` is."""
-    c = F.trim(_col(c))
-    bare = F.replace(c, F.lit("_"), F.lit(""))
-    return (
-        F.when(c.rlike(_DECIMAL), bare.try_cast("double"))
-        .when(c.rlike(_NOT_FINITE), F.regexp_replace(F.lower(c), r"^[+-]nan$", "nan").try_cast("double"))
-    )
+    """A whole text as double, blanks around it ignored."""
+    return _number(_col(c), _WHOLE)
 
 
 def parse_int(c: str | Column) -> Column:
     """A whole text as int, NULL where it is not one."""
-    c = F.trim(_col(c))
-    return F.when(c.rlike(_INTEGER), F.replace(c, F.lit("_"), F.lit("")).try_cast("int"))
+    digits = F.regexp_extract(_col(c), rf"^\s*({_INTEGER}){_WHOLE}", 1)
+    return F.replace(digits, F.lit("_"), F.lit("")).try_cast("int")
 
 
 def parse_numeric_units(c: str | Column, default: float | None = None) -> Column:
     """First blank-separated word as double: `3.25 V` is 3.25, `- Inf` is NULL."""
-    number = parse_number(F.regexp_extract(_col(c), r"^\s*(\S+)", 1))
+    number = _number(_col(c), _FIRST_WORD)
     return number if default is None else F.coalesce(number, F.lit(float(default)))
 
 
 def parse_numeric_commas(c: str | Column) -> Column:
     """Whole text as double with thousands commas removed; a unit makes it NULL."""
-    return parse_number(F.replace(F.trim(_col(c)), F.lit(","), F.lit("")))
+    return parse_number(F.replace(_col(c), F.lit(","), F.lit("")))
 
 
 def parse_speed_bps(c: str | Column) -> Column:

@@ -69,10 +69,16 @@ def find_elements(root: Column, schema: T.StructType, paths: list[list[str]]) ->
 
 def namespace_agnostic_tags(docs: DataFrame, schema: T.StructType) -> DataFrame:
     """Replies parsed to a `reply` struct with namespaces and prefixes ignored."""
-    # The generator keeps later filters above the parse, so each reply is parsed once.
+    # A generator output is neither inlined nor filtered below, so each reply is parsed once.
     return docs.select("*", F.explode(F.array(parse_reply("xml", schema))).alias("reply"))
 
 
+def found_elements(docs: DataFrame, schema: T.StructType, paths: list[list[str]]) -> tuple[DataFrame, Column]:
+    """Parsed replies without their text, and the array of elements found in each."""
+    parsed = namespace_agnostic_tags(docs, schema).drop("xml")
+    return parsed, find_elements(F.col("reply"), schema, paths)
+
+
 def quarantine_malformed(docs: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(replies that parse, rejects with the reason); no reply stops the job."""
     parsed = namespace_agnostic_tags(docs, schema)
@@ -86,8 +92,8 @@ def quarantine_malformed(docs: DataFrame, schema: T.StructType) -> tuple[DataFra
 def interface_elements(docs: DataFrame, schema: T.StructType, keep: list[str] | None = None,
                        unnamed: str | None = None) -> DataFrame:
     """One row per physical interface, with its name chosen and filtered before any number is read."""
-    found = find_elements(parse_reply("xml", schema), schema, S.INTERFACE_PATHS)
-    rows = docs.select(*[c for c in docs.columns if c != "xml"], F.explode(found).alias("pi"))
+    parsed, found = found_elements(docs, schema, S.INTERFACE_PATHS)
+    rows = parsed.select("*", F.explode(found).alias("pi")).drop("reply")
     name = first_text(F.col("pi"), "name")
     rows = rows.withColumn("if_name", F.coalesce(name, F.lit(unnamed)) if unnamed else name)
     if unnamed is None:
@@ -194,8 +200,8 @@ def extract_by_mapping(docs: DataFrame, mapping: list[str], row_path: str) -> Da
         fields += leaf
     schema = S.reply(S.INTERFACE_PATHS, S.merge_fields(fields))
 
-    found = find_elements(parse_reply("xml", schema), schema, S.INTERFACE_PATHS)
-    rows = docs.select(*_keys(docs), F.explode(found).alias("pi"))
+    parsed, found = found_elements(docs, schema, S.INTERFACE_PATHS)
+    rows = parsed.select(*_keys(docs), F.explode(found).alias("pi"))
     rows = drop_unavailable_optics(rows).drop("diag")
     node = F.get(F.col("pi")[depth[0]], F.lit(0)) if depth else F.col("pi")
     for tag in depth[1:]:
@@ -314,8 +320,8 @@ def extract_system_info(docs: DataFrame) -> DataFrame:
 
 
 def _chassis(docs: DataFrame) -> DataFrame:
-    found = find_elements(parse_reply("xml", S.CHASSIS_REPLY), S.CHASSIS_REPLY, S.CHASSIS_PATHS)
-    return docs.select(*[c for c in docs.columns if c != "xml"], F.explode(F.array(found)).alias("chassis"))
+    parsed, found = found_elements(docs, S.CHASSIS_REPLY, S.CHASSIS_PATHS)
+    return parsed.select("*", F.explode(F.array(found)).alias("chassis")).drop("reply")
 
 
 def _named(nodes: Column, test: Callable[[Column], Column]) -> Column:
@@ -389,10 +395,10 @@ def extract_pic_ports(docs: DataFrame, platform: str | Column | None = None) ->
     def described(node: Column) -> Column:
         return F.coalesce(*[cleaned(node, f) for f in C.PORT_TAGS], fiber(node)).isNotNull()
 
-    found = find_elements(parse_reply("xml", S.PORT_REPLY), S.PORT_REPLY, S.PORT_PATHS)
+    parsed, found = found_elements(docs, S.PORT_REPLY, S.PORT_PATHS)
     kept = F.filter(found, lambda p: first_text(p, "port-number").isNotNull() & described(p))
     by_number = F.map_from_entries(F.transform(kept, lambda p: F.struct(first_text(p, "port-number"), p)))
-    rows = docs.select(*[c for c in docs.columns if c != "xml"], F.explode(by_number).alias("port", "p"))
+    rows = parsed.select("*", F.explode(by_number).alias("port", "p")).drop("reply")
     port = F.col("p")
     values = {f: cleaned(port, f) for f in C.PORT_TAGS}
     values["media_type"] = values["cable_type"]
