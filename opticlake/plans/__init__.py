@@ -1,6 +1,6 @@
 from importlib import import_module
 
-MODULES = ["extraction"]
+MODULES = ["collection", "extraction", "values"]
 
 
 def load_all() -> None:
