@@ -1,6 +1,6 @@
 from importlib import import_module
 
-MODULES = ["collection", "extraction", "values"]
+MODULES = ["collection", "extraction", "values", "relations", "trends"]
 
 
 def load_all() -> None:

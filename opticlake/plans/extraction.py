@@ -235,13 +235,12 @@ def quarantine_malformed(spark, sf):
 
 
 @query("namespace_agnostic_tags", """
-    select device, order_key % 16 = 1 as prefixed, count(*) as replies
-    from t_lanes where order_key % 16 in (1, 12) group by all""")
+    select device, order_key % 16 = 1 as prefixed, cast(sum(case when order_key % 16 in (0, 11) then 0 else 2 end)
+             as bigint) as interfaces, count(*) as replies
+    from t_lanes group by all""")
 def namespace_agnostic_tags(spark, sf):
     # Replies with and without prefixes, read through the same schema.
-    docs = V.optics_docs(spark, sf).where(F.expr("cast(path as bigint) % 16 in (1, 12)"))
-    parsed = X.namespace_agnostic_tags(docs, S.OPTICS_LANE_REPLY)
+    parsed = X.namespace_agnostic_tags(V.optics_docs(spark, sf), S.OPTICS_LANE_REPLY)
     found = X.find_elements(F.col("reply"), S.OPTICS_LANE_REPLY, S.INTERFACE_PATHS)
-    return parsed.where(F.size(found) == 2).groupBy(
-        "device", F.col("xml").contains("<p:physical-interface>").alias("prefixed")
-    ).agg(F.count("*").alias("replies"))
+    return parsed.groupBy("device", F.startswith("xml", F.lit("<p:")).alias("prefixed")).agg(
+        F.sum(F.coalesce(F.size(found), F.lit(0))).alias("interfaces"), F.count("*").alias("replies"))
