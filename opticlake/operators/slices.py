@@ -18,7 +18,10 @@ from opticlake.session import group_limit, heaviest_group
 SLICE, CARRY = "_slice", "_carry"
 # Day, hour, ten minutes, minute, ten seconds, second.
 WIDTHS = [86_400, 3_600, 600, 60, 10, 1]
+# The sketch is off by at most rows / accuracy ranks. A bracket is wider than that by one rank or more,
+# from these group sizes on; smaller groups use their whole range.
 SKETCH_ACCURACY = 100_000
+SLACKS = [(1_000_000, 2.0 / SKETCH_ACCURACY), (1_000, 0.004)]
 
 
 @dataclass(frozen=True)
@@ -145,19 +148,24 @@ def exact_percentiles(df: DataFrame, by: list[str], value: str, shares: list[flo
         pairs = F.arrays_zip(listed.alias("share"), F.col("_q").alias("quantile"))
         return found.select(*by, F.inline(pairs).alias("share", "quantile"))
 
-    slack = 2.0 / SKETCH_ACCURACY
-    ends = [max(0.0, p - slack) for p in shares] + [min(1.0, p + slack) for p in shares]
+    ends = [min(1.0, max(0.0, p + side * slack)) for p in shares for _, slack in SLACKS for side in (-1, 1)]
     sketch = rows.groupBy(*by).agg(
         F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
         F.approx_percentile("_v", ends, SKETCH_ACCURACY).alias("_ends"),
     )
-    k = len(shares)
+
+    def end(share: int, side: int, outer: str) -> Column:
+        value = F.col(outer)
+        for level, (rows_from, slack) in reversed(list(enumerate(SLACKS))):
+            inside = 0.0 < shares[share] + (2 * side - 1) * slack < 1.0
+            at = F.get("_ends", F.lit((share * len(SLACKS) + level) * 2 + side)) if inside else F.col(outer)
+            value = F.when(F.col("_n") >= rows_from, at).otherwise(value)
+        return value
+
     brackets = F.array(*[
         F.struct(
-            F.lit(float(p)).alias("share"),
-            (F.lit(float(p)) * (F.col("_n") - 1)).alias("rank"),
-            (F.col("_min") if ends[i] == 0.0 else F.get("_ends", F.lit(i))).alias("low"),
-            (F.col("_max") if ends[k + i] == 1.0 else F.get("_ends", F.lit(k + i))).alias("high"),
+            F.lit(float(p)).alias("share"), (F.lit(float(p)) * (F.col("_n") - 1)).alias("rank"),
+            end(i, 0, "_min").alias("low"), end(i, 1, "_max").alias("high"),
         )
         for i, p in enumerate(shares)
     ])

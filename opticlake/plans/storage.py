@@ -54,7 +54,9 @@ def _named(docs, suffix):
 @query("scan_rpc_docs", f"""
     select device, 'system_information' as rpc, cast(7 as bigint) as run_timestamp, origin_hostname, os_version
     from ({_SYSTEM})
-    union all select device, 'chassis_inventory', 7, null, null from t_devices""")
+    union all
+    -- A file without a byte holds no reply: the file scan does not list it.
+    select device, 'chassis_inventory', 7, null, null from t_devices where s_suppkey % 13 <> 11""")
 def scan_rpc_docs(spark, sf):
     folder = scratch(spark, "replies")
     files = _named(V.system_docs(spark, sf), "raw.xml").unionByName(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -64,6 +65,8 @@ def main() -> int:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     names = sys.argv[2:] or list(E.queries())
     spark, con, bad = make_session(), connect(sf), 0
+    if "GROUP_ROWS" in os.environ:
+        spark.conf.set("spark.opticlake.maxGroupRows", os.environ["GROUP_ROWS"])
     for name in names:
         start = time.time()
         try:
