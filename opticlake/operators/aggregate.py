@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opticlake.operators.slices import exact_percentiles
+from opticlake.operators.slices import group_quantiles
+
+SPREAD = {"p50": 0.5, "p95": 0.95}
 
 
 def run_summary(bundle: dict[str, DataFrame], failed: DataFrame) -> DataFrame:
@@ -109,31 +111,13 @@ def correlate_fec_optics(frame: DataFrame, by: list[str], pairs: list[tuple[str,
     return frame.groupBy(*by).agg(*aggregates)
 
 
-def _spread(df: DataFrame, by: list[str], metric: str) -> DataFrame:
-    """p50 and p95 as columns."""
-    long = exact_percentiles(df, by, metric, [0.5, 0.95])
-    return long.groupBy(*by).agg(
-        F.max(F.when(F.col("share") == 0.5, F.col("quantile"))).alias(f"{metric}_p50"),
-        F.max(F.when(F.col("share") == 0.95, F.col("quantile"))).alias(f"{metric}_p95"),
-    )
-
-
-def _beside(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
-    """Left join whose keys may be NULL."""
-    renamed = right.select(*[F.col(c).alias(f"_{c}") if c in by else F.col(c) for c in right.columns])
-    return left.join(renamed, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by], "left").drop(*[f"_{c}" for c in by])
-
-
 def rma_comparison(df: DataFrame, events: DataFrame, metrics: list[str], ts: str = "ts") -> DataFrame:
     """Mean, p50, p95 and count per device before and from its event on, and the change of the mean."""
     rows = df.join(events.select("device", "event_time"), "device")
     rows = rows.withColumn("phase", F.when(F.col(ts) < F.col("event_time"), "before").otherwise("after"))
     by = ["device", "phase"]
-    out = rows.groupBy(*by).agg(*[
-        e for m in metrics for e in (F.count(m).alias(f"{m}_count"), F.avg(m).alias(f"{m}_mean"))
-    ])
-    for m in metrics:
-        out = out.join(_spread(rows, by, m), by, "left")
+    means = [e for m in metrics for e in (F.count(m).alias(f"{m}_count"), F.avg(m).alias(f"{m}_mean"))]
+    out = group_quantiles(rows, by, metrics, SPREAD, extra=means)
     values = [c for c in out.columns if c not in by]
     wide = out.groupBy("device").agg(*[
         F.max(F.when(F.col("phase") == phase, F.col(v))).alias(f"{phase}_{v}")
@@ -152,10 +136,6 @@ def vendor_fleet_stats(frame: DataFrame, metrics: list[str], by: list[str] = ("v
     aggregates += [F.avg(m).alias(f"{m}_mean") for m in metrics]
     if approximate:
         for m in metrics:
-            aggregates += [F.approx_percentile(m, p).alias(f"{m}_p{round(p * 100)}") for p in (0.5, 0.95)]
+            aggregates += [F.approx_percentile(m, p).alias(f"{m}_{name}") for name, p in SPREAD.items()]
         return frame.groupBy(*by).agg(*aggregates)
-    out = frame.groupBy(*by).agg(*aggregates)
-    for m in metrics:
-        out = _beside(out, _spread(frame, by, m), by)
-    return out
-
+    return group_quantiles(frame, by, metrics, SPREAD, extra=aggregates)

@@ -12,21 +12,16 @@ from pyspark.sql import functions as F
 
 from opticlake import constants as C
 from opticlake.functions import filled, normalize_if_name
+from opticlake.operators.joins import join_per_key, unique_per_key
 
 BASE = "_base"
 DEVICE_FACTS = ["origin_hostname", "device_profile", "origin_name", "inventory_instance"]
 
 
-def unique_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One whole row per key: the largest, whatever order the rows come in."""
-    values = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.max(F.struct(*values)).alias("_v")).select(*keys, "_v.*")
-
-
 def _fill_from(df: DataFrame, right: DataFrame, keys: list[str], columns: list[str], keep_old: bool = False) -> DataFrame:
     """Left join; a non-empty new value replaces the old one, or the reverse with `keep_old`."""
     extra = right.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns])
-    joined = df.join(extra, keys, "left")
+    joined = join_per_key(df, extra, keys)
     merged = {}
     for c in columns:
         new = filled(f"_new_{c}")
@@ -64,7 +59,7 @@ def channel_fanout(df: DataFrame, xcvr: DataFrame, on: list[str] = ("device",))
     """Every channel `et-x:0..n` gets the row of its one transceiver; the row count stays."""
     values = [c for c in xcvr.columns if c not in (*on, "if_name")]
     right = unique_per_key(xcvr.select(*on, F.col("if_name").alias(BASE), *values), [*on, BASE])
-    return df.withColumn(BASE, normalize_if_name("if_name")).join(right, [*on, BASE], "left").drop(BASE)
+    return join_per_key(df.withColumn(BASE, normalize_if_name("if_name")), right, [*on, BASE]).drop(BASE)
 
 
 def enrich_lake_chassis(df: DataFrame, chassis: DataFrame) -> DataFrame:
@@ -75,7 +70,7 @@ def enrich_lake_chassis(df: DataFrame, chassis: DataFrame) -> DataFrame:
                        F.col("serial_number").alias("_serial")), ["device", BASE])
     own = F.col("part_number") if "part_number" in df.columns else F.lit(None).cast("string")
     rows = df.withColumns({BASE: normalize_if_name("if_name"), "part_number": own})
-    return rows.join(right, ["device", BASE], "left").withColumns({
+    return join_per_key(rows, right, ["device", BASE]).withColumns({
         "part_number": F.coalesce(filled("_part"), "part_number", F.lit("")),
         "serial_number": F.coalesce("_serial", F.lit("")),
     }).drop(BASE, "_part", "_serial")
@@ -126,4 +121,4 @@ def training_frame(interfaces: DataFrame, lanes: DataFrame, counters: DataFrame,
              for name, f in (("min", F.min), ("avg", F.avg), ("max", F.max))]
     per_interface = lanes.groupBy(*keys).agg(*stats, F.count("*").alias("lane_count"))
     only = [c for c in counters.columns if c in keys or c not in interfaces.columns]
-    return interfaces.join(counters.select(*only), list(keys), "left").join(per_interface, list(keys), "left")
+    return join_per_key(interfaces.join(counters.select(*only), list(keys), "left"), per_interface, list(keys))

@@ -20,7 +20,7 @@ def name_list(text: str | Column) -> Column:
 def filter_interfaces(df: DataFrame, names: str | DataFrame | None, on: str = "if_name") -> DataFrame:
     """Keep exact full names, channel included; no list keeps all."""
     if isinstance(names, DataFrame):
-        return df.join(names.select(on).distinct(), on, "left_semi")
+        return df.join(names.select(on), on, "left_semi")
     if not names:
         return df
     return df.where(F.col(on).isin([name.strip() for name in names.split(",")]))
@@ -53,12 +53,9 @@ def split_valid_lanes(lanes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def fail_device_on_missing_name(bundle: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
     """A nameless optics interface removes its device from every dataset; the other devices go on."""
-    failed = (
-        bundle["interfaces"].where(filled("if_name").isNull()).select("device").distinct()
-        .withColumn("error", F.lit("interface name missing"))
-    )
-    names = failed.select("device")
-    return {name: df.join(names, "device", "left_anti") for name, df in bundle.items()}, failed
+    nameless = bundle["interfaces"].where(filled("if_name").isNull()).select("device")
+    failed = nameless.distinct().withColumn("error", F.lit("interface name missing"))
+    return {name: df.join(nameless, "device", "left_anti") for name, df in bundle.items()}, failed
 
 
 def _identity(df: DataFrame, run_timestamp: int | Column | None) -> DataFrame:

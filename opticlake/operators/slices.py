@@ -134,20 +134,34 @@ def own_rows(df: DataFrame) -> DataFrame:
     return df.where(~F.col(CARRY)).drop(SLICE, CARRY)
 
 
+def fits_one_task(df: DataFrame, by: list[str]) -> bool:
+    """Whether the built-in quantile, which holds a group's distinct values, may be used."""
+    return heaviest_group(df, by) <= group_limit(df.sparkSession)
+
+
+def group_quantiles(df: DataFrame, by: list[str], metrics: list[str], shares: dict[str, float],
+                    fits: bool | None = None, extra: list[Column] = ()) -> DataFrame:
+    """One row per group: exact quantiles `<metric>_<name>`, and other aggregates in the same pass."""
+    if fits_one_task(df, by) if fits is None else fits:
+        return df.groupBy(*by).agg(*extra, *[
+            F.percentile(m, float(p)).alias(f"{m}_{name}") for m in metrics for name, p in shares.items()])
+    out = df.groupBy(*by).agg(*(extra or [F.count("*").alias("_n")]))
+    out = out if extra else out.drop("_n")
+    for m in metrics:
+        long = exact_percentiles(df, by, m, list(shares.values()))
+        wide = long.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(*[
+            F.max(F.when(F.col("share") == p, F.col("quantile"))).alias(f"{m}_{name}") for name, p in shares.items()])
+        out = out.join(wide, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by], "left").drop(*[f"_{c}" for c in by])
+    return out
+
+
 def exact_percentiles(df: DataFrame, by: list[str], value: str, shares: list[float]) -> DataFrame:
-    """(by..., share, quantile): interpolated quantiles of one column per group.
+    """(by..., share, quantile): interpolated quantiles of one column, for groups of any size.
 
-    Small groups use the built-in aggregate, which holds a group's distinct
-    values. For large ones a mergeable sketch brackets each quantile; only the
-    values inside the bracket are counted and ranked, so the answer is exact.
+    A mergeable sketch brackets each quantile; only the values inside the
+    bracket are counted and ranked, so the answer is exact.
     """
     rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    if heaviest_group(rows, by) <= group_limit(df.sparkSession):
-        listed = F.array(*[F.lit(float(p)) for p in shares])
-        found = rows.groupBy(*by).agg(F.percentile("_v", listed).alias("_q"))
-        pairs = F.arrays_zip(listed.alias("share"), F.col("_q").alias("quantile"))
-        return found.select(*by, F.inline(pairs).alias("share", "quantile"))
-
     ends = [min(1.0, max(0.0, p + side * slack)) for p in shares for _, slack in SLACKS for side in (-1, 1)]
     sketch = rows.groupBy(*by).agg(
         F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),

@@ -11,8 +11,10 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opticlake.operators.joins import join_per_key
 from opticlake.operators.slices import (
-    exact_percentiles,
+    fits_one_task,
+    group_quantiles,
     own_rows,
     series,
     with_next,
@@ -100,7 +102,7 @@ def failure_label(df: DataFrame, horizon: int, delta: str = "fec_nccw_delta", ke
     after = s.time_window(descending=True).rangeBetween(Window.unboundedPreceding, -1)
     rows = own_rows(with_next(s, hit).withColumn("_next", F.min(F.when(hit, F.col(ts))).over(after)))
     last = df.groupBy(*keys).agg(F.max(ts).alias("_last"))
-    rows = rows.join(last, keys)
+    rows = join_per_key(rows, last, keys, "inner")
     end = F.col(ts) + horizon
     label = F.when(F.col("_next") <= end, 1).when(end <= F.col("_last"), 0)
     return rows.withColumn("failure_label", label).drop("_next", "_last")
@@ -114,14 +116,15 @@ def anomaly_score(df: DataFrame, metrics: list[str], method: str = "zscore", key
     if method == "zscore":
         centres = df.groupBy(*keys).agg(
             *[f(m).alias(f"_{kind}_{m}") for m in metrics for kind, f in (("c", F.avg), ("s", F.stddev_pop))])
-        rows = df.join(centres, keys)
+        rows = join_per_key(df, centres, keys, "inner")
     elif method == "mad":
-        rows = df
-        for m in metrics:
-            rows = rows.join(_medians(df, keys, m, f"_c_{m}"), keys, "left")
-            apart = rows.withColumn(f"_d_{m}", F.abs(F.col(m) - F.col(f"_c_{m}")))
-            spread = _medians(apart, keys, f"_d_{m}", f"_s_{m}")
-            rows = rows.join(spread.withColumn(f"_s_{m}", F.col(f"_s_{m}") * 1.4826), keys, "left")
+        fits = fits_one_task(df, keys)
+        centres = group_quantiles(df, keys, metrics, {"median": 0.5}, fits)
+        rows = join_per_key(df, centres, keys).withColumnsRenamed({f"{m}_median": f"_c_{m}" for m in metrics})
+        apart = rows.select(*keys, *[F.abs(F.col(m) - F.col(f"_c_{m}")).alias(m) for m in metrics])
+        spread = group_quantiles(apart, keys, metrics, {"median": 0.5}, fits)
+        rows = join_per_key(rows, spread.select(
+            *keys, *[(F.col(f"{m}_median") * 1.4826).alias(f"_s_{m}") for m in metrics]), keys)
     else:
         raise ValueError(f"unknown method {method!r}: use 'zscore' or 'mad'")
     scores = {
@@ -133,10 +136,6 @@ def anomaly_score(df: DataFrame, metrics: list[str], method: str = "zscore", key
     return rows.withColumn("anomaly_score", worst).drop(*[f"_{k}_{m}" for m in metrics for k in "cs"])
 
 
-def _medians(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    return exact_percentiles(df, keys, value, [0.5]).select(*keys, F.col("quantile").alias(name))
-
-
 def severity(value: Column, high_alarm: Column, low_alarm: Column, high_warn: Column, low_warn: Column) -> Column:
     """2 Alarm, 1 Warning, 0 OK, NULL without a value; missing bounds do not count."""
 

@@ -127,11 +127,12 @@ def retention_plan(spark: SparkSession, table: str, days: int, as_of: str) -> Da
 
 
 def drop_expired(spark: SparkSession, table: str, plan: DataFrame) -> int:
-    """Drop the partitions a plan marks; the plan is a listing of folders, hours in number."""
-    expired = [r["dt"] for r in plan.where(F.col("action") == "expire").select("dt").distinct().collect()]
-    for dt in expired:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (dt='{dt}')")
-    return len(expired)
+    """Drop the partitions a plan marks from the table; the plan is a listing of folders, one row per hour."""
+    expired = [r["partition"] for r in plan.where(F.col("action") == "expire").select("partition").collect()]
+    specs = [", ".join("{}='{}'".format(*part.split("=", 1)) for part in name.split("/")) for name in expired]
+    if specs:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(f"PARTITION ({spec})" for spec in specs))
+    return len(specs)
 
 
 def validate_lake(df: DataFrame, schema: T.StructType, keys: list[str], counters: list[str] = (),
