@@ -60,18 +60,21 @@ def metric_coverage(stats: DataFrame, bins: DataFrame) -> DataFrame:
 
 
 def rollup_hourly_daily(df: DataFrame, metrics: list[str], keys: list[str] = ("device", "if_name"),
-                        ts: str = "ts", tiebreak: list[str] = ()) -> DataFrame:
-    """count, min, avg, max and last per metric by hour and by day.
+                        ts: str = "ts", order: str | None = None) -> DataFrame:
+    """count, min, avg, max and last per metric by hour and by day; `order` is a finer time to find the last by.
 
     Days are summed from the hours, so the samples are read and shuffled once.
+    Every aggregate keeps plain numbers, so all of it hashes and nothing is sorted.
     """
-    at = F.struct(ts, *tiebreak)
+    def last(m: str):
+        at = F.when(F.col(m).isNotNull(), F.col(order or ts))
+        return F.max_by(m, at).alias(f"{m}_last"), F.max(at).alias(f"{m}_at")
+
     hour = F.floor(F.col(ts) / 3600) * 3600
     hourly = df.groupBy(*keys, hour.alias("bucket")).agg(*[
         e for m in metrics for e in (
             F.count(m).alias(f"{m}_count"), F.min(m).alias(f"{m}_min"), F.max(m).alias(f"{m}_max"),
-            F.sum(F.col(m).cast("double")).alias(f"{m}_sum"),
-            F.max(F.when(F.col(m).isNotNull(), F.struct(at.alias("at"), F.col(m).alias("v")))).alias(f"{m}_last"),
+            F.sum(F.col(m).cast("double")).alias(f"{m}_sum"), *last(m),
         )
     ])
     levels = F.array(
@@ -83,14 +86,14 @@ def rollup_hourly_daily(df: DataFrame, metrics: list[str], keys: list[str] = ("d
         e for m in metrics for e in (
             F.sum(f"{m}_count").alias(f"{m}_count"), F.min(f"{m}_min").alias(f"{m}_min"),
             F.max(f"{m}_max").alias(f"{m}_max"), F.sum(f"{m}_sum").alias(f"_{m}_sum"),
-            F.max(f"{m}_last").alias(f"_{m}_last"),
+            F.max_by(f"{m}_last", f"{m}_at").alias(f"{m}_last"),
         )
     ])
     return merged.select(*keys, "level", "start", *[
         e for m in metrics for e in (
             F.col(f"{m}_count"), F.col(f"{m}_min"),
             F.when(F.col(f"{m}_count") > 0, F.col(f"_{m}_sum") / F.col(f"{m}_count")).alias(f"{m}_avg"),
-            F.col(f"{m}_max"), F.col(f"_{m}_last")["v"].alias(f"{m}_last"),
+            F.col(f"{m}_max"), F.col(f"{m}_last"),
         )
     ])
 

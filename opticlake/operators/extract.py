@@ -149,35 +149,47 @@ def _measured(diag: Column, field: str) -> Column:
     return parse_numeric_units(text)
 
 
-def extract_optics_interface(docs: DataFrame, metadata: dict | DataFrame | None = None,
-                             keep: list[str] | None = None) -> DataFrame:
-    """Twenty thresholds and seven measured values per physical interface."""
-    rows = drop_unavailable_optics(interface_elements(docs, S.OPTICS_INTERFACE_REPLY, keep, C.UNNAMED_INTERFACE))
+def optics_elements(docs: DataFrame, keep: list[str] | None = None, schema: T.StructType = S.OPTICS_REPLY) -> DataFrame:
+    """Interfaces with diagnostics as read from the replies: the common part of both optics tables."""
+    rows = drop_unavailable_optics(interface_elements(docs, schema, keep, C.UNNAMED_INTERFACE))
+    return rows.select(*_keys(rows), "if_name", "diag")
+
+
+def optics_interfaces(elements: DataFrame) -> DataFrame:
+    """Twenty thresholds and seven measured values per element."""
     diag = F.col("diag")
-    out = rows.select(
-        *_keys(rows),
+    return elements.select(
+        *_keys(elements),
         "if_name",
         *[parse_numeric_units(F.get(diag[tag], F.lit(0))).alias(f) for f, tag in C.THRESHOLD_TAGS.items()],
         extract_temperature_attr(diag["module-temperature"]).alias("temperature"),
         *[_measured(diag, f).alias(f) for f in C.MEASURED_TAGS],
     )
-    return inject_metadata(out, metadata)
 
 
-def extract_optics_lanes(docs: DataFrame, metadata: dict | DataFrame | None = None,
-                         keep: list[str] | None = None) -> DataFrame:
-    """One row per lane element; a lane without an index is lane 0, a non-integer index is NULL."""
-    rows = drop_unavailable_optics(interface_elements(docs, S.OPTICS_LANE_REPLY, keep, C.UNNAMED_INTERFACE))
-    lanes = rows.select(*_keys(rows), "if_name", F.explode("diag.optics-diagnostics-lane-values").alias("l"))
+def optics_lanes(elements: DataFrame) -> DataFrame:
+    """One row per lane; a lane without an index is lane 0, a non-integer index is NULL."""
+    lanes = elements.select(*_keys(elements), "if_name", F.explode("diag.optics-diagnostics-lane-values").alias("l"))
     lane = F.col("l")
     index = first_text(lane, "lane-index")
-    out = lanes.select(
+    return lanes.select(
         *_keys(lanes),
         "if_name",
         F.when(index.isNull(), 0).otherwise(parse_int(index)).alias("lane"),
         *[parse_numeric_units(F.get(lane[tag], F.lit(0))).alias(f) for f, tag in C.LANE_TAGS.items()],
     )
-    return inject_metadata(out, metadata)
+
+
+def extract_optics_interface(docs: DataFrame, metadata: dict | DataFrame | None = None,
+                             keep: list[str] | None = None) -> DataFrame:
+    """Replies to interface rows; lanes are not read."""
+    return inject_metadata(optics_interfaces(optics_elements(docs, keep, S.OPTICS_INTERFACE_REPLY)), metadata)
+
+
+def extract_optics_lanes(docs: DataFrame, metadata: dict | DataFrame | None = None,
+                         keep: list[str] | None = None) -> DataFrame:
+    """Replies to lane rows; thresholds are not read."""
+    return inject_metadata(optics_lanes(optics_elements(docs, keep, S.OPTICS_LANE_REPLY)), metadata)
 
 
 def extract_by_mapping(docs: DataFrame, mapping: list[str], row_path: str) -> DataFrame:

@@ -11,17 +11,20 @@ from opticlake.operators import extract as X
 from opticlake.operators import filters as P
 from opticlake.plans import views as V
 from opticlake.plans.catalog import query
+from opticlake.plans.extraction import _SYSTEM
+from opticlake.session import materialize
 
 
 def collect_run(system_docs: DataFrame, chassis_docs: DataFrame, optics_docs: DataFrame, stats_docs: DataFrame,
                 ports: DataFrame, devices: DataFrame, global_filter: str | None = None) -> dict[str, DataFrame]:
     """Parse the four replies, apply the interface filters and merge metadata into the optics rows."""
     system = X.extract_system_info(system_docs)
+    # Both optics tables come from the same replies: these are parsed once.
+    elements = materialize(X.optics_elements(optics_docs), "optics")
     serials, chassis = X.extract_chassis_inventory(chassis_docs)
     stats = P.resolve_filter_precedence(X.extract_interface_stats(stats_docs), devices, global_filter)
     merged = {}
-    for name, rows in (("interfaces", X.extract_optics_interface(optics_docs)),
-                       ("lanes", X.extract_optics_lanes(optics_docs))):
+    for name, rows in (("interfaces", X.optics_interfaces(elements)), ("lanes", X.optics_lanes(elements))):
         rows = P.resolve_filter_precedence(rows, devices, global_filter)
         rows = J.enrich_device_metadata(rows, system, serials)
         merged[name] = J.serial_precedence(J.enrich_transceiver(rows, ports), chassis)
@@ -59,3 +62,54 @@ def lane_summary(spark, sf):
         F.count("*").alias("lanes"), F.sum(F.col("tx_bias").cast("long")).alias("bias"),
         F.min("rx_power").alias("rx_min"), F.max("rx_power").alias("rx_max"),
     )
+
+
+_FACTS = f"""
+    select a.device, coalesce(s.origin_hostname, a.device) as origin_hostname,
+           case when s.device is null then a.device
+                when s.s_suppkey % 13 not in (0, 11) and s.s_suppkey % 5 <> 0 then s.origin_name else '' end as origin_name,
+           coalesce(s.device, '') as inventory_instance
+    from (select device from t_lanes union select device from t_counters union select device from t_devices) a
+    left join (select d.device, s_suppkey, d.origin_name, y.origin_hostname
+               from t_devices d join ({_SYSTEM}) y on d.device = y.device) s on a.device = s.device"""
+
+
+def _run_bundle(spark, sf):
+    """All four kinds of replies of the views, every interface wanted."""
+    devices = V.view(spark, sf, "t_devices").select("device", F.lit("").alias("interface_filter"))
+    return collect_run(V.system_docs(spark, sf), V.chassis_docs(spark, sf), V.optics_docs(spark, sf),
+                       V.stats_docs(spark, sf), V.view(spark, sf, "t_ports"), devices)
+
+
+@query("collect_hourly_datasets", f"""
+    with f as ({_FACTS}), i as ({V.OPTICS_EXPECTED}), rows as (
+        select 'interface_dom' as dataset, device, run_timestamp from i
+        union all select 'lane_dom', device, run_timestamp from i where lane_bias is not null and lane_rx is not null
+        union all select 'interface_counters', device, run_timestamp from ({V.STATS_EXPECTED}) where event_id % 12 <> 2)
+    select dataset, origin_hostname, origin_name, inventory_instance, count(*) as n,
+           cast(sum(run_timestamp) as bigint) as stamps
+    from rows join f on rows.device = f.device group by all""")
+def collect_hourly_datasets(spark, sf):
+    datasets, _ = hourly_datasets(_run_bundle(spark, sf), F.col("run_timestamp"))
+    parts = [
+        df.groupBy("origin_hostname", "origin_name", "inventory_instance").agg(
+            F.count("*").alias("n"), F.sum("timestamp").alias("stamps")).withColumn("dataset", F.lit(name))
+        for name, df in datasets.items()
+    ]
+    return E.union_devices(*parts)
+
+
+@query("collect_exposition", f"""
+    with i as ({V.OPTICS_EXPECTED}), s as (select * from ({V.STATS_EXPECTED}) where event_id % 12 <> 2),
+    v as (select device as instance, 'temperature' as metric, count(*) as n from i group by device
+          union all select device, 'rx_power', count(rx_power) + count(lane_rx) from i group by device
+          union all select device, 'tx_bias', count(*) + count(lane_bias) from i group by device
+          union all select device, 'interface_fec_ccw', count(fec_ccw) from s group by device
+          union all select device, 'interface_oper_status', count(oper_status) from s group by device)
+    select * from v where n > 0""")
+def collect_exposition(spark, sf):
+    lines = exposition_text(_run_bundle(spark, sf))
+    metric = F.substring_index("value", "{", 1)
+    shown = ["temperature", "rx_power", "tx_bias", "interface_fec_ccw", "interface_oper_status"]
+    return lines.select("instance", metric.alias("metric")).where(F.col("metric").isin(shown)).groupBy(
+        "instance", "metric").agg(F.count("*").alias("n"))

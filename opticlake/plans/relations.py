@@ -339,7 +339,7 @@ def _rollup_sql(level: str, seconds: int) -> str:
 
 @query("rollup_hourly_daily", _rollup_sql("hour", 3600) + " union all " + _rollup_sql("day", 86400))
 def rollup_hourly_daily(spark, sf):
-    rows = G.rollup_hourly_daily(view(spark, sf, "t_series"), ["value", "fec_nccw"], tiebreak=["ts_us", "event_id"])
+    rows = G.rollup_hourly_daily(view(spark, sf, "t_series"), ["value", "fec_nccw"], order="ts_us")
     return rows.withColumns({f"{m}_avg": F.round(f"{m}_avg", 6) for m in ("value", "fec_nccw")})
 
 

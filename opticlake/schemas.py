@@ -75,6 +75,7 @@ OPTICS_INTERFACE_REPLY = reply(
     INTERFACE_PATHS,
     leaves("name") + [elements("optics-diagnostics", [f for f in DIAGNOSTICS.dataType.elementType if f != LANE])],
 )
+OPTICS_REPLY = reply(INTERFACE_PATHS, leaves("name") + [DIAGNOSTICS])
 OPTICS_LANE_REPLY = reply(
     INTERFACE_PATHS,
     leaves("name") + [elements("optics-diagnostics", leaves("optic-diagnostics-not-available") + [LANE])],

@@ -42,6 +42,17 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/opticlake/{label}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write costly rows to the shared folder once and read them back from there.
+
+    Later steps read only the columns they need, and a lost executor costs a
+    read of files instead of the work that made them.
+    """
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def group_limit(spark: SparkSession) -> int:
     """Most rows of one group that a single task may sort or hold."""
     return int(spark.conf.get(GROUP_ROWS_SETTING, str(GROUP_ROWS_DEFAULT)))
