@@ -27,6 +27,7 @@ from opticlake.functions import (
     parse_numeric_units,
     parse_speed_bps,
 )
+from opticlake.session import materialize
 
 XML_OPTIONS = {
     "mode": "PERMISSIVE",
@@ -79,9 +80,13 @@ def found_elements(docs: DataFrame, schema: T.StructType, paths: list[list[str]]
     return parsed, find_elements(F.col("reply"), schema, paths)
 
 
-def quarantine_malformed(docs: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(replies that parse, rejects with the reason); no reply stops the job."""
+def quarantine_malformed(docs: DataFrame, schema: T.StructType, keep: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(replies that parse, rejects with the reason); no reply stops the job.
+
+    With `keep` the parsed replies are written once for both, without it each side parses when it is read.
+    """
     parsed = namespace_agnostic_tags(docs, schema)
+    parsed = materialize(parsed, "parsed") if keep else parsed
     broken = F.col("reply").isNull() | F.col("reply")[S.CORRUPT].isNotNull()
     reason = F.when(F.col("xml").isNull(), "missing").when(F.trim("xml") == "", "empty").otherwise("malformed")
     good = parsed.where(~broken)
@@ -248,10 +253,16 @@ def keep_fec_interfaces(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.coalesce(*texts).isNotNull())
 
 
-def extract_interface_stats(docs: DataFrame, keep: list[str] | None = None, fec_only: bool = True) -> DataFrame:
-    """Status, speed, traffic rates and FEC measures per named interface."""
-    rows = interface_elements(docs, S.STATS_REPLY, keep)
+def stats_elements(docs: DataFrame, keep: list[str] | None = None, fec_only: bool = True,
+                   schema: T.StructType = S.STATS_FULL_REPLY) -> DataFrame:
+    """Named interfaces as read from the replies: the common part of counters and histogram."""
+    rows = interface_elements(docs, schema, keep)
     rows = keep_fec_interfaces(rows) if fec_only else rows
+    return rows.select(*_keys(rows), "if_name", "pi")
+
+
+def stats_rows(rows: DataFrame) -> DataFrame:
+    """Status, speed, traffic rates and FEC measures per element."""
     pi = F.col("pi")
     traffic = F.get(pi["traffic-statistics"], F.lit(0))
     fec = F.get(pi["ethernet-fec-statistics"], F.lit(0))
@@ -266,10 +277,13 @@ def extract_interface_stats(docs: DataFrame, keep: list[str] | None = None, fec_
     )
 
 
-def extract_fec_histogram(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Long form: one row per interface and bin. The last of equal bins wins, within the reply itself."""
-    rows = keep_fec_interfaces(interface_elements(docs, S.HISTOGRAM_REPLY, keep))
+def extract_interface_stats(docs: DataFrame, keep: list[str] | None = None, fec_only: bool = True) -> DataFrame:
+    """Replies to counter rows; the histogram is not read."""
+    return stats_rows(stats_elements(docs, keep, fec_only, S.STATS_REPLY))
+
 
+def histogram_rows(rows: DataFrame) -> DataFrame:
+    """Long form: one row per element and bin. The last of equal bins wins, within the reply itself."""
     def count(node: Column, tag: str) -> Column:
         return F.coalesce(parse_numeric_commas(first_text(node, tag)), F.lit(0.0))
 
@@ -291,6 +305,11 @@ def extract_fec_histogram(docs: DataFrame, keep: list[str] | None = None) -> Dat
     )
 
 
+def extract_fec_histogram(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Replies to histogram rows; counters are not read."""
+    return histogram_rows(stats_elements(docs, keep, schema=S.HISTOGRAM_REPLY))
+
+
 def pivot_fec_histogram(bins: DataFrame, indexes: int = C.HISTOGRAM_BINS) -> DataFrame:
     """Long bins to columns; bins are named up front, so no pass over the data finds them."""
     keys = [*_keys(bins), "if_name"]

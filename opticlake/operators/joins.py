@@ -14,7 +14,8 @@ def unique_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.max(F.struct(*values)).alias("_v")).select(*keys, "_v.*")
 
 
-def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str = "left",
+                 nulls_match: bool = False) -> DataFrame:
     """Join rows to the result of an aggregate over the same keys.
 
     The aggregate is already partitioned by the keys, so a plain join would not
@@ -22,5 +23,10 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str
     come straight from an exchange. The hash as one more key forces that
     exchange of the small side; a hot key of `rows` then spreads over many tasks.
     """
-    marked = [df.withColumn(_HASH, F.xxhash64(*keys)) for df in (rows, per_key)]
-    return marked[0].join(marked[1], [*keys, _HASH], how).drop(_HASH)
+    left = rows.withColumn(_HASH, F.xxhash64(*keys))
+    if not nulls_match:
+        return left.join(per_key.withColumn(_HASH, F.xxhash64(*keys)), [*keys, _HASH], how).drop(_HASH)
+    own = {k: f"_right_{k}" for k in keys}
+    right = per_key.withColumn(f"_right{_HASH}", F.xxhash64(*keys)).withColumnsRenamed(own)
+    same = [F.col(_HASH) == F.col(f"_right{_HASH}"), *[F.col(k).eqNullSafe(F.col(o)) for k, o in own.items()]]
+    return left.join(right, same, how).drop(_HASH, f"_right{_HASH}", *own.values())

@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opticlake.session import group_limit, heaviest_group
+from opticlake.operators.joins import join_per_key
+from opticlake.session import group_limit, heaviest_group, heaviest_slices
 
 SLICE, CARRY = "_slice", "_carry"
 # Day, hour, ten minutes, minute, ten seconds, second.
@@ -60,8 +61,11 @@ def series(df: DataFrame, keys: list[str], ts: str, order: list[str] | None = No
         width = None
         if heaviest_group(df, keys) > limit:
             candidates = [w for w in WIDTHS if w >= at_least] or [at_least]
-            for width in candidates:
-                if heaviest_group(df, [*keys, F.floor(F.col(ts) / width)]) <= limit:
+            # Two steps: fine slices are counted only where an hour is still too much.
+            for widths in (candidates[:2], candidates[2:]):
+                sizes = heaviest_slices(df, keys, ts, widths) if widths else {}
+                width = next((w for w in widths if sizes[w] <= limit), candidates[-1])
+                if width in sizes and sizes[width] <= limit:
                     break
     elif width is not None:
         width = max(width, at_least)
@@ -149,9 +153,9 @@ def group_quantiles(df: DataFrame, by: list[str], metrics: list[str], shares: di
     out = out if extra else out.drop("_n")
     for m in metrics:
         long = exact_percentiles(df, by, m, list(shares.values()))
-        wide = long.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(*[
+        wide = long.groupBy(*by).agg(*[
             F.max(F.when(F.col("share") == p, F.col("quantile"))).alias(f"{m}_{name}") for name, p in shares.items()])
-        out = out.join(wide, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by], "left").drop(*[f"_{c}" for c in by])
+        out = join_per_key(out, wide, by, nulls_match=True)
     return out
 
 
@@ -184,9 +188,7 @@ def exact_percentiles(df: DataFrame, by: list[str], value: str, shares: list[flo
         for i, p in enumerate(shares)
     ])
     bounds = sketch.select(*by, F.explode(brackets).alias("_b")).select(*by, "_b.*")
-    right = bounds.select(*[F.col(c).alias(f"_{c}") for c in by], "share", "rank", "low", "high")
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
-    paired = rows.join(right, on=same)
+    paired = join_per_key(rows, bounds, by, "inner", nulls_match=True)
     # Below the bracket only the count matters; inside, equal values are counted together before the shuffle.
     inside = F.when(F.col("_v") >= F.col("low"), F.col("_v"))
     counted = (

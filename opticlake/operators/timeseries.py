@@ -102,7 +102,7 @@ def failure_label(df: DataFrame, horizon: int, delta: str = "fec_nccw_delta", ke
     after = s.time_window(descending=True).rangeBetween(Window.unboundedPreceding, -1)
     rows = own_rows(with_next(s, hit).withColumn("_next", F.min(F.when(hit, F.col(ts))).over(after)))
     last = df.groupBy(*keys).agg(F.max(ts).alias("_last"))
-    rows = join_per_key(rows, last, keys, "inner")
+    rows = join_per_key(rows, last, keys, "inner", nulls_match=True)
     end = F.col(ts) + horizon
     label = F.when(F.col("_next") <= end, 1).when(end <= F.col("_last"), 0)
     return rows.withColumn("failure_label", label).drop("_next", "_last")
@@ -116,15 +116,15 @@ def anomaly_score(df: DataFrame, metrics: list[str], method: str = "zscore", key
     if method == "zscore":
         centres = df.groupBy(*keys).agg(
             *[f(m).alias(f"_{kind}_{m}") for m in metrics for kind, f in (("c", F.avg), ("s", F.stddev_pop))])
-        rows = join_per_key(df, centres, keys, "inner")
+        rows = join_per_key(df, centres, keys, "inner", nulls_match=True)
     elif method == "mad":
         fits = fits_one_task(df, keys)
         centres = group_quantiles(df, keys, metrics, {"median": 0.5}, fits)
-        rows = join_per_key(df, centres, keys).withColumnsRenamed({f"{m}_median": f"_c_{m}" for m in metrics})
+        rows = join_per_key(df, centres, keys, nulls_match=True).withColumnsRenamed({f"{m}_median": f"_c_{m}" for m in metrics})
         apart = rows.select(*keys, *[F.abs(F.col(m) - F.col(f"_c_{m}")).alias(m) for m in metrics])
         spread = group_quantiles(apart, keys, metrics, {"median": 0.5}, fits)
         rows = join_per_key(rows, spread.select(
-            *keys, *[(F.col(f"{m}_median") * 1.4826).alias(f"_s_{m}") for m in metrics]), keys)
+            *keys, *[(F.col(f"{m}_median") * 1.4826).alias(f"_s_{m}") for m in metrics]), keys, nulls_match=True)
     else:
         raise ValueError(f"unknown method {method!r}: use 'zscore' or 'mad'")
     scores = {

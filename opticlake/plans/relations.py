@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opticlake import constants as C
+from opticlake import schemas as S
 from opticlake.functions import device_profile
 from opticlake.operators import aggregate as G
 from opticlake.operators import enrich as J
@@ -15,6 +16,7 @@ from opticlake.operators import filters as P
 from opticlake.plans import views as V
 from opticlake.plans.catalog import query
 from opticlake.plans.views import view
+from opticlake.session import materialize
 from opticlake.sources.lake import latest_errors_topk as newest_errors
 
 _BASE = "'et-' || substr(split_part(if_name, ':', 1), 4)"
@@ -315,8 +317,8 @@ def run_summary(spark, sf):
     from d left join n on d.device = n.device and d.run_timestamp = n.run_timestamp""")
 def doc_metric_counts(spark, sf):
     docs = V.optics_docs(spark, sf)
-    rows = X.drop_unavailable_optics(X.interface_elements(docs, X.S.OPTICS_LANE_REPLY, unnamed=C.UNNAMED_INTERFACE))
-    return G.doc_metric_counts(docs, interfaces=rows, lanes=X.extract_optics_lanes(docs))
+    rows = materialize(X.optics_elements(docs, schema=S.OPTICS_LANE_REPLY), "optics")
+    return G.doc_metric_counts(docs, interfaces=rows, lanes=X.optics_lanes(rows))
 
 
 @query("metric_coverage", f"""
@@ -325,8 +327,8 @@ def doc_metric_counts(spark, sf):
            cast(4 as bigint) as bins
     from ({V.STATS_EXPECTED}) where event_id % 12 <> 2 group by device""")
 def metric_coverage(spark, sf):
-    docs = V.stats_docs(spark, sf)
-    return G.metric_coverage(X.extract_interface_stats(docs), X.extract_fec_histogram(docs))
+    rows = materialize(X.stats_elements(V.stats_docs(spark, sf)), "stats")
+    return G.metric_coverage(X.stats_rows(rows), X.histogram_rows(rows))
 
 
 def _rollup_sql(level: str, seconds: int) -> str:

@@ -232,15 +232,16 @@ def append_same_file(spark, sf):
 
 
 @query("write_per_device", f"""
-    select device, '2024-02-03' as dt, '2024-02-03' as collection_date, origin_name from t_devices
-    union all select device, dt, dt, 'row ' || event_id from ({LAKE})""")
+    select device, '2024-02-03' as dt, '2024-02-03' as collection_date, '2024-02-03T04:05:06' as collection_timestamp,
+           origin_name from t_devices
+    union all select device, dt, dt, substr(collection_timestamp, 1, 19), 'row ' || event_id from ({LAKE})""")
 def write_per_device(spark, sf):
     by_device, by_day = scratch(spark, "devices"), scratch(spark, "days")
-    devices = view(spark, sf, "t_devices").select("device", "origin_name", F.lit("2024-02-03").alias("dt"))
-    K.write_per_device(devices, by_device)
-    rows = lake_rows(spark, sf).select("device", "dt", F.concat(F.lit("row "), "event_id").alias("origin_name"))
-    K.write_per_device(rows, by_day, by_device=False)
-    columns = ["device", "dt", "collection_date", "origin_name"]
+    devices = view(spark, sf, "t_devices").select("device", "origin_name")
+    K.write_per_device(devices, by_device, collected_at=F.lit("2024-02-03 04:05:06").cast("timestamp"))
+    rows = lake_rows(spark, sf).select("device", "timestamp", F.concat(F.lit("row "), "event_id").alias("origin_name"))
+    K.write_per_device(rows, by_day, by_device=False, collected_at=F.timestamp_seconds("timestamp"))
+    columns = ["device", "dt", "collection_date", "collection_timestamp", "origin_name"]
     return spark.read.parquet(by_device).select(*columns).unionByName(spark.read.parquet(by_day).select(*columns))
 
 

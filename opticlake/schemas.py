@@ -100,6 +100,16 @@ HISTOGRAM_REPLY = reply(
     ],
 )
 
+STATS_FULL_REPLY = reply(
+    INTERFACE_PATHS,
+    leaves("name", "admin-status", "oper-status", "speed")
+    + [
+        elements("traffic-statistics", leaves(*C.TRAFFIC_TAGS.values())),
+        elements("ethernet-fec-statistics", leaves(*C.FEC_TAGS.values())),
+        elements("ethernet-fechistogram-statistics", leaves("bin-num", "sym-live-err", "sym-harvest-err")),
+    ],
+)
+
 # --- system, chassis, ports --------------------------------------------------
 
 SYSTEM_TAG = "system-information"

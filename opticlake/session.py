@@ -64,6 +64,19 @@ def heaviest_group(df: DataFrame, keys: list[str | Column]) -> int:
     return top.first()["n"] or 0
 
 
+def heaviest_slices(df: DataFrame, keys: list[str], ts: str, widths: list[int]) -> dict[int, int]:
+    """Row count of the largest (key, time slice) per width, all from one pass: wide slices are sums of narrow ones."""
+    narrow_first = sorted(widths)
+    counts, tops = df.select(*keys, F.col(ts).alias("_at"), F.lit(1).alias("_n")), []
+    for width in narrow_first:
+        at = (F.floor(F.col("_at") / width) * width).alias("_at")
+        tops.append(f"_top_{width}")
+        counts = counts.groupBy(*keys, at).agg(F.sum("_n").alias("_n"), *[F.max(t).alias(t) for t in tops[:-1]])
+        counts = counts.withColumn(tops[-1], F.col("_n"))
+    row = counts.agg(*[F.max(t).alias(t) for t in tops]).first()
+    return {width: row[f"_top_{width}"] or 0 for width in narrow_first}
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores when the input arrives in fewer partitions than that."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -40,9 +40,15 @@ def write_lake_hourly(datasets: dict[str, DataFrame], root: str, compression: st
     return written
 
 
-def write_per_device(df: DataFrame, root: str, by_device: bool = True, compression: str = "snappy") -> None:
-    """Older layout: dt, then the device if asked, with the collection date as a column."""
-    rows = df.withColumn("collection_date", F.col("dt"))
+def write_per_device(df: DataFrame, root: str, by_device: bool = True, compression: str = "snappy",
+                     collected_at: Column | None = None) -> None:
+    """Older layout: dt, then the device if asked, with collection date and time as columns."""
+    at = F.current_timestamp() if collected_at is None else collected_at
+    rows = df.withColumns({
+        "collection_date": F.date_format(at, "yyyy-MM-dd"),
+        "collection_timestamp": F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"),
+        "dt": F.date_format(at, "yyyy-MM-dd"),
+    })
     if by_device:
         # The partition column leaves the files, so the device also stays as data.
         rows = rows.withColumn("device_name", F.col("device"))
