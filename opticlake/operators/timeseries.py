@@ -188,8 +188,9 @@ def time_to_threshold(df: DataFrame, metric: str, threshold: float | str, keys:
     """Seconds until the fitted line reaches the threshold, NULL where it moves away or is flat."""
     limit = F.max(threshold) if isinstance(threshold, str) else F.lit(float(threshold))
     x, y = F.col(ts).cast("double"), F.col(metric)
+    known = F.when(y.isNotNull(), x)
     fit = df.groupBy(*keys).agg(
-        F.regr_slope(y, x).alias("slope"), F.avg(F.when(y.isNotNull(), x)).alias("_x"),
+        F.when(F.min(known) < F.max(known), F.regr_slope(y, x)).alias("slope"), F.avg(known).alias("_x"),
         F.avg(y).alias("_y"), F.max(ts).alias("last_ts"), limit.alias("threshold"),
     )
     # The line through the means is the intercept form without its cancellation at large epochs.

@@ -174,7 +174,11 @@ def health_class(spark, sf):
     from (select device, if_name, max(ts) as last_ts, 600.0::double as threshold,
                  regr_slope(value, ts - 1704067200) as slope,
                  avg(value) + regr_slope(value, ts - 1704067200) * (max(ts) - 1704067200 - avg(ts - 1704067200)) as y
-          from t_series group by device, if_name)""")
+          from t_series group by device, if_name having min(ts) < max(ts))
+    -- No line through fewer than two times.
+    union all
+    select device, if_name, max(ts), 600.0::double, null, null
+    from t_series group by device, if_name having min(ts) = max(ts)""")
 def time_to_threshold(spark, sf):
     rows = W.time_to_threshold(view(spark, sf, "t_series"), "value", 600.0)
     return rows.select("device", "if_name", "last_ts", "threshold", F.round(F.col("slope") * 86400, 6).alias("slope_per_day"),
