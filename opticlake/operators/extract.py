@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +22,6 @@ from opticlake.functions import (
     map_fiber_mode,
     parse_int,
     parse_module_slot,
-    parse_number,
     parse_numeric_commas,
     parse_numeric_units,
     parse_speed_bps,
@@ -197,6 +196,12 @@ def extract_optics_lanes(docs: DataFrame, metadata: dict | DataFrame | None = No
     return inject_metadata(optics_lanes(optics_elements(docs, keep, S.OPTICS_LANE_REPLY)), metadata)
 
 
+def read_mapping(spark: SparkSession, path: str) -> list[str]:
+    """The `path:field` lines of a mapping file; configuration of a few dozen lines."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return [row["value"] for row in lines.collect()]
+
+
 def extract_by_mapping(docs: DataFrame, mapping: list[str], row_path: str) -> DataFrame:
     """Rows described by `path:field` lines, one row per `row_path` element.
 

@@ -32,14 +32,19 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path below the cluster's shared checkpoint folder."""
+    """A fresh path below the cluster's shared checkpoint folder, removed when the application ends."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="opticlake-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/opticlake/{label}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/opticlake/{label}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{folder}/data"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

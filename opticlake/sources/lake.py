@@ -75,10 +75,16 @@ def scan_columns_pushdown(spark: SparkSession, root: str, dataset: str, columns:
 
 
 def archive_raw(docs: DataFrame, root: str) -> None:
-    """Keep raw replies as they came, by run day and hour."""
+    """Keep raw replies as they came, by run day and hour.
+
+    Files hold the replies of one call, so a later read of one call skips the others by their statistics.
+    """
     at = F.timestamp_seconds("run_timestamp")
     stamped = docs.withColumns({"dt": F.date_format(at, "yyyy-MM-dd"), "hr": F.date_format(at, "HH")})
-    append_same_file(stamped, f"{root}/rpc_docs", PARTITIONS)
+    (
+        stamped.hint("rebalance", *PARTITIONS, "rpc").write.mode("append").options(**write_options())
+        .partitionBy(*PARTITIONS).parquet(f"{root}/rpc_docs")
+    )
 
 
 def publish_partition(spark: SparkSession, source: str, target: str, dt: str, hr: str) -> None:

@@ -190,3 +190,14 @@ def test_each_reply_is_parsed_once(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("from_xml(") == 1
         assert "Exchange" not in plan and "BatchEvalPython" not in plan
+
+
+def test_mapping_file(spark):
+    from opticlake.session import scratch
+
+    path = scratch(spark, "mapping")
+    spark.createDataFrame([(line,) for line in [*LANE_MAPPING, ""]], "value string").coalesce(1).write.text(path)
+    lane = "physical-interface/optics-diagnostics/optics-diagnostics-lane-values"
+    lines = X.read_mapping(spark, path)
+    assert sorted(lines) == sorted(LANE_MAPPING)
+    assert X.extract_by_mapping(R.docs(spark, R.LANE_REPLY), lines, lane).first()["tx_bias"] == 6.157
