@@ -8,6 +8,7 @@ needs from its neighbours, so the result is the same whatever the cut.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -53,22 +54,19 @@ class Series:
         return Window.partitionBy(*self.keys).orderBy(at.desc() if descending else at.asc())
 
 
-def series(df: DataFrame, keys: list[str], ts: str, order: list[str] | None = None, at_least: int = 1,
+def series(df: DataFrame, keys: list[str], ts: str, order: list[str] | None = None,
            width: int | str | None = "measure") -> Series:
     """Choose the widest slice whose largest group one task can sort, no slices if none are needed."""
     if width == "measure":
         limit = group_limit(df.sparkSession)
         width = None
         if heaviest_group(df, keys) > limit:
-            candidates = [w for w in WIDTHS if w >= at_least] or [at_least]
             # Two steps: fine slices are counted only where an hour is still too much.
-            for widths in (candidates[:2], candidates[2:]):
-                sizes = heaviest_slices(df, keys, ts, widths) if widths else {}
-                width = next((w for w in widths if sizes[w] <= limit), candidates[-1])
-                if width in sizes and sizes[width] <= limit:
+            for widths in (WIDTHS[:2], WIDTHS[2:]):
+                sizes = heaviest_slices(df, keys, ts, widths)
+                width = next((w for w in widths if sizes[w] <= limit), widths[-1])
+                if sizes[width] <= limit:
                     break
-    elif width is not None:
-        width = max(width, at_least)
     return Series(df, keys, ts, order or [ts], width)
 
 
@@ -134,6 +132,28 @@ def with_time_before(s: Series, seconds: int) -> DataFrame:
     return rows.unionByName(carried)
 
 
+def span_fits(df: DataFrame, keys: list[str], ts: str, seconds: int) -> bool:
+    """Whether a sliding frame of this span is short: each row reads its whole frame again."""
+    return heaviest_slices(df, keys, ts, [seconds])[seconds] <= group_limit(df.sparkSession) // 100
+
+
+def span_sums(df: DataFrame, keys: list[str], ts: str, seconds: int, sums: dict[str, Column],
+              weighted: Callable[[Column], dict[str, Column]] = lambda at: {}) -> DataFrame:
+    """(keys, ts, sums...) over [ts - seconds, ts], one row per key and second, for series of any density.
+
+    Samples of one second are added up before the shuffle, so a frame holds at
+    most seconds + 1 rows however many samples there are. `weighted` gives more
+    sums from these and from the second, counted from near the frame.
+    """
+    per_second = df.groupBy(*keys, ts).agg(*[F.sum(v).alias(name) for name, v in sums.items()])
+    s = Series(per_second, keys, ts, [ts], max(seconds, WIDTHS[0]))
+    rows = with_time_before(s, seconds)
+    rows = rows.withColumns(weighted((F.col(ts) - F.col(SLICE) * s.width).cast("double")))
+    span = s.time_window().rangeBetween(-seconds, 0)
+    totals = [c for c in rows.columns if c not in (*keys, ts, SLICE, CARRY)]
+    return own_rows(rows.withColumns({c: F.sum(c).over(span) for c in totals}))
+
+
 def own_rows(df: DataFrame) -> DataFrame:
     return df.where(~F.col(CARRY)).drop(SLICE, CARRY)
 

@@ -17,10 +17,11 @@ from opticlake.operators.slices import (
     group_quantiles,
     own_rows,
     series,
+    span_fits,
+    span_sums,
     with_next,
     with_previous,
     with_rows_before,
-    with_time_before,
 )
 
 KEYS = ["device", "if_name"]
@@ -56,22 +57,27 @@ def counter_rates(deltas: DataFrame, counters: list[str]) -> DataFrame:
 def moving_features(df: DataFrame, metrics: list[str], n: int, seconds: int, keys: list[str] = KEYS, ts: str = "ts",
                     tiebreak: list[str] = (), width: int | str | None = "measure") -> DataFrame:
     """Mean and deviation over n samples, mean over a time span, and rate of change."""
-    order = [ts, *tiebreak]
-    s = series(df, keys, ts, order, at_least=seconds, width=width)
+    s = series(df, keys, ts, [ts, *tiebreak], width=width)
     w = s.window()
     columns: dict[str, Column] = {}
     for m in metrics:
         frame = w.rowsBetween(-(n - 1), 0)
-        span = F.col(ts) - F.lag(ts).over(w)
+        gap = F.col(ts) - F.lag(ts).over(w)
         columns |= {
             f"{m}_ma_n": F.avg(m).over(frame),
             f"{m}_sd_n": F.stddev_pop(m).over(frame),
-            f"{m}_roc": F.when(span > 0, (F.col(m) - F.lag(m).over(w)) / span),
+            f"{m}_roc": F.when(gap > 0, (F.col(m) - F.lag(m).over(w)) / gap),
         }
     rows = own_rows(with_rows_before(s, max(n - 1, 1)).withColumns(columns))
-    again = series(rows, keys, ts, order, at_least=seconds, width=s.width)
-    span = again.time_window().rangeBetween(-seconds, 0)
-    return own_rows(with_time_before(again, seconds).withColumns({f"{m}_ma_t": F.avg(m).over(span) for m in metrics}))
+    if s.width is None and span_fits(df, keys, ts, seconds):
+        span = Window.partitionBy(*keys).orderBy(ts).rangeBetween(-seconds, 0)
+        return rows.withColumns({f"{m}_ma_t": F.avg(m).over(span) for m in metrics})
+    sums = {f"{m}_{part}": v for m in metrics
+            for part, v in (("sum", F.col(m).cast("double")), ("count", F.col(m).isNotNull().cast("long")))}
+    totals = span_sums(df, keys, ts, seconds, sums)
+    means = totals.select(*keys, ts, *[
+        F.when(F.col(f"{m}_count") > 0, F.col(f"{m}_sum") / F.col(f"{m}_count")).alias(f"{m}_ma_t") for m in metrics])
+    return join_per_key(rows, means, [*keys, ts], "inner", nulls_match=True)
 
 
 def latest_sample(df: DataFrame, keys: list[str], ts: str = "ts", tiebreak: list[str] = ()) -> DataFrame:
@@ -84,13 +90,24 @@ def latest_sample(df: DataFrame, keys: list[str], ts: str = "ts", tiebreak: list
 def power_drift(df: DataFrame, metric: str, seconds: int, keys: list[str] = KEYS, ts: str = "ts",
                 width: int | str | None = "measure") -> DataFrame:
     """Slope of a metric per second over the span that ends at each sample."""
-    s = series(df, keys, ts, at_least=seconds, width=width)
-    span = s.time_window().rangeBetween(-seconds, 0)
-    x, y = F.col(ts).cast("double"), F.col(metric)
-    known = F.when(y.isNotNull(), F.col(ts))
-    enough = (F.count(y).over(span) > 1) & (F.min(known).over(span) < F.max(known).over(span))
-    return own_rows(with_time_before(s, seconds).withColumn(
-        f"{metric}_drift", F.when(enough, F.regr_slope(y, x).over(span))))
+    y, name = F.col(metric), f"{metric}_drift"
+    s = series(df, keys, ts, width=width)
+    if s.width is None and span_fits(df, keys, ts, seconds):
+        span = Window.partitionBy(*keys).orderBy(ts).rangeBetween(-seconds, 0)
+        known = F.when(y.isNotNull(), F.col(ts))
+        enough = F.min(known).over(span) < F.max(known).over(span)
+        return df.withColumn(name, F.when(enough, F.regr_slope(y, F.col(ts).cast("double")).over(span)))
+
+    def products(x: Column) -> dict[str, Column]:
+        return {"_x": F.col("_n") * x, "_xx": F.col("_n") * x * x, "_xy": F.col("_y") * x,
+                "_times": (F.col("_n") > 0).cast("long")}
+
+    sums = {"_n": y.isNotNull().cast("double"), "_y": F.coalesce(y.cast("double"), F.lit(0.0))}
+    t = span_sums(df, keys, ts, seconds, sums, products)
+    spread = F.col("_n") * F.col("_xx") - F.col("_x") * F.col("_x")
+    slope = (F.col("_n") * F.col("_xy") - F.col("_x") * F.col("_y")) / spread
+    slopes = t.select(*keys, ts, F.when(F.col("_times") > 1, slope).alias(name))
+    return join_per_key(df, slopes, [*keys, ts], "inner", nulls_match=True)
 
 
 def failure_label(df: DataFrame, horizon: int, delta: str = "fec_nccw_delta", keys: list[str] = KEYS, ts: str = "ts",
