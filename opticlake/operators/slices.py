@@ -116,7 +116,7 @@ def with_rows_before(s: Series, n: int) -> DataFrame:
         return rows
     recent = rows.withColumn("_back", F.row_number().over(s.window(descending=True))).where(F.col("_back") <= n)
     by_key = Window.partitionBy(*s.keys).orderBy(*s.order)
-    later = F.collect_set(SLICE).over(by_key.rowsBetween(1, n))
+    later = F.array_compact(F.array(*[F.lead(SLICE, i).over(by_key) for i in range(1, n + 1)]))
     targets = recent.drop("_back", CARRY).withColumn("_to", F.array_except(later, F.array(SLICE)))
     carried = targets.withColumn("_to", F.explode("_to")).withColumn(SLICE, F.col("_to")).drop("_to")
     return rows.unionByName(carried.withColumn(CARRY, F.lit(True)))
@@ -133,7 +133,7 @@ def with_time_before(s: Series, seconds: int) -> DataFrame:
 
 
 def span_fits(df: DataFrame, keys: list[str], ts: str, seconds: int) -> bool:
-    """Whether a sliding frame of this span is short: each row reads its whole frame again."""
+    """Whether sliding frames of this span are short: in a sliding frame each row reads its whole frame again."""
     return heaviest_slices(df, keys, ts, [seconds])[seconds] <= group_limit(df.sparkSession) // 100
 
 
@@ -141,17 +141,22 @@ def span_sums(df: DataFrame, keys: list[str], ts: str, seconds: int, sums: dict[
               weighted: Callable[[Column], dict[str, Column]] = lambda at: {}) -> DataFrame:
     """(keys, ts, sums...) over [ts - seconds, ts], one row per key and second, for series of any density.
 
-    Samples of one second are added up before the shuffle, so a frame holds at
-    most seconds + 1 rows however many samples there are. `weighted` gives more
-    sums from these and from the second, counted from near the frame.
+    Samples of one second are added up before the shuffle. Each second then
+    enters at its time and leaves when the span has passed, so every sum is a
+    running one: no row reads its frame again. `weighted` gives more sums from
+    these and from the second, counted from near the frame.
     """
     per_second = df.groupBy(*keys, ts).agg(*[F.sum(v).alias(name) for name, v in sums.items()])
     s = Series(per_second, keys, ts, [ts], max(seconds, WIDTHS[0]))
     rows = with_time_before(s, seconds)
     rows = rows.withColumns(weighted((F.col(ts) - F.col(SLICE) * s.width).cast("double")))
-    span = s.time_window().rangeBetween(-seconds, 0)
     totals = [c for c in rows.columns if c not in (*keys, ts, SLICE, CARRY)]
-    return own_rows(rows.withColumns({c: F.sum(c).over(span) for c in totals}))
+    moves = F.array(F.struct(F.lit(1).alias("sign"), F.col(ts).alias("at")),
+                    F.struct(F.lit(-1).alias("sign"), (F.col(ts) + seconds + 1).alias("at")))
+    rows = rows.withColumn("_move", F.explode(moves)).select("*", "_move.*").drop("_move")
+    running = Window.partitionBy(*keys, SLICE).orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({c: F.sum(F.col(c) * F.col("sign")).over(running) for c in totals})
+    return own_rows(rows.where(F.col("sign") == 1).drop("sign", "at"))
 
 
 def own_rows(df: DataFrame) -> DataFrame:
