@@ -59,14 +59,15 @@ def leaf_budgets(leaves: DataFrame, levels: list[str], weights: Weights, budget:
     """Leaves (levels, tokens) with `budget` tokens each. `budget` may use `tokens`, there the sum over all leaves."""
     spark = leaves.sparkSession
     sized = leaves.withColumn("cap", F.col("tokens") * epochs)
-    above = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).select(F.lit(0).alias("_root"), budget.cast("long").alias("budget"))
+    total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).select(budget.cast("long").alias("budget")).first()["budget"]
+    above = None
     for depth in range(1, len(levels) + 1):
-        path = levels[:depth]
-        nodes = sized.groupBy(*path).agg(F.sum("cap").alias("cap")).withColumn("_root", F.lit(0))
+        path, parent = levels[:depth], levels[: depth - 1]
+        nodes = sized.groupBy(*path).agg(F.sum("cap").alias("cap"))
         nodes = nodes.join(_weight_rows(spark, weights, levels, depth), path, "left").fillna({"weight": 1})
-        parent = ["_root", *path[:-1]]
-        above = split_budget(nodes.join(above, parent), parent, path[-1:]).select("_root", *path, F.col("share").alias("budget"))
-    return sized.drop("cap").join(above.drop("_root"), levels)
+        nodes = nodes.withColumn("budget", F.lit(total)) if above is None else nodes.join(above, parent)
+        above = split_budget(nodes, parent, path[-1:]).select(*path, F.col("share").alias("budget"))
+    return sized.drop("cap").join(above, levels)
 
 
 def mix_sources(docs: DataFrame, levels: list[str], weights: Weights, budget: Column, seed: int, epochs: int = 1) -> DataFrame:
