@@ -3,19 +3,20 @@
 A document's set holds its distinct shingles of five words (A-Z in lower case); a shorter document is one shingle, one
 without words has none and no links. Two sets link at a Jaccard similarity of 0.75 or more.
 
-* Order. Tokens (shingle hashes) are put in one global order: rare ones first. Frequencies come from counts of 2**20
-  hash buckets over all documents, in which a task reports only its outstanding buckets; the order decides the cost,
-  never the result.
+* Order. Tokens (shingle hashes) are put in one global order: rare ones first. Very frequent ones are found from counts
+  of 2**20 hash buckets over all documents, in which a task reports only its outstanding buckets; the others from the
+  index itself: tokens under which it holds more than SMALL sets are frequent from then on, and the documents that have
+  one are indexed again. The order decides the cost, never the result.
 * Prefixes. Of n tokens two linked sets differ in at most t = n - ceil(0.75 n) of x's, so one of its first t + 1 tokens
   is shared. Rare tokens are indexed singly. Frequent ones are dealt into parts by hash, and pairs of tokens of the same
   part are indexed: the prefix is extended until the rare tokens and, per part, the tokens beyond the first come to
   t + 1, so that two linked sets share a rare token or a pair. The number of parts goes by the power of two below n,
   and a set near the next power is indexed under both.
 * Candidates. Sets under one signature are paired if sizes and positions allow the overlap (all pairs of up to SMALL
-  sets; in larger groups each with the first). Groups that are not done after that are kept; while any of them holds
-  sets of different components, its sets are compared with one other member, then with all members of other
-  components. So copies are not expanded to all pairs, and no link between different texts is lost.
-* Verification. The full sets of candidate documents are intersected.
+  sets; in larger groups each with the first). Larger groups are kept; while any of them holds sets of different
+  components, its sets are compared with one other member, then with all members of other components. So copies are
+  not expanded to all pairs, and no link between different texts is lost.
+* Verification. The smallest quarter of two sets' hashes bounds what they can share; pairs that pass are intersected.
 
 Equal sets are one node, the smallest doc_id, so exact copies cost nothing. Hot signatures are salted or, where groups
 are compared again, joined in a way that adaptive execution can split.
@@ -29,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -43,11 +45,13 @@ from opticlake.operators.joins import join_per_key
 from opticlake.session import materialize
 
 SIZE, PERCENT = 5, 75
-SMALL = 8  # groups up to this size are paired in full at once
+SMALL = 16  # groups up to this size are paired in full at once
+PHASES = 3  # times that documents with frequent tokens are indexed
 SALTS = 8  # parts that the groups of frequent tokens are cut into at first
 BUCKET_BITS = 20
-FREQUENT = 65_536  # most buckets that count as frequent
+FREQUENT = 1 << 18  # most buckets, and most tokens, that are known as frequent: a few MB in each task
 SEND_IDS = 1_000_000  # most document numbers that are sent to all executors
+LEAST = 64  # hashes of a set that are compared first, where a quarter of it is less
 CHUNK = 200_000  # most rows of a group that a task holds
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -97,13 +101,41 @@ def _sketch(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(scan, "doc_id long, n_shingles long, digest binary, bucket long")
 
 
-def _frequent(sketch: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The frequent buckets, sorted, and their counts."""
+@dataclass
+class Frequent:
+    """What is known of frequent tokens: sorted buckets and sorted tokens, and how often each was met."""
+
+    buckets: np.ndarray
+    bucket_counts: np.ndarray
+    tokens: np.ndarray
+    token_counts: np.ndarray
+
+    def counts(self, tokens: np.ndarray) -> np.ndarray:
+        """0 for rare tokens."""
+        out = np.zeros(len(tokens), np.int64)
+        for held, counts, own in ((self.buckets, self.bucket_counts, (tokens >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)),
+                                  (self.tokens, self.token_counts, tokens)):
+            if len(held):
+                at = np.searchsorted(held, own)
+                at[at == len(held)] = 0
+                out = np.where(held[at] == own, counts[at], out)
+        return out
+
+    def also(self, more: DataFrame) -> Frequent:
+        """With the tokens of `more` (sig, n) too, the most frequent first as far as there is room."""
+        rows = more.orderBy(F.desc("n"), "sig").limit(max(0, FREQUENT - len(self.tokens))).toArrow()
+        tokens = np.concatenate([self.tokens, rows["sig"].to_numpy().view(np.uint64)])
+        counts = np.concatenate([self.token_counts, rows["n"].to_numpy()])
+        order = np.argsort(tokens)
+        return Frequent(self.buckets, self.bucket_counts, tokens[order], counts[order])
+
+
+def _frequent(sketch: DataFrame) -> Frequent:
     total = sketch.where("bucket IS NULL").agg(F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("n")).first()["n"]
     sums = sketch.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n_shingles").alias("n"))
-    top = sums.where(F.col("n") >= max(64, 8 * total >> BUCKET_BITS)).orderBy(F.desc("n"), "bucket").limit(FREQUENT).collect()
-    top.sort(key=lambda r: r["bucket"])
-    return np.array([r["bucket"] for r in top], np.int64), np.array([r["n"] for r in top], np.int64)
+    top = sums.where(F.col("n") >= max(64, 8 * total >> BUCKET_BITS)).orderBy(F.desc("n"), "bucket").limit(FREQUENT).toArrow()
+    order = np.argsort(top["bucket"].to_numpy())
+    return Frequent(top["bucket"].to_numpy()[order], top["n"].to_numpy()[order], np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
 def _pairs_before(sizes: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -117,18 +149,17 @@ def _pairs_before(sizes: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.n
     return i, j
 
 
-def prefix_signatures(tokens: np.ndarray, buckets: np.ndarray, counts: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, int]:
+def prefix_signatures(tokens: np.ndarray, frequent: Frequent, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, int]:
     """(signatures, most tokens that sets can share if this is the first signature they share, number of rare ones)."""
     n = len(tokens)
     need = n + (-n * percent // 100) + 1
-    at = np.searchsorted(buckets, (tokens >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))
-    at[at == len(buckets)] = 0
-    common = buckets[at] == (tokens >> np.uint64(64 - BUCKET_BITS)).astype(np.int64) if len(buckets) else np.zeros(n, bool)
+    counts = frequent.counts(tokens)
+    common = counts > 0
     rare = tokens[~common]
     singles = min(len(rare), need)
     signatures, caps = [rare[:singles]], [n - np.arange(singles)]
     if singles < need:
-        own = tokens[common][np.lexsort((tokens[common], counts[at[common]]))]
+        own = tokens[common][np.lexsort((tokens[common], counts[common]))]
         low = n.bit_length() - 1
         for power in (low, low + 1):
             if power > low and n * 100 < (1 << power) * percent:
@@ -152,7 +183,7 @@ def prefix_signatures(tokens: np.ndarray, buckets: np.ndarray, counts: np.ndarra
     return np.concatenate(signatures), np.concatenate(caps), singles
 
 
-def _index(docs: DataFrame, buckets: np.ndarray, counts: np.ndarray, size: int, percent: int) -> DataFrame:
+def _index(docs: DataFrame, frequent: Frequent, size: int, percent: int) -> DataFrame:
     """Rows of (sig, salt, doc, meta): meta holds the set's size and the most tokens that it can share."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +198,7 @@ def _index(docs: DataFrame, buckets: np.ndarray, counts: np.ndarray, size: int,
             for row, tokens in shingle_sets(batch.column("text"), size):
                 if not len(tokens):
                     continue
-                sig, cap, rare = prefix_signatures(tokens, buckets, counts, percent)
+                sig, cap, rare = prefix_signatures(tokens, frequent, percent)
                 salt = np.zeros(len(sig), np.int32)
                 salt[rare:] = 1 + int(ids[row]) % SALTS
                 sigs.append(sig.view(np.int64))
@@ -192,7 +223,7 @@ def _may_link(left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _group_pairs(index: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (sig NULL, a, b) of each group, and the rows (sig, doc, meta) of groups that are not done."""
+    """Candidate pairs (sig NULL, a, b) of each group, and the rows (sig, doc, meta, single) of groups that are not done."""
 
     def grouped(sig: np.ndarray, salt: np.ndarray, doc: np.ndarray, meta: np.ndarray, cut: bool) -> pa.RecordBatch:
         edge = np.flatnonzero((sig[1:] != sig[:-1]) | (salt[1:] != salt[:-1])) + 1
@@ -201,10 +232,10 @@ def _group_pairs(index: DataFrame, percent: int) -> DataFrame:
         good = _may_link(meta[i], meta[j], percent) & (doc[i] != doc[j])
         pairs = np.unique(np.stack([np.minimum(doc[i], doc[j])[good], np.maximum(doc[i], doc[j])[good]], 1), axis=0)
         kept = np.repeat((sizes > SMALL) | cut, sizes) | (salt > 0)
-        none = pa.nulls(len(pairs), pa.int64())
+        none, no = pa.nulls(len(pairs), pa.int64()), pa.nulls(len(pairs), pa.bool_())
         return pa.RecordBatch.from_arrays([
-            pa.concat_arrays([none, pa.array(sig[kept])]),
-            pa.array(np.concatenate([pairs[:, 0], doc[kept]])), pa.array(np.concatenate([pairs[:, 1], meta[kept]]))], names=["sig", "a", "b"])
+            pa.concat_arrays([none, pa.array(sig[kept])]), pa.array(np.concatenate([pairs[:, 0], doc[kept]])),
+            pa.array(np.concatenate([pairs[:, 1], meta[kept]])), pa.concat_arrays([no, pa.array(salt[kept] == 0)])], names=["sig", "a", "b", "single"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
@@ -231,19 +262,39 @@ def _group_pairs(index: DataFrame, percent: int) -> DataFrame:
             yield grouped(*held, cut)
 
     dealt = index.repartition("sig", "salt").sortWithinPartitions("sig", "salt", "doc")
-    return dealt.mapInArrow(scan, "sig long, a long, b long")
+    return dealt.mapInArrow(scan, "sig long, a long, b long, single boolean")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(doc, tokens) of the documents in ids."""
+def _tokens(docs: DataFrame, ids: DataFrame, size: int, percent: int, whole: bool) -> DataFrame:
+    """(doc, n, tokens) of the documents in ids: the whole sets, or 32 bits of the least hashes of about a quarter."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            numbers = batch.column("doc_id").to_pylist()
-            out = [(numbers[row], tokens.tobytes()) for row, tokens in shingle_sets(batch.column("text"), size) if len(tokens)]
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["doc", "tokens"])
+            numbers, out = batch.column("doc_id").to_pylist(), []
+            for row, tokens in shingle_sets(batch.column("text"), size):
+                n = len(tokens)
+                if n:
+                    held = tokens if whole else (tokens[: max(LEAST, n + (-n * percent // 100) + 1)] >> np.uint64(32)).astype(np.uint32)
+                    out.append((numbers[row], n, held.tobytes()))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.binary())],
+                names=["doc", "n", "tokens"])
+
+    return materialize(_only(docs, ids, "left_semi").mapInArrow(scan, "doc long, n long, tokens binary"), "jaccard-sets" if whole else "jaccard-quarters")
+
 
-    return materialize(_only(docs, ids, "left_semi").mapInArrow(scan, "doc long, tokens binary"), "jaccard-sets")
+def _ends(pairs: DataFrame) -> DataFrame:
+    ids = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
+    return materialize(ids, "jaccard-ids")
+
+
+def _most_shared(n: int, x: np.ndarray, m: int, y: np.ndarray) -> int:
+    """Upper bound of the tokens that two sets of n and m share, from the least hashes x and y of each."""
+    whole = 1 << 32
+    bar = min(int(x[-1]) if len(x) < n else whole, int(y[-1]) if len(y) < m else whole)
+    low, high = x[: np.searchsorted(x, bar)], y[: np.searchsorted(y, bar)]
+    shared = len(low) + len(high) - len(np.unique(np.concatenate([low, high])))
+    return shared + min(n - len(low), m - len(high))
 
 
 def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
@@ -252,21 +303,24 @@ def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return docs.join(F.broadcast(ids) if small else ids, "doc_id", how)
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+def _compare(pairs: DataFrame, held: DataFrame, percent: int, whole: bool) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough, or may be by their least hashes."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                left, right = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                shared = len(left) + len(right) - len(np.unique(np.concatenate([left, right])))
-                good.append((100 + percent) * shared >= percent * (len(left) + len(right)))
+            for n, x, m, y in zip(*(batch.column(c).to_pylist() for c in ("n", "x", "m", "y")), strict=True):
+                if whole:
+                    left, right = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                    shared = n + m - len(np.unique(np.concatenate([left, right])))
+                else:
+                    shared = _most_shared(n, np.frombuffer(x, np.uint32), m, np.frombuffer(y, np.uint32))
+                good.append((100 + percent) * shared >= percent * (n + m))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    right = join_per_key(pairs, sets.select(F.col("doc").alias("b"), F.col("tokens").alias("y")), ["b"], "inner")
-    both = join_per_key(right, sets.select(F.col("doc").alias("a"), F.col("tokens").alias("x")), ["a"], "inner")
-    return materialize(both.select("a", "b", "x", "y").mapInArrow(scan, "a long, b long").distinct(), "jaccard-links")
+    right = join_per_key(pairs.select("a", "b"), held.select(F.col("doc").alias("b"), F.col("n").alias("m"), F.col("tokens").alias("y")), ["b"], "inner")
+    both = join_per_key(right, held.select(F.col("doc").alias("a"), "n", F.col("tokens").alias("x")), ["a"], "inner")
+    return materialize(both.select("a", "b", "n", "x", "m", "y").mapInArrow(scan, "a long, b long").distinct(), "jaccard-compared")
 
 
 def _other_component(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -303,7 +357,7 @@ def similar_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     """One row per row of documents (doc_id, text): doc_id, n_shingles, component_id."""
     docs = docs.select("doc_id", "text")
     sketch = materialize(_sketch(docs, size), "jaccard-sketch")
-    buckets, counts = _frequent(sketch)
+    frequent = _frequent(sketch)
     rows = sketch.where("bucket IS NULL").select("doc_id", "n_shingles", "digest")
     known = rows.where("doc_id IS NOT NULL AND digest IS NOT NULL")
     # Equal sets are one node.
@@ -313,31 +367,48 @@ def similar_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     copies = members.where("doc_id <> rep").select("doc_id").distinct().join(nodes, "doc_id", "left_anti")
     texts = _only(docs.where("doc_id IS NOT NULL"), materialize(copies, "jaccard-copies"), "left_anti")
 
-    found = materialize(_group_pairs(_index(texts, buckets, counts, size, percent), percent), "jaccard-found")
-    pairs = found.where("sig IS NULL").groupBy("a", "b").agg(F.count("*").alias("n"))
-    pairs = materialize(pairs, "jaccard-pairs")
-    kept = found.where("sig IS NOT NULL").select("sig", F.col("a").alias("doc"), F.col("b").alias("meta"))
-    ids = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).unionAll(kept.select("doc")).distinct()
-    sets = _sets(texts, materialize(ids, "jaccard-ids"), size)
+    pairs, todo = None, texts
+    for phase in range(PHASES):
+        found = materialize(_group_pairs(_index(todo, frequent, size, percent), percent), "jaccard-found")
+        new = found.where("sig IS NULL").select("a", "b")
+        pairs = new if pairs is None else pairs.unionByName(new)
+        kept = found.where("sig IS NOT NULL").select("sig", F.col("a").alias("doc"), F.col("b").alias("meta"), "single")
+        more = kept.where("single").groupBy("sig").agg(F.count("*").alias("n")).where(F.col("n") > SMALL)
+        known = len(frequent.tokens)
+        frequent = frequent.also(more)
+        if phase == PHASES - 1 or len(frequent.tokens) == known:
+            break
+        todo = _only(texts, materialize(kept.select(F.col("doc").alias("doc_id")).distinct(), "jaccard-again"), "left_semi")
+    pairs = materialize(pairs.groupBy("a", "b").agg(F.count("*").alias("n")), "jaccard-pairs")
+
+    ids = _ends(pairs).unionAll(kept.select("doc")).distinct()
+    quarters = _tokens(texts, materialize(ids, "jaccard-ids"), size, percent, False)
+
+    def verify(some: DataFrame) -> DataFrame:
+        return _compare(some, _tokens(texts, _ends(some), size, percent, True), percent, True)
 
     # Rows of one doc_id with different sets are one document.
     twice = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("_max")).where("a <> _max").select("doc_id", "a")
     links = members.join(twice, "doc_id").select("a", F.col("rep").alias("b")).where("a <> b").distinct()
 
-    # First the candidate that shares most signatures with each document, then what that left unconnected.
-    best = pairs.groupBy("b").agg(F.max(F.struct("n", "a")).alias("_t")).select("_t.a", "b")
-    links = materialize(links.unionByName(_verify(best, sets, percent)), "jaccard-links")
+    # First one candidate of each document, then what that left unconnected, then the larger groups.
+    pairs = _compare(pairs, quarters, percent, False)
+    best = materialize(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "jaccard-best")
+    links = materialize(links.unionByName(verify(best)), "jaccard-links")
     tried, labels = best, connected_components(links)
     for step in ("rest", "first", "last", "all"):
         if step == "rest":
-            more = _other_component(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), labels)
+            more = _other_component(pairs.join(best, ["a", "b"], "left_anti"), labels)
         else:
             more = _regroup(kept, labels, percent, step).join(tried, ["a", "b"], "left_anti")
         more = materialize(more, "jaccard-more")
         if more.isEmpty():
             continue
-        new = _verify(more, sets, percent)
         tried = tried.unionByName(more)
+        likely = more if step == "rest" else _compare(more, quarters, percent, False)
+        if likely.isEmpty():
+            continue
+        new = verify(likely)
         if not new.isEmpty():
             links = links.unionByName(new)
             labels = connected_components(links)

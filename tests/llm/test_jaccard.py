@@ -66,6 +66,7 @@ def test_prefixes_share_a_signature():
     rng = np.random.default_rng(3)
     buckets = np.sort(rng.choice(1 << 20, 1 << 19, replace=False))
     counts = rng.integers(64, 10**6, len(buckets))
+    frequent = jaccard.Frequent(buckets, counts, np.zeros(0, np.uint64), np.zeros(0, np.int64))
     for n in [*range(1, 40), 63, 64, 65, 100, 127, 128, 500]:
         for _ in range(6):
             tokens = np.unique(rng.integers(0, 2**64, 2 * n, dtype=np.uint64))
@@ -74,7 +75,7 @@ def test_prefixes_share_a_signature():
             mine = tokens[:n]
             if 100 * len(both) < 75 * (len(mine) + len(other) - len(both)):
                 continue
-            left, right = (jaccard.prefix_signatures(np.sort(x), buckets, counts) for x in (mine, other))
+            left, right = (jaccard.prefix_signatures(np.sort(x), frequent) for x in (mine, other))
             caps = {s: c for s, c in zip(left[0].tolist(), left[1].tolist(), strict=True)}
             fits = [s for s, c in zip(right[0].tolist(), right[1].tolist(), strict=True)
                     if s in caps and 175 * min(c, caps[s]) >= 75 * (len(mine) + len(other))]
@@ -94,3 +95,12 @@ def test_long_path_is_one_component(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 100), (7, 7)]
     found = {r["node"]: r["label"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+
+
+def test_bound_from_least_hashes():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        pool = np.unique(rng.integers(0, 2**64, 60, dtype=np.uint64))
+        x, y = (np.sort(rng.choice(pool, int(rng.integers(1, 50)), replace=False)) for _ in range(2))
+        low, high = ((v[: int(rng.integers(1, len(v) + 1))] >> np.uint64(32)).astype(np.uint32) for v in (x, y))
+        assert jaccard._most_shared(len(x), low, len(y), high) >= len(np.intersect1d(x, y))
