@@ -13,7 +13,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-MODULES = ["url_filter", "chat", "mixing", "warc", "langid", "decontaminate", "pii", "jaccard", "substring"]
+MODULES = [
+    "url_filter", "chat", "mixing", "warc", "langid", "decontaminate", "pii", "jaccard", "substring", "neighbours", "pipeline",
+]
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
