@@ -7,9 +7,12 @@
   All vectors are then put into lists: the nearest one and, for vectors near a boundary, up to COPIES lists whose
   centroid is at most CLOSE times as far and not nearer to a centroid taken before than to the vector.
 * Search. Centroids form a neighbour graph in memory (a few MB, sent to the tasks); a best-first walk over it finds the
-  lists of a vector or query. A query goes to the lists at most RATIO times as far as its nearest one, at most PROBES.
-* Scores. Queries and vectors meet list by list; a list that is expected to be large is cut into pieces, its queries
-  too. A piece gives each query's best vectors, by exact scores, that are not worse than what the sample offers.
+  lists of a vector or query. A query goes to the lists at most `ratio` times as far as its nearest one, at most PROBES;
+  the ratio is the least with which a share of REACHED of the neighbours within the sample are in such a list.
+* Scores. Lists are written once. Queries and vectors meet list by list; a list that is expected to be large is cut into
+  pieces, its queries too. A piece gives each query's best vectors by exact scores. A query's FIRST nearest lists are
+  searched before the others, of which it then takes only what is as good as its k + 1 best so far. Queries that have
+  found too few vectors are sent to all lists.
 
 Equal vectors are one candidate with their smallest numbers (k + 1 are enough for any query) and one query, so a third
 of all rows being the same vector costs nothing.
@@ -40,10 +43,11 @@ K = 20
 SAMPLE, SAMPLE_BYTES = 16_384, 32 << 20
 LISTS = 4096  # most lists
 COPIES, CLOSE, SHADOW = 4, 1.1, 0.5
-RATIO, PROBES = 1.15, 1024
+REACHED, PROBES = 0.96, 1024
 DEGREE = 24
 PIECE_ROWS = 8192  # rows of vectors, or queries, of a piece that one call scores
-BOUND = 4096  # vectors of the sample that give each query its least score
+FIRST = 3  # lists that are searched first
+CHECKED = 4096  # vectors of the sample that the ratio is taken from
 
 
 @dataclass
@@ -57,6 +61,7 @@ class Lists:
     offered: np.ndarray  # vectors of the sample
     pieces: np.ndarray
     query_pieces: np.ndarray
+    ratio: float = 2.0
 
     def lift(self, rows: np.ndarray) -> np.ndarray:
         left = np.maximum(self.norm**2 - (rows * rows).sum(1), 0.0)
@@ -130,10 +135,14 @@ class Lists:
         row, at = np.nonzero(taken)
         return row, ids[row, at]
 
-    def probe(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, list) pairs: the lists that a query is sent to."""
-        ids, far = self.nearest(rows, PROBES)
-        row, at = np.nonzero(np.isfinite(far) & (far <= RATIO**2 * far[:, :1]))
+    def probe(self, rows: np.ndarray, step: str = "near") -> tuple[np.ndarray, np.ndarray]:
+        """(row, list) pairs: the lists that a query is sent to in a step: first, near (all but those), all."""
+        ids, far = self.nearest(rows, {"first": FIRST, "near": PROBES}.get(step, len(self.centroids)))
+        good = np.isfinite(far)
+        if step == "near":
+            good &= far <= self.ratio**2 * far[:, :1]
+            good[:, :FIRST] = False
+        row, at = np.nonzero(good)
         return row, ids[row, at]
 
 
@@ -161,10 +170,22 @@ def _balanced_centroids(rows: np.ndarray, lists: int, seed: int = 3, rounds: int
     return centroids
 
 
+def _needed_ratio(lists: Lists, queries: np.ndarray) -> float:
+    """How much farther than its nearest list a query has to look, by its neighbours among the offered vectors."""
+    offered = lists.offered
+    near = np.argsort(-(queries @ offered.T), axis=1, kind="stable")[:, : K + 1]
+    row, where = lists.assign(lists.lift(offered))
+    lifted = lists.lift_queries(queries)
+    far = np.maximum((lifted**2).sum(1)[:, None] + (lists.centroids**2).sum(1) - 2 * lifted @ lists.centroids.T, 1e-12)
+    starts = np.searchsorted(row, np.arange(len(offered) + 1))
+    needed = [np.sqrt(far[i, where[starts[j] : starts[j + 1]]].min() / far[i].min()) for i in range(len(queries)) for j in near[i]]
+    return float(np.clip(np.quantile(needed, REACHED) * (1 + 1e-9), 1.02, 4.0))
+
+
 def fit_lists(sample: np.ndarray, norm: float, vectors: int, queries: int) -> Lists:
     """Posting lists from a sample of distinct vectors, for so many vectors and queries in all."""
     count = max(1, min(LISTS, len(sample) // 8, int(math.sqrt(vectors))))
-    lists = Lists(np.zeros((0, 0)), np.zeros((0, 0), np.int64), np.zeros((0, 0)), norm, sample[:BOUND], np.ones(0), np.ones(0))
+    lists = Lists(np.zeros((0, 0)), np.zeros((0, 0), np.int64), np.zeros((0, 0)), norm, sample[:CHECKED], np.ones(0), np.ones(0))
     lifted = lists.lift(sample)
     lists.centroids = _balanced_centroids(lifted, count)
     norms = (lists.centroids**2).sum(1)
@@ -183,6 +204,7 @@ def fit_lists(sample: np.ndarray, norm: float, vectors: int, queries: int) -> Li
                 room[b] += 1
         graph[:, -1] = (np.arange(count) + 1) % count
     lists.graph = graph
+    lists.ratio = _needed_ratio(lists, sample[: 256])
     some = lifted[:: max(1, len(lifted) // 2048)]
     put = np.bincount(lists.assign(some)[1], minlength=count) * (vectors / len(some))
     sent = np.bincount(lists.probe(lists.lift_queries(some[:, :-1]))[1], minlength=count) * (queries / len(some))
@@ -196,6 +218,11 @@ def _rows(column: pa.Array) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1).astype(np.float64)
 
 
+def _slack(scores: np.ndarray) -> np.ndarray:
+    """More than rounding can change a score by."""
+    return 1e-9 * np.maximum(1.0, np.abs(scores))
+
+
 def _scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Inner products of pairs of rows, component by component: the same for a pair wherever it is met."""
     out = np.zeros(len(left))
@@ -210,34 +237,30 @@ def _clean(vectors: DataFrame, number: str, vector: str) -> DataFrame:
     return held.where(finite & F.exists("vector", lambda x: x != 0))
 
 
-def _deal(rows: DataFrame, lists: Lists, queries: bool) -> DataFrame:
-    """Rows (rep, vector) in the lists, and pieces of lists, that they go to; queries carry their least useful score."""
+def _deal(rows: DataFrame, lists: Lists, step: str | None) -> DataFrame:
+    """Rows (rep, vector, least) in the pieces of the lists that they go to: vectors, or queries in a step of the search."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 own = _rows(part.column("vector"))
-                row, where = lists.probe(lists.lift_queries(own)) if queries else lists.assign(lists.lift(own))
+                row, where = lists.probe(lists.lift_queries(own), step) if step else lists.assign(lists.lift(own))
                 rep = part.column("rep").to_numpy()[row]
                 # A vector goes to one piece of its list and all pieces of the queries, a query the other way round.
-                fixed, spread = (lists.query_pieces, lists.pieces) if queries else (lists.pieces, lists.query_pieces)
+                fixed, spread = (lists.query_pieces, lists.pieces) if step else (lists.pieces, lists.query_pieces)
                 times = spread[where]
                 mine = np.repeat((rep // 7) % fixed[where], times)
                 other = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
                 row, where, rep = (np.repeat(x, times) for x in (row, where, rep))
-                least = np.full(len(row), -np.inf)
-                if queries and len(lists.offered) > K:
-                    offer = np.partition(own @ lists.offered.T, -(K + 1), axis=1)[:, -(K + 1)]
-                    least = (offer - 1e-9 * np.maximum(1.0, np.abs(offer)))[row]
-                piece, query_piece = (other, mine) if queries else (mine, other)
+                piece, query_piece = (other, mine) if step else (mine, other)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(where.astype(np.int32)), pa.array(piece.astype(np.int32)), pa.array(query_piece.astype(np.int32)),
-                    pa.array(rep), part.column("vector").take(pa.array(row)), pa.array(least)],
+                    pa.array(rep), part.column("vector").take(pa.array(row)), part.column("least").take(pa.array(row))],
                     names=["list", "piece", "query_piece", "rep", "vector", "least"])
 
     kind = dict(rows.dtypes)["vector"]
-    return rows.select("rep", "vector").mapInArrow(scan, f"list int, piece int, query_piece int, rep long, vector {kind}, least double")
+    return rows.select("rep", "vector", "least").mapInArrow(scan, f"list int, piece int, query_piece int, rep long, vector {kind}, least double")
 
 
 def _best(queries: pa.Table, vectors: pa.Table, k: int) -> pa.Table:
@@ -252,7 +275,7 @@ def _best(queries: pa.Table, vectors: pa.Table, k: int) -> pa.Table:
             bar = least[at : at + step].copy()
             if len(v) > k + 1:
                 top = np.partition(near, -(k + 1), axis=1)[:, -(k + 1)]
-                bar = np.maximum(bar, top - 1e-9 * np.maximum(1.0, np.abs(top)))
+                bar = np.maximum(bar, top - _slack(top))
             i, j = np.nonzero(near >= bar[:, None])
             out.append((q_rep[at + i], v_rep[j], _scores(q[at + i], v[j])))
     parts = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
@@ -286,15 +309,36 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = K, number:
     lists = fit_lists(sample[np.random.default_rng(1).permutation(len(sample))], float(total["norm"]), total["n"], queries.count())
 
     keys = ["list", "piece", "query_piece"]
-    pairs = _deal(queries, lists, True).groupBy(*keys).cogroup(_deal(distinct, lists, False).groupBy(*keys))
-    scored = pairs.applyInArrow(lambda q, v: _best(q, v, k), "query long, rep long, score double")
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "rep_first")
-    firsts = distinct.select("rep", "numbers", F.element_at("numbers", 1).alias("rep_first"))
-    named = join_per_key(scored.groupBy("query", "rep").agg(F.max("score").alias("score")), firsts, ["rep"], "inner")
-    top = named.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k + 1)
-    found = top.groupBy("query").agg(F.array_sort(F.flatten(F.collect_list(F.transform("numbers", lambda n: F.struct(
-        (-F.col("score")).alias("far"), n.alias("number")))))).alias("found"))
+    nothing = F.lit(float("-inf")).alias("least")
+    postings = materialize(_deal(distinct.select("rep", "vector", nothing), lists, None), "neighbours-lists")
+
+    def search(some: DataFrame, step: str) -> DataFrame:
+        pairs = _deal(some, lists, step).groupBy(*keys).cogroup(postings.groupBy(*keys))
+        scored = pairs.applyInArrow(lambda q, v: _best(q, v, k), "query long, rep long, score double")
+        return materialize(scored.groupBy("query", "rep").agg(F.max("score").alias("score")), "neighbours-scored")
+
+    numbers = distinct.select("rep", "numbers", F.element_at("numbers", 1).alias("_first"))
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "_first")
+
+    def top(scored: DataFrame) -> DataFrame:
+        """The k + 1 best vectors of each query."""
+        once = scored.groupBy("query", "rep").agg(F.max("score").alias("score"))
+        ranked = join_per_key(once, numbers, ["rep"], "inner").withColumn("_n", F.row_number().over(best))
+        return ranked.where(F.col("_n") <= k + 1)
+
+    first = search(queries.select("rep", "vector", nothing), "first")
+    least = top(first).where(F.col("_n") == k + 1).select(F.col("query").alias("rep"), "score")
+    bounded = queries.join(least, "rep", "left").select("rep", "vector", F.coalesce("score", F.lit(float("-inf"))).alias("least"))
+    scored = first.unionByName(search(bounded, "near"))
+    enough = top(scored).groupBy("query").agg(F.sum(F.size("numbers")).alias("n")).where(F.col("n") > k).select(F.col("query").alias("rep"))
+    short = materialize(queries.join(enough, "rep", "left_anti").select("rep", "vector", nothing), "neighbours-short")
+    if not short.isEmpty():
+        scored = scored.unionByName(search(short, "all"))
+
+    found = top(scored).groupBy("query").agg(F.flatten(F.collect_list(F.transform("numbers", lambda n: F.struct(
+        (-F.col("score")).alias("far"), n.alias("number"))))).alias("found"))
     own = join_per_key(asked, found.withColumnRenamed("query", "rep"), ["rep"], "inner")
+    own = own.groupBy("query_id").agg(F.array_sort(F.flatten(F.collect_list("found"))).alias("found"))
     # A number with several vectors counts with its best one.
     others = F.filter("found", lambda f: f["number"] != F.col("query_id"))
     once = F.filter(others, lambda f, i: (i == 0) | ~F.exists(F.slice(others, F.lit(1), i), lambda g: g["number"] == f["number"]))

@@ -1,8 +1,8 @@
 """URL filters: a memory-mapped array of sorted 64-bit keys, probed by binary search.
 
 A rule is a host and the start of a path. It fits its host and all subdomains where the path of the URL starts with
-the rule's; of several that fit, the longest (host and path together) wins, and where a rule is listed with both
-verdicts, block wins. The index holds the xxhash of each rule's text, sorted, beside the texts themselves: a key that
+the rule's; of several that fit, the longest (host and path together) wins, of equally long ones the first in byte
+order, and where a rule is listed with both verdicts, block wins. The index holds the xxhash of each rule's text, sorted, beside the texts themselves: a key that
 is found counts only if the stored text is the same, so colliding keys do no harm. The index is written in files of at
 most `most` rules below spark.checkpoint.dir and mapped by the tasks; rules pass the driver one partition at a time.
 
