@@ -69,7 +69,8 @@ def _among(values: np.ndarray, held: np.ndarray) -> np.ndarray:
 class Templates:
     """Template words of a block of texts."""
 
-    def __init__(self, data: np.ndarray, rows: np.ndarray):
+    def __init__(self, data: np.ndarray, rows: np.ndarray, opening: bool = True):
+        """opening: whether a text starts a sentence."""
         starts, ends, first = word_spans(data, rows)
         core = np.flatnonzero(_CORE[data])
         if not len(core):
@@ -78,9 +79,9 @@ class Templates:
         high = np.searchsorted(core, ends)
         held = high > low
         owner = np.repeat(np.arange(len(rows) - 1), np.diff(first)) if len(starts) else np.zeros(0, np.int64)
-        opens = np.ones(len(starts), bool)  # starts a sentence
+        opens = np.full(len(starts), opening)  # starts a sentence
         if len(starts) > 1:
-            opens[1:] = _ENDS[data[ends[:-1] - 1]] | (data[starts[1:] - 1] == 10) | (owner[1:] != owner[:-1])
+            opens[1:] = _ENDS[data[ends[:-1] - 1]] | (data[starts[1:] - 1] == 10) | ((owner[1:] != owner[:-1]) & opening)
         owner, opens = owner[held], opens[held]
         self.starts, self.ends = (core[low[held]], core[high[held] - 1] + 1) if len(core) else (starts, ends)
         self.data = LOWER[data]
@@ -131,19 +132,22 @@ def _batch(name: str, rows: list[tuple]) -> pa.RecordBatch:
 
 
 def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row per window of each item: item_id, size, hash, pos, template, kinds, slots."""
+    """One row per window of each item: item_id, size, hash, pos, template, kinds, slots.
+
+    A document may quote an item within a sentence, so a capitalised first word is taken as a word and as a name.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("item_id").to_pylist()
             for at, data, rows in text_blocks(batch.column("text")):
                 for i in range(len(rows) - 1):
-                    text = Templates(data[rows[i] : rows[i + 1]], np.array([0, rows[i + 1] - rows[i]]))
-                    size = min(window, len(text.starts))
-                    if size >= SHORTEST:
-                        found = zip(*text.windows(size), strict=True)
-                        yield _batch("item_id", [
-                            (ids[at + i], size, int(np.int64(h.view(np.int64))), int(p), *text.describe(int(p), size)) for p, h in found])
+                    for opening in (True, False):
+                        text = Templates(data[rows[i] : rows[i + 1]], np.array([0, rows[i + 1] - rows[i]]), opening)
+                        size = min(window, len(text.starts))
+                        if size >= SHORTEST:
+                            found = zip(*text.windows(size), strict=True)
+                            yield _batch("item_id", [(ids[at + i], size, int(h.view(np.int64)), int(p), *text.describe(int(p), size)) for p, h in found])
 
     return items.where("item_id IS NOT NULL").select("item_id", "text").mapInArrow(cut, _SCHEMA.format(id="item_id"))
 

@@ -55,10 +55,11 @@ class RangeMinimum:
             own = np.flatnonzero((span >= 2**level) & (span < 2 ** (level + 1)))
             row = self.table[level]
             out[own] = np.minimum(out[own], np.minimum(row[first[own]], row[last[own] - 2**level]))
-        for step in range(self.BLOCK):
-            for place in (low + step, high - 1 - step):
-                good = np.flatnonzero((place >= low) & (place < high))
-                out[good] = np.minimum(out[good], self.values[place[good]])
+        # The first and the last BLOCK places of each range.
+        step = np.arange(self.BLOCK)
+        for place in (low[:, None] + step, high[:, None] - 1 - step):
+            np.clip(place, low[:, None], high[:, None] - 1, out=place)
+            np.minimum(out, self.values[place].min(axis=1), out=out)
         return out
 
 
@@ -85,6 +86,7 @@ class FMIndex:
     """Index of a text of word numbers, 0 being a separator, for patterns of up to `depth` words."""
 
     CHECKS = (4, 8, 16, 32)
+    STRETCH = 32  # windows of a piece that are searched one after the other
 
     def __init__(self, text: np.ndarray, depth: int):
         self.text = text
@@ -109,8 +111,13 @@ class FMIndex:
         """
         found: list[tuple[int, int, int]] = []
         text, n = self.text, len(self.text)
-        piece = np.flatnonzero(begin + window <= end)
-        at = begin[piece]
+        asks = np.zeros(window + 1, bool)
+        asks[[*(c for c in self.CHECKS if c < window), window]] = True
+        # Long pieces are searched in several stretches at a time.
+        stretches = np.maximum(0, end - begin - window + self.STRETCH) // self.STRETCH
+        piece = np.repeat(np.arange(len(begin)), stretches)
+        at = begin[piece] + self.STRETCH * (np.arange(len(piece)) - np.repeat(np.cumsum(stretches) - stretches, stretches))
+        last = np.minimum(at + self.STRETCH, end[piece] - window + 1)
         left = at + window
         low, high = np.zeros(len(piece), np.int64), np.full(len(piece), n)
         while len(piece):
@@ -118,7 +125,7 @@ class FMIndex:
             low, high = self.extend(text[left], low, high)
             length = at + window - left
             bad = high - low <= 1
-            asked = np.flatnonzero(~bad & np.isin(length, (*self.CHECKS, window)))
+            asked = np.flatnonzero(~bad & asks[length])
             place = self.minimum.least(low[asked], high[asked])
             good = place < limit[piece[asked]]
             bad[asked[~good]] = True
@@ -142,8 +149,7 @@ class FMIndex:
             left = np.where(bad, at + window, left)
             low = np.where(bad, 0, low)
             high = np.where(bad, n, high)
-            keep = left - 1 < end[piece]
-            keep &= at + window <= end[piece]
+            keep = at < last
             if not keep.all():
-                piece, at, left, low, high = (x[keep] for x in (piece, at, left, low, high))
+                piece, at, last, left, low, high = (x[keep] for x in (piece, at, last, left, low, high))
         return found
