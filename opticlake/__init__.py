@@ -1 +1 @@
-"""Network-optics telemetry analytics as Spark DataFrame jobs."""
+"""Analytics of network optics as Spark DataFrame jobs."""

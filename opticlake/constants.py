@@ -1,4 +1,4 @@
-"""Values that must equal the telemetry formats for results to be right."""
+"""Values that must equal those of the formats for results to be right."""
 
 # --- Fixed values: reply tags and the fields they fill -----------------------
 

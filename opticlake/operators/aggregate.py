@@ -32,12 +32,24 @@ def run_summary(bundle: dict[str, DataFrame], failed: DataFrame) -> DataFrame:
     return per_device.unionByName(overall).withColumn("exit_status", (F.col("failed_devices") > 0).cast("int"))
 
 
-def doc_metric_counts(docs: DataFrame, **parsed: DataFrame) -> DataFrame:
-    """Rows that each reply gave, per parsed table, and whether it gave none; replies without rows show 0."""
-    keys = ["device", "run_timestamp"]
-    out = docs.select(*keys, "rpc").distinct()
+#: The call whose replies a parsed table comes from.
+TABLE_RPCS = {
+    "interfaces": "optics_diagnostics", "lanes": "optics_diagnostics", "stats": "interface_statistics",
+    "system": "system_information", "serials": "chassis_inventory", "transceivers": "chassis_inventory",
+}
+
+
+def doc_metric_counts(docs: DataFrame, rpcs: dict[str, str] | None = None, **parsed: DataFrame) -> DataFrame:
+    """Rows that each reply gave, per parsed table, and whether it gave none; replies without rows show 0.
+
+    A table's rows count for the replies of its own call only; `rpcs` names the calls of further tables.
+    """
+    known = TABLE_RPCS | (rpcs or {})
+    keys = ["device", "run_timestamp", "rpc"]
+    out = docs.select(*keys).distinct()
     for name, df in parsed.items():
-        out = out.join(df.groupBy(*keys).agg(F.count("*").alias(f"{name}_count")), keys, "left")
+        own = df if "rpc" in df.columns else df.withColumn("rpc", F.lit(known[name]))
+        out = out.join(own.groupBy(*keys).agg(F.count("*").alias(f"{name}_count")), keys, "left")
     counts = [f"{name}_count" for name in parsed]
     out = out.withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in counts})
     empty = F.lit(True)

@@ -1,7 +1,7 @@
 """Joins that add device and transceiver metadata.
 
-The sides that describe devices and transceivers are made unique per key, so no
-join adds rows. None is broadcast by hint: the optimizer does so where it
+The sides that describe devices and transceivers are made unique per key and run,
+and a row takes what was known at its run, so no join adds rows. None is broadcast by hint: the optimizer does so where it
 measures a small side, and splits skewed partitions of the other joins.
 """
 
@@ -12,16 +12,19 @@ from pyspark.sql import functions as F
 
 from opticlake import constants as C
 from opticlake.functions import filled, normalize_if_name
-from opticlake.operators.joins import join_per_key, unique_per_key
+from opticlake.operators.joins import join_as_of, join_per_key, newest_per_key, unique_per_key
 
 BASE = "_base"
-DEVICE_FACTS = ["origin_hostname", "device_profile", "origin_name", "inventory_instance"]
+
+
+def _run(df: DataFrame) -> list[str]:
+    return [c for c in ("run_timestamp",) if c in df.columns]
 
 
 def _fill_from(df: DataFrame, right: DataFrame, keys: list[str], columns: list[str], keep_old: bool = False) -> DataFrame:
     """Left join; a non-empty new value replaces the old one, or the reverse with `keep_old`."""
-    extra = right.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns])
-    joined = join_per_key(df, extra, keys)
+    extra = right.select(*keys, *_run(right), *[F.col(c).alias(f"_new_{c}") for c in columns])
+    joined = join_as_of(df, extra, keys)
     merged = {}
     for c in columns:
         new = filled(f"_new_{c}")
@@ -32,25 +35,21 @@ def _fill_from(df: DataFrame, right: DataFrame, keys: list[str], columns: list[s
 
 def enrich_device_metadata(df: DataFrame, system: DataFrame, serials: DataFrame) -> DataFrame:
     """Host name, profile, serial and inventory name of the device; empty ones change nothing."""
-    facts = (
-        unique_per_key(system.select("device", "origin_hostname", "device_profile"), ["device"])
-        .withColumn("inventory_instance", F.col("device"))
-        .join(unique_per_key(serials.select("device", "origin_name"), ["device"]), "device", "full")
-    )
-    return _fill_from(df, facts, ["device"], DEVICE_FACTS)
+    facts = system.withColumn("inventory_instance", F.col("device"))
+    rows = _fill_from(df, facts, ["device"], ["origin_hostname", "device_profile", "inventory_instance"])
+    return _fill_from(rows, serials, ["device"], ["origin_name"])
 
 
 def enrich_transceiver(df: DataFrame, ports: DataFrame) -> DataFrame:
     """Eight transceiver columns from the port details of the base interface."""
-    right = unique_per_key(ports.select("device", F.col("if_name").alias(BASE), *C.TRANSCEIVER_COLUMNS),
-                           ["device", BASE])
+    right = ports.select("device", F.col("if_name").alias(BASE), *_run(ports), *C.TRANSCEIVER_COLUMNS)
     rows = df.withColumn(BASE, normalize_if_name("if_name"))
     return _fill_from(rows, right, ["device", BASE], C.TRANSCEIVER_COLUMNS).drop(BASE)
 
 
 def serial_precedence(df: DataFrame, chassis: DataFrame) -> DataFrame:
     """The serial already present, from the ports, goes before the chassis one."""
-    right = unique_per_key(chassis.select("device", F.col("if_name").alias(BASE), "serial_number"), ["device", BASE])
+    right = chassis.select("device", F.col("if_name").alias(BASE), *_run(chassis), "serial_number")
     rows = df.withColumn(BASE, normalize_if_name("if_name"))
     return _fill_from(rows, right, ["device", BASE], ["serial_number"], keep_old=True).drop(BASE)
 
@@ -65,19 +64,18 @@ def channel_fanout(df: DataFrame, xcvr: DataFrame, on: list[str] = ("device",))
 def enrich_lake_chassis(df: DataFrame, chassis: DataFrame) -> DataFrame:
     """Lake rule: part number from the chassis, else the interface; serial from the chassis alone."""
     parts = F.col("part_number") if "part_number" in chassis.columns else F.lit(None).cast("string")
-    right = unique_per_key(
-        chassis.select("device", F.col("if_name").alias(BASE), parts.alias("_part"),
-                       F.col("serial_number").alias("_serial")), ["device", BASE])
+    right = chassis.select("device", F.col("if_name").alias(BASE), *_run(chassis), parts.alias("_part"),
+                           F.col("serial_number").alias("_serial"))
     own = F.col("part_number") if "part_number" in df.columns else F.lit(None).cast("string")
     rows = df.withColumns({BASE: normalize_if_name("if_name"), "part_number": own})
-    return join_per_key(rows, right, ["device", BASE]).withColumns({
+    return join_as_of(rows, right, ["device", BASE]).withColumns({
         "part_number": F.coalesce(filled("_part"), "part_number", F.lit("")),
         "serial_number": F.coalesce("_serial", F.lit("")),
     }).drop(BASE, "_part", "_serial")
 
 
 def assemble_device_bundle(system: DataFrame, chassis: DataFrame, optics: DataFrame, stats: DataFrame) -> DataFrame:
-    """One row per device seen in any of the four documents.
+    """One row per device seen in any of the four documents, with the facts of its newest run.
 
     Host name and serial default to the device; a system document replaces the
     host name and profile, a chassis document the serial, even by NULL.
@@ -91,9 +89,10 @@ def assemble_device_bundle(system: DataFrame, chassis: DataFrame, optics: DataFr
     devices = seen.groupBy("device").agg(*[
         F.max(F.col("_flag") == flag).alias(f"has_{flag}") for flag in ("system", "chassis", "optics", "stats")
     ])
-    facts = unique_per_key(system.select("device", F.col("origin_hostname").alias("_host"),
-                                         F.col("device_profile").alias("_profile")), ["device"])
-    serial = unique_per_key(chassis.select("device", F.col("origin_name").alias("_serial")), ["device"])
+    facts = newest_per_key(system.select("device", *_run(system), F.col("origin_hostname").alias("_host"),
+                                         F.col("device_profile").alias("_profile")), ["device"]).drop("run_timestamp")
+    serial = newest_per_key(chassis.select("device", *_run(chassis), F.col("origin_name").alias("_serial")),
+                            ["device"]).drop("run_timestamp")
     rows = devices.join(facts, "device", "left").join(serial, "device", "left")
     return rows.select(
         "device",

@@ -26,6 +26,7 @@ from opticlake.functions import (
     parse_numeric_units,
     parse_speed_bps,
 )
+from opticlake.operators.joins import join_per_key
 from opticlake.session import materialize
 
 XML_OPTIONS = {
@@ -130,14 +131,14 @@ def coalesce_rx_power(primary: Column, fallback: Column) -> Column:
 
 
 def inject_metadata(df: DataFrame, meta: dict | DataFrame | None) -> DataFrame:
-    """Constant or per-device metadata; it replaces columns of the same name."""
+    """Constant or per-device metadata; it replaces columns of the same name. Of a device's rows the largest counts."""
     if meta is None:
         return df
     if isinstance(meta, dict):
         return df.withColumns({name: F.lit(value) for name, value in meta.items()})
     extra = [c for c in meta.columns if c != "device"]
-    right = meta.select("device", F.struct(*extra).alias("_meta"))
-    joined = df.join(right, "device", "left")
+    right = meta.groupBy("device").agg(F.max(F.struct(*extra)).alias("_meta"))
+    joined = join_per_key(df, right, ["device"])
     own = {
         c: F.when(F.col("_meta").isNotNull(), F.col("_meta")[c]).otherwise(F.col(c)) if c in df.columns
         else F.col("_meta")[c]

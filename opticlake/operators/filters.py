@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from opticlake import constants as C
 from opticlake.functions import filled, run_time_columns
 from opticlake.operators.enrich import enrich_lake_chassis
+from opticlake.operators.joins import join_per_key
 
 
 def name_list(text: str | Column) -> Column:
@@ -29,8 +30,10 @@ def filter_interfaces(df: DataFrame, names: str | DataFrame | None, on: str = "i
 def resolve_filter_precedence(df: DataFrame, devices: DataFrame, global_filter: str | None = None) -> DataFrame:
     """The device's filter if it has one (empty means all), else the global one, else all."""
     wanted = F.coalesce("interface_filter", F.lit(global_filter), F.lit(""))
-    filters = devices.select("device", wanted.alias("_filter"), name_list(wanted).alias("_names"))
-    rows = df.join(filters, "device", "left")
+    # A device that is listed twice has one filter: the largest text, so that an empty one does not undo a real one.
+    filters = devices.groupBy("device").agg(F.max("interface_filter").alias("interface_filter")).select(
+        "device", wanted.alias("_filter"), name_list(wanted).alias("_names"))
+    rows = join_per_key(df, filters, ["device"])
     whole = F.coalesce(F.col("_filter"), F.lit(global_filter), F.lit(""))
     names = F.coalesce(F.col("_names"), name_list(F.lit(global_filter)))
     return rows.where((whole == "") | F.array_contains(names, F.col("if_name"))).drop("_filter", "_names")
@@ -70,7 +73,7 @@ def _identity(df: DataFrame, run_timestamp: int | Column | None) -> DataFrame:
 
 def _with_device(rows: DataFrame, devices: DataFrame) -> DataFrame:
     facts = ["origin_hostname", "origin_name", "inventory_instance", "device_profile"]
-    return rows.drop(*facts).join(devices.select("device", *facts), "device", "left")
+    return join_per_key(rows.drop(*facts), devices.select("device", *facts), ["device"])
 
 
 def project_interface_dom(interfaces: DataFrame, devices: DataFrame, chassis: DataFrame,

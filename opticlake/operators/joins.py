@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _HASH = "_key_hash"
@@ -14,6 +14,39 @@ def unique_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.max(F.struct(*values)).alias("_v")).select(*keys, "_v.*")
 
 
+def newest_per_key(df: DataFrame, keys: list[str], run: str = "run_timestamp") -> DataFrame:
+    """One whole row per key: of the newest run where the rows carry one, else as `unique_per_key`."""
+    if run not in df.columns or run in keys:
+        return unique_per_key(df, keys)
+    values = [c for c in df.columns if c not in keys]
+    newest = df.groupBy(*keys).agg(F.max(F.struct(run, *[c for c in values if c != run])).alias("_v"))
+    return newest.select(*keys, *[F.col("_v")[c].alias(c) for c in values])
+
+
+def join_as_of(rows: DataFrame, facts: DataFrame, keys: list[str], run: str = "run_timestamp") -> DataFrame:
+    """Left join of facts as they were known at each row's run: those of the newest run at or before it.
+
+    Without a run on the rows the newest facts count. Facts that stay the same from run to run are one version,
+    valid until the next one, so a row meets as many candidates as its key has versions. A row without a run stamp
+    takes the last version. No row is added: each key and time has one version at most.
+    """
+    values = [c for c in facts.columns if c not in (*keys, run)]
+    if run not in rows.columns or run not in facts.columns or run in keys:
+        return join_per_key(rows, newest_per_key(facts, keys).drop(run), keys)
+    one = facts.where(F.col(run).isNotNull()).groupBy(*keys, run).agg(F.max(F.struct(*values)).alias("_v"))
+    order = Window.partitionBy(*keys).orderBy(run)
+    changed = one.withColumn("_old", F.lag("_v").over(order)).where(~F.col("_v").eqNullSafe(F.col("_old"))).drop("_old")
+    until = F.coalesce(F.lead(run).over(order), F.lit(2**63 - 1))
+    right = changed.withColumn("_until", until).withColumnRenamed(run, "_from").withColumn(f"_right{_HASH}", F.xxhash64(*keys))
+    right = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    left = rows.withColumn(_HASH, F.xxhash64(*keys))
+    at = F.coalesce(F.col(run).cast("long"), F.lit(2**63 - 2))
+    same = [F.col(_HASH) == F.col(f"_right{_HASH}"), *[F.col(k) == F.col(f"_right_{k}") for k in keys],
+            F.col("_from") <= at, at < F.col("_until")]
+    joined = left.join(right, same, "left")
+    return joined.select(*[F.col(c) for c in rows.columns], *[F.col("_v")[c].alias(c) for c in values])
+
+
 def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str = "left",
                  nulls_match: bool = False) -> DataFrame:
     """Join rows to the result of an aggregate over the same keys.

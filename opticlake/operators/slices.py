@@ -122,16 +122,6 @@ def with_rows_before(s: Series, n: int) -> DataFrame:
     return rows.unionByName(carried.withColumn(CARRY, F.lit(True)))
 
 
-def with_time_before(s: Series, seconds: int) -> DataFrame:
-    """Sliced rows, plus those of the slice before that a span of `seconds` reaches back to."""
-    rows = s.sliced()
-    if s.width is None:
-        return rows
-    reach = F.floor((F.col(s.ts) + seconds) / s.width)
-    carried = rows.where(reach > F.col(SLICE)).withColumns({SLICE: F.col(SLICE) + 1, CARRY: F.lit(True)})
-    return rows.unionByName(carried)
-
-
 def span_fits(df: DataFrame, keys: list[str], ts: str, seconds: int) -> bool:
     """Whether sliding frames of this span are short: in a sliding frame each row reads its whole frame again."""
     return heaviest_slices(df, keys, ts, [seconds])[seconds] <= group_limit(df.sparkSession) // 100
@@ -141,22 +131,31 @@ def span_sums(df: DataFrame, keys: list[str], ts: str, seconds: int, sums: dict[
               weighted: Callable[[Column], dict[str, Column]] = lambda at: {}) -> DataFrame:
     """(keys, ts, sums...) over [ts - seconds, ts], one row per key and second, for series of any density.
 
-    Samples of one second are added up before the shuffle. Each second then
-    enters at its time and leaves when the span has passed, so every sum is a
-    running one: no row reads its frame again. `weighted` gives more sums from
-    these and from the second, counted from near the frame.
+    Samples of one second are added up before the shuffle, and the series is cut into slices as long as the frame. A
+    frame is the start of its own slice up to ts, plus the end of the slice before from ts - seconds on: two running
+    sums, one forwards and one backwards, to which values are only ever added. So an infinite or very large value
+    acts on the frames that hold it and on no others. `weighted` gives more sums from these and from the second,
+    counted from the slice's start.
     """
     per_second = df.groupBy(*keys, ts).agg(*[F.sum(v).alias(name) for name, v in sums.items()])
-    s = Series(per_second, keys, ts, [ts], max(seconds, WIDTHS[0]))
-    rows = with_time_before(s, seconds)
+    s = Series(per_second, keys, ts, [ts], seconds + 1)
+    rows = s.sliced()
+    before = rows.withColumns({SLICE: F.col(SLICE) + 1, CARRY: F.lit(True)})
+    rows = rows.unionByName(before)
     rows = rows.withColumns(weighted((F.col(ts) - F.col(SLICE) * s.width).cast("double")))
     totals = [c for c in rows.columns if c not in (*keys, ts, SLICE, CARRY)]
-    moves = F.array(F.struct(F.lit(1).alias("sign"), F.col(ts).alias("at")),
-                    F.struct(F.lit(-1).alias("sign"), (F.col(ts) + seconds + 1).alias("at")))
-    rows = rows.withColumn("_move", F.explode(moves)).select("*", "_move.*").drop("_move")
-    running = Window.partitionBy(*keys, SLICE).orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumns({c: F.sum(F.col(c) * F.col("sign")).over(running) for c in totals})
-    return own_rows(rows.where(F.col("sign") == 1).drop("sign", "at"))
+    # A carried second is in the frames up to `seconds` later.
+    rows = rows.withColumn("_upto", F.col(ts) + F.when(F.col(CARRY), seconds).otherwise(0))
+    whole = Window.partitionBy(*keys, SLICE)
+    forwards = whole.orderBy("_upto").rangeBetween(Window.unboundedPreceding, 0)
+    backwards = whole.orderBy(F.col("_upto").desc()).rangeBetween(Window.unboundedPreceding, 0)
+
+    def total(c: str) -> Column:
+        own = F.sum(F.when(~F.col(CARRY), F.col(c))).over(forwards)
+        carried = F.sum(F.when(F.col(CARRY), F.col(c))).over(backwards)
+        return F.when(own.isNull(), carried).when(carried.isNull(), own).otherwise(own + carried)
+
+    return own_rows(rows.withColumns({c: total(c) for c in totals}).drop("_upto"))
 
 
 def own_rows(df: DataFrame) -> DataFrame:

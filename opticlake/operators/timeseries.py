@@ -11,7 +11,7 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opticlake.operators.joins import join_per_key
+from opticlake.operators.joins import join_as_of, join_per_key
 from opticlake.operators.slices import (
     fits_one_task,
     group_quantiles,
@@ -180,9 +180,10 @@ def threshold_status(df: DataFrame, metrics: list[str]) -> DataFrame:
 
 def lane_threshold_status(lanes: DataFrame, thresholds: DataFrame, metrics: list[str],
                           keys: list[str] = KEYS) -> DataFrame:
-    """Lane values against the thresholds of their interface (one row per key)."""
+    """Lane values against the thresholds of their interface: those of the lane's run, or the newest before it."""
     bounds = [f"{m}_{b}" for m in metrics for b in ("high_alarm", "low_alarm", "high_warn", "low_warn")]
-    return threshold_status(lanes.join(thresholds.select(*keys, *bounds), keys, "left"), metrics)
+    run = [c for c in ("run_timestamp",) if c in thresholds.columns]
+    return threshold_status(join_as_of(lanes, thresholds.select(*keys, *run, *bounds), keys), metrics)
 
 
 def health_class(df: DataFrame, rate: str = "fec_nccw_rate", drift: str = "rx_power_drift",
@@ -219,13 +220,21 @@ def time_to_threshold(df: DataFrame, metric: str, threshold: float | str, keys:
 def degradation_model(frame: DataFrame, features: list[str], label: str = "failure_label",
                       categories: list[str] = (), ts: str = "ts", train_share: float = 0.7,
                       seed: int = 42) -> tuple[PipelineModel, DataFrame]:
-    """Boosted trees on the failure label, trained on the earlier and scored on the later rows."""
+    """Boosted trees on the failure label, trained on the earlier and scored on all later rows.
+
+    A missing number is 0 with a flag beside it, a missing or new category one of its own, so no row is dropped; rows
+    whose label is not known yet are scored too.
+    """
     known = frame.where(F.col(label).isNotNull())
     cut = known.approxQuantile(ts, [train_share], 0.001)[0]
     indexed = [f"{c}_index" for c in categories]
+    filled = {f"{c}_known": F.coalesce(c, F.lit(0.0)).cast("double") for c in features}
+    flags = {f"{c}_missing": F.col(c).isNull().cast("double") for c in features}
+    # Trees cannot split on NaN or infinite values: they count as missing.
+    finite = frame.withColumns({c: F.when(F.abs(F.col(c)) < float("inf"), F.col(c).cast("double")) for c in features})
+    rows = finite.withColumns(filled | flags)
     stages = [StringIndexer(inputCol=c, outputCol=i, handleInvalid="keep") for c, i in zip(categories, indexed)]
-    stages.append(VectorAssembler(inputCols=[*features, *indexed], outputCol="features", handleInvalid="skip"))
+    stages.append(VectorAssembler(inputCols=[*filled, *flags, *indexed], outputCol="features", handleInvalid="keep"))
     stages.append(GBTClassifier(labelCol=label, featuresCol="features", maxIter=10, maxDepth=4, seed=seed))
-    model = Pipeline(stages=stages).fit(known.where(F.col(ts) <= cut))
-    return model, model.transform(known.where(F.col(ts) > cut))
-
+    model = Pipeline(stages=stages).fit(rows.where(F.col(label).isNotNull() & (F.col(ts) <= cut)))
+    return model, model.transform(rows.where(F.col(ts) > cut)).drop(*filled, *flags)

@@ -261,9 +261,9 @@ def write_exposition(spark, sf):
     folder = scratch(spark, "exposition")
     samples = U.unpivot_exposition_lane(view(spark, sf, "t_lanes"), ["device"])
     lines = U.exposition_lines(samples, ["device"]).withColumnRenamed("device", "instance")
-    K.write_exposition(lines, folder, "telemetry")
+    K.write_exposition(lines, folder, "optics")
     pattern = r"^([a-z_]+)\{(.*)\} (\S+)$"
-    return spark.read.text(folder).where(F.col("job") == "telemetry").select(
+    return spark.read.text(folder).where(F.col("job") == "optics").select(
         "instance", F.regexp_extract("value", pattern, 1).alias("metric"),
         F.regexp_extract("value", pattern, 2).alias("labels"),
         F.regexp_extract("value", pattern, 3).cast("double").alias("value"))

@@ -188,6 +188,6 @@ def time_to_threshold(spark, sf):
 @query("degradation_model")
 def degradation_model(spark, sf):
     rates = W.counter_rates(_deltas(spark, sf), _COUNTERS)
-    frame = W.failure_label(rates, 21600, tiebreak=_ORDER).na.fill(0.0, ["fec_ccw_rate", "fec_nccw_rate"])
+    frame = W.failure_label(rates, 21600, tiebreak=_ORDER)
     _, scored = W.degradation_model(frame, ["fec_ccw_rate", "fec_nccw_rate", "value"], categories=["if_name"])
     return scored.select("event_id", "device", "if_name", "failure_label", "prediction")

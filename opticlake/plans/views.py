@@ -80,7 +80,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def view(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A telemetry view as a DataFrame."""
+    """A view of the tables as a DataFrame."""
     configure(spark)
     if name in TABLES:
         return table(spark, sf, name)

@@ -7,6 +7,8 @@ rows is split over several tasks instead of going through one.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,16 +32,24 @@ def append_same_file(df: DataFrame, path: str, partitions: list[str] = (), compr
 
 
 def write_lake_hourly(datasets: dict[str, DataFrame], root: str, compression: str = "snappy") -> list[str]:
-    """Write each dataset below its dt and hr; a dataset without rows writes nothing."""
+    """Write each dataset below its dt and hr; a dataset without rows writes nothing. The names of those with rows."""
     written = []
     for name, df in datasets.items():
-        if df.isEmpty():
-            continue
+        # Whether there are rows shows in the bytes written, so nothing upstream runs twice.
+        before = _size(df.sparkSession, f"{root}/{name}")
         append_same_file(df, f"{root}/{name}", PARTITIONS, compression)
-        written.append(name)
+        if _size(df.sparkSession, f"{root}/{name}") > before:
+            written.append(name)
     return written
 
 
+def _size(spark: SparkSession, folder: str) -> int:
+    """Bytes below a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.getContentSummary(path).getLength() if store.exists(path) else 0
+
+
 def write_per_device(df: DataFrame, root: str, by_device: bool = True, compression: str = "snappy",
                      collected_at: Column | None = None) -> None:
     """Older layout: dt, then the device if asked, with collection date and time as columns."""
@@ -96,21 +106,58 @@ def publish_partition(spark: SparkSession, source: str, target: str, dt: str, hr
     )
 
 
+def _files(spark: SparkSession, folder: str) -> dict[str, object]:
+    """Data files of one folder by name, and the file system they are in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    listed = store.listStatus(path) if store.exists(path) else []
+    return {f.getPath().getName(): f.getPath() for f in listed if f.isFile() and not f.getPath().getName().startswith(("_", "."))}
+
+
+_MARK = "_merging"
+
+
+def _settle(store, folder: str, path) -> None:
+    """End a merge that was lost on the way: finish it where all merged files are in place, else undo it."""
+    mark = path(f"{folder}/{_MARK}")
+    if not store.exists(mark):
+        return
+    stream = store.open(mark)
+    old, new = json.loads(bytes(stream.readAllBytes()))
+    stream.close()
+    whole = all(store.exists(path(f"{folder}/{name}")) for name in new)
+    for name in old if whole else new:
+        store.delete(path(f"{folder}/{name}"), False)
+    store.delete(mark, False)
+
+
 def compact_partition(spark: SparkSession, root: str, dt: str, hr: str, files: int, staging: str) -> None:
     """Merge the small files of one hour into at most `files`.
 
-    The merged rows are written to staging first and the hour is replaced from
-    there, so a lost run leaves either the old files or a whole copy in staging.
+    Only the files that were listed at the start are read and, once the merged ones are in the hour's folder, deleted;
+    a file that arrives meanwhile is left alone. A mark in the folder names both, so that the next run can finish or
+    undo a merge that was lost on the way.
     """
-    hour = spark.read.parquet(root).where((F.col("dt") == dt) & (F.col("hr") == hr))
-    hour.repartition(files).write.mode("overwrite").partitionBy(*PARTITIONS).parquet(staging)
-    merged = spark.read.schema(hour.schema).parquet(staging)
-    if merged.count() != hour.count():
-        raise RuntimeError(f"rows arrived in {root} dt={dt} hr={hr} while it was merged; run it again")
-    (
-        merged.coalesce(files).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .options(**write_options()).partitionBy(*PARTITIONS).parquet(root)
-    )
+    folder, path = f"{root}/dt={dt}/hr={hr}", spark._jvm.org.apache.hadoop.fs.Path
+    store = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    _settle(store, folder, path)
+    old = _files(spark, folder)
+    if len(old) <= files:
+        return
+    schema = spark.read.parquet(folder).schema
+    rows = spark.read.schema(schema).parquet(*[p.toString() for p in old.values()])
+    rows.repartition(files).write.mode("overwrite").options(**write_options()).parquet(staging)
+    if spark.read.schema(schema).parquet(staging).count() != rows.count():
+        raise RuntimeError(f"{folder} could not be read twice with the same rows")
+    moved = {f"merged-{name}": part for name, part in _files(spark, staging).items()}
+    stream = store.create(path(f"{folder}/{_MARK}"), False)
+    stream.write(json.dumps([list(old), list(moved)]).encode())
+    stream.close()
+    for name, part in moved.items():
+        if not store.rename(part, path(f"{folder}/{name}")):
+            _settle(store, folder, path)
+            raise RuntimeError(f"{part} could not be moved to {folder}; the old files are still there")
+    _settle(store, folder, path)
 
 
 def register_tables(spark: SparkSession, root: str, schemas: dict[str, T.StructType], database: str = "default") -> list[str]:
@@ -187,9 +234,12 @@ def latest_errors_topk(df: DataFrame, dt: str, device: str, k: int = 100) -> Dat
 
 
 def write_exposition(lines: DataFrame, folder: str, job: str) -> None:
-    """Text lines below one folder per job and instance; no lines is a success too."""
-    lines.withColumn("job", F.lit(job)).hint("rebalance", "job", "instance").write.mode("overwrite").partitionBy(
-        "job", "instance").text(folder)
+    """Text lines below one folder per job and instance; no lines is a success too.
+
+    The instances that have lines are replaced; other jobs and instances stay as they are.
+    """
+    rows = lines.withColumn("job", F.lit(job)).hint("rebalance", "job", "instance").write.mode("overwrite")
+    rows.option("partitionOverwriteMode", "dynamic").partitionBy("job", "instance").text(folder)
 
 
 def write_parsed_json(interfaces: DataFrame, lanes: DataFrame, folder: str, fmt: str = "json") -> None:
