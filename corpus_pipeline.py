@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opticlake.llm.catalog import prepare
 from opticlake.llm.decontaminate import find_leaks
 from opticlake.llm.jaccard import first_of_each
 from opticlake.llm.langid import identify
@@ -16,7 +17,7 @@ from opticlake.llm.langid import train as train_languages
 from opticlake.llm.mixing import mix_documents
 from opticlake.llm.pii import redact
 from opticlake.llm.pii import train as train_pii
-from opticlake.session import configure, materialize
+from opticlake.session import materialize
 
 #: The least score of a document that the language stage keeps.
 LEAST_SCORE = 0.4
@@ -24,34 +25,34 @@ LEAST_SCORE = 0.4
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language: those without a letter, or with no language clearly nearest, go."""
-    configure(spark)
+    prepare(spark)
     judged = identify(docs, train_languages(docs))
     return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest doc_id."""
-    configure(spark)
+    prepare(spark)
     return first_of_each(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    configure(spark)
+    prepare(spark)
     leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
     return docs.join(materialize(leaks, "leaks"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind; n_chars is that of the new text."""
-    configure(spark)
+    prepare(spark)
     clean = redact(docs, train_pii(docs))
     return clean.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents and epochs taken for the target weights."""
-    configure(spark)
+    prepare(spark)
     return mix_documents(docs)
 
 

@@ -18,10 +18,20 @@ MODULES = [
 ]
 
 
+#: Rows of a batch of texts that a Python worker holds at a time.
+BATCH_ROWS = 4000
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """The settings that the operators rely on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return configure(spark)
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf: str) -> DataFrame:
-            return fn(configure(spark), sf)
+            return fn(prepare(spark), sf)
 
         QUERIES[name] = run
         if sql is not None:

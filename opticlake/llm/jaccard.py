@@ -13,8 +13,8 @@ without words has none and no links. Two sets link at a Jaccard similarity of 0.
   t + 1, so that two linked sets share a rare token or a pair. The number of parts goes by the power of two below n,
   and a set near the next power is indexed under both.
 * Candidates. Sets under one signature are paired if sizes and positions allow the overlap (all pairs of up to SMALL
-  sets; in larger groups each with the first). Larger groups are kept; while any of them holds sets of different
-  components, its sets are compared with one other member, then with all members of other components. So copies are
+  sets; in larger groups each with the first). Larger groups are kept; those that then hold sets of different components
+  are compared with their first member, at last with all members of other components. So copies are
   not expanded to all pairs, and no link between different texts is lost.
 * Verification. The smallest quarter of two sets' hashes bounds what they can share; pairs that pass are intersected.
 
@@ -52,6 +52,8 @@ BUCKET_BITS = 20
 FREQUENT = 1 << 18  # most buckets, and most tokens, that are known as frequent: a few MB in each task
 SEND_IDS = 1_000_000  # most document numbers that are sent to all executors
 LEAST = 64  # hashes of a set that are compared first, where a quarter of it is less
+FILE_ROWS = 50_000  # rows of a file of a small table
+BIG = 5_000  # most members of a group whose pairs are compared by one task
 CHUNK = 200_000  # most rows of a group that a task holds
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -179,7 +181,8 @@ def prefix_signatures(tokens: np.ndarray, frequent: Frequent, percent: int = PER
             sizes = np.unique(part[:length], return_counts=True)[1]
             i, j = (order[x] for x in _pairs_before(sizes, np.full(len(sizes), length)))
             signatures.append(mix(own[i] * _A + own[j] * _B + salt))
-            caps.append(parts + n - singles - j)
+            # The rare tokens are not shared, or one of them is the first signature; before j a part holds one shared token.
+            caps.append(np.minimum(parts - j, 0) + n - singles)
     return np.concatenate(signatures), np.concatenate(caps), singles
 
 
@@ -266,7 +269,7 @@ def _group_pairs(index: DataFrame, percent: int) -> DataFrame:
 
 
 def _tokens(docs: DataFrame, ids: DataFrame, size: int, percent: int, whole: bool) -> DataFrame:
-    """(doc, n, tokens) of the documents in ids: the whole sets, or 32 bits of the least hashes of about a quarter."""
+    """(doc, n, tokens) of the documents in distinct ids: the whole sets, or 32 bits of the least hashes of about a quarter."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -280,12 +283,16 @@ def _tokens(docs: DataFrame, ids: DataFrame, size: int, percent: int, whole: boo
                 pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.binary())],
                 names=["doc", "n", "tokens"])
 
-    return materialize(_only(docs, ids, "left_semi").mapInArrow(scan, "doc long, n long, tokens binary"), "jaccard-sets" if whole else "jaccard-quarters")
+    return materialize(_only(docs, ids, "left_semi").mapInArrow(scan, "doc long, n long, tokens binary"), "jaccard-tokens")
+
+
+def _held(df: DataFrame, label: str, most: int) -> DataFrame:
+    """A table of at most so many rows, in few files where that is little."""
+    return materialize(df.coalesce(1 + most // FILE_ROWS), label) if most < 20 * FILE_ROWS else materialize(df, label)
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
-    ids = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
-    return materialize(ids, "jaccard-ids")
+    return pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b"))
 
 
 def _most_shared(n: int, x: np.ndarray, m: int, y: np.ndarray) -> int:
@@ -320,39 +327,69 @@ def _compare(pairs: DataFrame, held: DataFrame, percent: int, whole: bool) -> Da
 
     right = join_per_key(pairs.select("a", "b"), held.select(F.col("doc").alias("b"), F.col("n").alias("m"), F.col("tokens").alias("y")), ["b"], "inner")
     both = join_per_key(right, held.select(F.col("doc").alias("a"), "n", F.col("tokens").alias("x")), ["a"], "inner")
-    return materialize(both.select("a", "b", "n", "x", "m", "y").mapInArrow(scan, "a long, b long").distinct(), "jaccard-compared")
-
-
-def _other_component(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Pairs whose ends are not known to be connected."""
-    if labels is None:
-        return pairs
-    for end in ("a", "b"):
-        pairs = join_per_key(pairs, labels.select(F.col("node").alias(end), F.col("label").alias(f"_{end}")), [end])
-    apart = F.coalesce("_a", "a") != F.coalesce("_b", "b")
-    return pairs.where(apart).select("a", "b")
-
-
-def _regroup(kept: DataFrame, labels: DataFrame | None, percent: int, how: str) -> DataFrame:
-    """Pairs of different components in the groups that still hold some: with the first or last member, or all."""
-    rows = kept.withColumn("label", F.col("doc"))
-    if labels is not None:
-        rows = join_per_key(kept, labels.withColumnRenamed("node", "doc"), ["doc"]).withColumn("label", F.coalesce("label", "doc"))
-    pick = F.max if how == "last" else F.min
-    groups = rows.groupBy("sig").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), pick(F.struct("doc", "meta", "label")).alias("_c"))
+    return materialize(both.select("a", "b", "n", "x", "m", "y").mapInArrow(scan, "a long, b long"), "jaccard-compared")
+
+
+def _regroup(kept: DataFrame, labels: DataFrame, quarters: DataFrame, how: str, percent: int) -> DataFrame:
+    """Pairs of different components in the groups that still hold some: with the first member, or all that may be similar."""
+    rows = join_per_key(kept, labels.withColumnRenamed("node", "doc"), ["doc"]).withColumn("label", F.coalesce("label", "doc"))
+    rows = materialize(rows.select("sig", "doc", "meta", "label"), "jaccard-kept")
+    groups = rows.groupBy("sig").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.count("*").alias("_n"), F.min(F.struct("doc", "meta", "label")).alias("_c"))
     mixed = groups.where("_lo < _hi")
-    if how == "all":
-        rows = join_per_key(rows, mixed.select("sig"), ["sig"], "inner")
-        other = rows.select("sig", F.col("doc").alias("_d"), F.col("meta").alias("_m"), F.col("label").alias("_l"))
-        both = rows.join(other, "sig").where("label < _l")
-    else:
+    if how == "first":
         both = join_per_key(rows, mixed.select("sig", F.col("_c.doc").alias("_d"), F.col("_c.meta").alias("_m"), F.col("_c.label").alias("_l")), ["sig"], "inner").where("label <> _l")
+        return _fitting(both, percent)
+    rows = materialize(join_per_key(rows, mixed.select("sig", "_n"), ["sig"], "inner"), "jaccard-mixed")
+    big = rows.where(F.col("_n") > BIG)
+    other = big.select("sig", F.col("doc").alias("_d"), F.col("meta").alias("_m"), F.col("label").alias("_l"))
+    wide = _compare(_fitting(big.join(other, "sig").where("label < _l"), percent), quarters, percent, False)
+    few = rows.where(F.col("_n") <= BIG)
+    return _pairs_within(join_per_key(few, quarters, ["doc"], "inner"), percent).unionByName(wide).distinct()
+
+
+def _fitting(both: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of rows whose sizes and positions allow the similarity."""
     n, m = F.shiftright("meta", 32), F.shiftright("_m", 32)
     cap = F.least(F.col("meta").bitwiseAND(0xFFFFFFFF), F.col("_m").bitwiseAND(0xFFFFFFFF))
     fits = (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (cap * (100 + percent) >= (n + m) * percent)
     return both.where(fits).select(F.least("doc", "_d").alias("a"), F.greatest("doc", "_d").alias("b")).distinct()
 
 
+def _pairs_within(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components within groups that may be similar by sizes, positions and least hashes."""
+
+    def group(doc: np.ndarray, meta: np.ndarray, label: np.ndarray, n: np.ndarray, tokens: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+        for j in range(1, len(doc)):
+            good = (label[:j] != label[j]) & _may_link(meta[:j], meta[j], percent)
+            for i in np.flatnonzero(good).tolist():
+                if (100 + percent) * _most_shared(int(n[i]), tokens[i], int(n[j]), tokens[j]) >= percent * int(n[i] + n[j]):
+                    yield min(doc[i], doc[j]), max(doc[i], doc[j])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def flush(part: pa.Table) -> pa.RecordBatch:
+            sig, doc, meta, label, n = (part[c].to_numpy() for c in ("sig", "doc", "meta", "label", "n"))
+            tokens = [np.frombuffer(t, np.uint32) for t in part["tokens"].to_pylist()]
+            edge = np.concatenate([[0], np.flatnonzero(sig[1:] != sig[:-1]) + 1, [len(sig)]])
+            found = {p for a, b in zip(edge[:-1], edge[1:], strict=True) for p in group(doc[a:b], meta[a:b], label[a:b], n[a:b], tokens[a:b])}
+            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            part = pa.Table.from_batches([batch])
+            part = part if held is None else pa.concat_tables([held, part])
+            sig = part["sig"].to_numpy()
+            cut = int(np.searchsorted(sig, sig[-1]))  # the last group may go on in the next batch
+            if cut:
+                yield flush(part.slice(0, cut))
+            held = part.slice(cut)
+        if held is not None and held.num_rows:
+            yield flush(held)
+
+    wanted = rows.select("sig", "doc", "meta", "label", "n", "tokens")
+    return wanted.repartition("sig").sortWithinPartitions("sig").mapInArrow(scan, "a long, b long")
+
+
 def similar_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """One row per row of documents (doc_id, text): doc_id, n_shingles, component_id."""
     docs = docs.select("doc_id", "text")
@@ -379,36 +416,31 @@ def similar_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
         if phase == PHASES - 1 or len(frequent.tokens) == known:
             break
         todo = _only(texts, materialize(kept.select(F.col("doc").alias("doc_id")).distinct(), "jaccard-again"), "left_semi")
-    pairs = materialize(pairs.groupBy("a", "b").agg(F.count("*").alias("n")), "jaccard-pairs")
+    pairs = materialize(pairs.distinct(), "jaccard-pairs")
 
-    ids = _ends(pairs).unionAll(kept.select("doc")).distinct()
-    quarters = _tokens(texts, materialize(ids, "jaccard-ids"), size, percent, False)
+    held = kept.select("doc").distinct()
+    quarters = _tokens(texts, materialize(_ends(pairs).unionAll(held).distinct(), "jaccard-ids"), size, percent, False)
 
     def verify(some: DataFrame) -> DataFrame:
-        return _compare(some, _tokens(texts, _ends(some), size, percent, True), percent, True)
+        n = some.count()
+        ids = _held(_ends(some).distinct(), "jaccard-ids", 2 * n)
+        return _held(_compare(some, _tokens(texts, ids, size, percent, True), percent, True).distinct(), "jaccard-verified", n)
 
     # Rows of one doc_id with different sets are one document.
     twice = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("_max")).where("a <> _max").select("doc_id", "a")
     links = members.join(twice, "doc_id").select("a", F.col("rep").alias("b")).where("a <> b").distinct()
 
-    # First one candidate of each document, then what that left unconnected, then the larger groups.
-    pairs = _compare(pairs, quarters, percent, False)
-    best = materialize(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "jaccard-best")
-    links = materialize(links.unionByName(verify(best)), "jaccard-links")
-    tried, labels = best, connected_components(links)
-    for step in ("rest", "first", "last", "all"):
-        if step == "rest":
-            more = _other_component(pairs.join(best, ["a", "b"], "left_anti"), labels)
-        else:
-            more = _regroup(kept, labels, percent, step).join(tried, ["a", "b"], "left_anti")
+    # First the pairs of small groups and stars, then what the larger groups still hold of different components.
+    tried = _compare(pairs, quarters, percent, False)
+    links = materialize(links.unionByName(verify(tried)), "jaccard-links")
+    labels = connected_components(links)
+    for how in ("first", "all"):
+        more = _regroup(kept, labels, quarters, how, percent).join(tried, ["a", "b"], "left_anti")
         more = materialize(more, "jaccard-more")
         if more.isEmpty():
             continue
         tried = tried.unionByName(more)
-        likely = more if step == "rest" else _compare(more, quarters, percent, False)
-        if likely.isEmpty():
-            continue
-        new = verify(likely)
+        new = verify(_compare(more, quarters, percent, False) if how == "first" else more)
         if not new.isEmpty():
             links = links.unionByName(new)
             labels = connected_components(links)

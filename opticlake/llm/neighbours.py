@@ -5,14 +5,14 @@
 * Lists. Centroids are fitted by k-means on a bounded sample (`SAMPLE` vectors), with a charge on clusters that are
   above their share, so that lists are balanced; there are about as many lists as the square root of the vectors.
   All vectors are then put into lists: the nearest one and, for vectors near a boundary, up to COPIES lists whose
-  centroid is at most CLOSE times as far and not nearer to a centroid taken before than to the vector.
+  centroid is at most CLOSE times as far and not much nearer (SHADOW) to a centroid taken before than to the vector.
 * Search. Centroids form a neighbour graph in memory (a few MB, sent to the tasks); a best-first walk over it finds the
   lists of a vector or query. A query goes to the lists at most `ratio` times as far as its nearest one, at most PROBES;
   the ratio is the least with which a share of REACHED of the neighbours within the sample are in such a list.
 * Scores. Lists are written once. Queries and vectors meet list by list; a list that is expected to be large is cut into
-  pieces, its queries too. A piece gives each query's best vectors by exact scores. A query's FIRST nearest lists are
-  searched before the others, of which it then takes only what is as good as its k + 1 best so far. Queries that have
-  found too few vectors are sent to all lists.
+  pieces, its queries too. A piece gives each query's best vectors by exact scores. A query's lists are searched in
+  steps, the nearest first, and each step takes only what is as good as the k + 1 best of those before. Queries that
+  have found too few vectors are sent to all lists.
 
 Equal vectors are one candidate with their smallest numbers (k + 1 are enough for any query) and one query, so a third
 of all rows being the same vector costs nothing.
@@ -46,7 +46,7 @@ COPIES, CLOSE, SHADOW = 4, 1.1, 0.5
 REACHED, PROBES = 0.96, 1024
 DEGREE = 24
 PIECE_ROWS = 8192  # rows of vectors, or queries, of a piece that one call scores
-FIRST = 3  # lists that are searched first
+STEPS = [(0, 3), (3, 12), (12, PROBES)]  # nearest lists that are searched in each step
 CHECKED = 4096  # vectors of the sample that the ratio is taken from
 
 
@@ -135,13 +135,13 @@ class Lists:
         row, at = np.nonzero(taken)
         return row, ids[row, at]
 
-    def probe(self, rows: np.ndarray, step: str = "near") -> tuple[np.ndarray, np.ndarray]:
-        """(row, list) pairs: the lists that a query is sent to in a step: first, near (all but those), all."""
-        ids, far = self.nearest(rows, {"first": FIRST, "near": PROBES}.get(step, len(self.centroids)))
+    def probe(self, rows: np.ndarray, start: int = 0, stop: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(row, list) pairs: the lists that a query is sent to, from its nearest `start` on; without `stop`, all lists."""
+        ids, far = self.nearest(rows, stop or len(self.centroids))
         good = np.isfinite(far)
-        if step == "near":
-            good &= far <= self.ratio**2 * far[:, :1]
-            good[:, :FIRST] = False
+        if stop:
+            good &= (far <= self.ratio**2 * far[:, :1]) | (np.arange(ids.shape[1]) < STEPS[0][1])
+            good[:, :start] = False
         row, at = np.nonzero(good)
         return row, ids[row, at]
 
@@ -207,7 +207,7 @@ def fit_lists(sample: np.ndarray, norm: float, vectors: int, queries: int) -> Li
     lists.ratio = _needed_ratio(lists, sample[: 256])
     some = lifted[:: max(1, len(lifted) // 2048)]
     put = np.bincount(lists.assign(some)[1], minlength=count) * (vectors / len(some))
-    sent = np.bincount(lists.probe(lists.lift_queries(some[:, :-1]))[1], minlength=count) * (queries / len(some))
+    sent = np.bincount(lists.probe(lists.lift_queries(some[:, :-1]), 0, PROBES)[1], minlength=count) * (queries / len(some))
     lists.pieces = np.maximum(1, np.ceil(put / PIECE_ROWS)).astype(np.int64)
     lists.query_pieces = np.maximum(1, np.ceil(sent / PIECE_ROWS)).astype(np.int64)
     return lists
@@ -237,7 +237,7 @@ def _clean(vectors: DataFrame, number: str, vector: str) -> DataFrame:
     return held.where(finite & F.exists("vector", lambda x: x != 0))
 
 
-def _deal(rows: DataFrame, lists: Lists, step: str | None) -> DataFrame:
+def _deal(rows: DataFrame, lists: Lists, step: tuple[int, int | None] | None) -> DataFrame:
     """Rows (rep, vector, least) in the pieces of the lists that they go to: vectors, or queries in a step of the search."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +245,7 @@ def _deal(rows: DataFrame, lists: Lists, step: str | None) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 own = _rows(part.column("vector"))
-                row, where = lists.probe(lists.lift_queries(own), step) if step else lists.assign(lists.lift(own))
+                row, where = lists.probe(lists.lift_queries(own), *step) if step else lists.assign(lists.lift(own))
                 rep = part.column("rep").to_numpy()[row]
                 # A vector goes to one piece of its list and all pieces of the queries, a query the other way round.
                 fixed, spread = (lists.query_pieces, lists.pieces) if step else (lists.pieces, lists.query_pieces)
@@ -272,7 +272,7 @@ def _best(queries: pa.Table, vectors: pa.Table, k: int) -> pa.Table:
         step = max(1, 2_000_000 // len(v))
         for at in range(0, len(q), step):
             near = q[at : at + step] @ v.T
-            bar = least[at : at + step].copy()
+            bar = least[at : at + step] - _slack(least[at : at + step])
             if len(v) > k + 1:
                 top = np.partition(near, -(k + 1), axis=1)[:, -(k + 1)]
                 bar = np.maximum(bar, top - _slack(top))
@@ -312,7 +312,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = K, number:
     nothing = F.lit(float("-inf")).alias("least")
     postings = materialize(_deal(distinct.select("rep", "vector", nothing), lists, None), "neighbours-lists")
 
-    def search(some: DataFrame, step: str) -> DataFrame:
+    def search(some: DataFrame, step: tuple[int, int | None]) -> DataFrame:
         pairs = _deal(some, lists, step).groupBy(*keys).cogroup(postings.groupBy(*keys))
         scored = pairs.applyInArrow(lambda q, v: _best(q, v, k), "query long, rep long, score double")
         return materialize(scored.groupBy("query", "rep").agg(F.max("score").alias("score")), "neighbours-scored")
@@ -326,14 +326,18 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = K, number:
         ranked = join_per_key(once, numbers, ["rep"], "inner").withColumn("_n", F.row_number().over(best))
         return ranked.where(F.col("_n") <= k + 1)
 
-    first = search(queries.select("rep", "vector", nothing), "first")
-    least = top(first).where(F.col("_n") == k + 1).select(F.col("query").alias("rep"), "score")
-    bounded = queries.join(least, "rep", "left").select("rep", "vector", F.coalesce("score", F.lit(float("-inf"))).alias("least"))
-    scored = first.unionByName(search(bounded, "near"))
+    scored = None
+    for step in STEPS:
+        bounded = queries.select("rep", "vector", nothing)
+        if scored is not None:
+            least = top(scored).where(F.col("_n") == k + 1).select(F.col("query").alias("rep"), "score")
+            bounded = queries.join(least, "rep", "left").select("rep", "vector", F.coalesce("score", F.lit(float("-inf"))).alias("least"))
+        found = search(bounded, step)
+        scored = found if scored is None else scored.unionByName(found)
     enough = top(scored).groupBy("query").agg(F.sum(F.size("numbers")).alias("n")).where(F.col("n") > k).select(F.col("query").alias("rep"))
     short = materialize(queries.join(enough, "rep", "left_anti").select("rep", "vector", nothing), "neighbours-short")
     if not short.isEmpty():
-        scored = scored.unionByName(search(short, "all"))
+        scored = scored.unionByName(search(short, (0, None)))
 
     found = top(scored).groupBy("query").agg(F.flatten(F.collect_list(F.transform("numbers", lambda n: F.struct(
         (-F.col("score")).alias("far"), n.alias("number"))))).alias("found"))
