@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,6 +19,8 @@ SETTINGS = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # A repeated slot, port or bin within one reply replaces the earlier one.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # State of streams on local disk instead of the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 GROUP_ROWS_SETTING = "spark.opticlake.maxGroupRows"
@@ -35,7 +38,7 @@ def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path below the cluster's shared checkpoint folder, removed when the application ends."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):  # one machine, not local-cluster
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="opticlake-")
         spark.conf.set("spark.checkpoint.dir", root)

@@ -179,3 +179,21 @@ def test_the_model_scores_every_later_row(spark):
     late = {r["ts"] for r in scored.collect()}
     assert late == set(range(min(late), 300)) and abs(min(late) - cut) < 5
     assert scored.where("prediction in (0.0, 1.0)").count() == len(late)
+
+
+def test_stream_deltas_equal_the_batch(spark):
+    """Several polls with late rows, unknown counters, resets and numbers beyond 2**53, against the batch operator."""
+    from opticlake.streaming import jobs
+
+    big = 2**60
+    data = [("d", f"i{n % 2}", n, None if n % 5 == 0 else big + (n if n % 7 else 0), None if n % 3 else n) for n in range(40)]
+    rows = spark.createDataFrame(data, "device string, if_name string, ts long, c long, other long")
+    source, sink, progress = (scratch(spark, label) for label in ("in", "out", "progress"))
+    late = rows.where("ts between 3 and 6")
+    for poll in (rows.where("ts < 13"), rows.where("ts >= 13 and ts < 14").unionByName(late), rows.where("ts >= 14")):
+        poll.write.mode("append").parquet(source)
+        jobs.stream_counter_deltas(spark.readStream.schema(rows.schema).parquet(source), ["c"], sink, progress).awaitTermination()
+    found = spark.read.parquet(f"{sink}/rows").drop("batch_id")
+    batch = W.counter_deltas(rows, ["c"]).select(*found.columns)
+    assert found.exceptAll(batch).isEmpty() and batch.exceptAll(found).isEmpty() and found.count() == 40
+    assert sum(r["late"] for r in spark.read.parquet(f"{sink}/late").collect()) == 4

@@ -109,8 +109,7 @@ def test_late_samples_are_dropped_and_counted(spark):
     assert spark.read.parquet(f"{sink}/late").agg(F.sum("late")).first()[0] == 2
 
 
-def test_state_snapshots(spark, monkeypatch):
-    monkeypatch.setattr(jobs, "SNAPSHOT_EVERY", 2)
+def test_state_of_a_key_that_pauses(spark):
     source, sink, progress = (scratch(spark, n) for n in ("samples", "deltas", "progress"))
     schema = "device string, if_name string, ts long, c long"
     for n in range(5):
