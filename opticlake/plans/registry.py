@@ -20,6 +20,13 @@ def default_registry() -> RpcRegistry:
     }
     for name, (schema, fn) in transforms.items():
         registry.register(name, schema, fn, name in C.FILTERABLE_RPCS, C.RPC_NAMES[name])
+    # The other tables of the same replies.
+    more = {
+        "optics_interfaces": ("optics_diagnostics", S.OPTICS_INTERFACE_REPLY, X.extract_optics_interface),
+        "chassis_serials": ("chassis_inventory", S.CHASSIS_REPLY, lambda docs: X.extract_chassis_inventory(docs)[0]),
+    }
+    for name, (reply, schema, fn) in more.items():
+        registry.register(name, schema, fn, reply in C.FILTERABLE_RPCS, C.RPC_NAMES[reply], reply)
     return registry
 
 

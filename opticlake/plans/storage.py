@@ -176,7 +176,7 @@ def route_docs_by_rpc(spark, sf):
                            V.optics_docs(spark, sf), V.stats_docs(spark, sf))
     routed = A.route_docs_by_rpc(docs, default_registry())
     return U.union_devices(*[
-        part.groupBy("rpc", "device", "filterable").agg(F.count("*").alias("docs")) for part in routed.values()])
+        routed[name].groupBy("rpc", "device", "filterable").agg(F.count("*").alias("docs")) for name in C.METRIC_TYPES])
 
 
 @query("register_rpc_transform", """

@@ -197,3 +197,25 @@ def test_stream_deltas_equal_the_batch(spark):
     batch = W.counter_deltas(rows, ["c"]).select(*found.columns)
     assert found.exceptAll(batch).isEmpty() and batch.exceptAll(found).isEmpty() and found.count() == 40
     assert sum(r["late"] for r in spark.read.parquet(f"{sink}/late").collect()) == 4
+
+
+def test_broken_documents_are_rejected(spark):
+    folder = scratch(spark, "metrics")
+    files = [("a_optics_diagnostics_metrics.json", '{"interfaces": [{"if_name": "et-0/0/1"}]}'), ("b_optics_diagnostics_metrics.json", '{"interfaces": [')]
+    A.write_named_files(spark.createDataFrame(files, "name string, content string"), folder)
+    read = A.scan_metrics_json(spark, folder)
+    assert [r["device"] for r in read["optics_diagnostics"].collect()] == ["a"]
+    assert [(r["device"], r["kind"]) for r in read["rejects"].collect()] == [("b", "optics_diagnostics")]
+
+
+def test_the_registry_gives_every_table_and_filters(spark):
+    from opticlake.plans.registry import default_registry
+    from tests import replies as R
+
+    docs = R.docs(spark, R.LANE_REPLY)
+    registry = default_registry()
+    assert {"optics_diagnostics", "optics_interfaces", "chassis_inventory", "chassis_serials"} <= set(registry.entries)
+    devices = spark.createDataFrame([("dev-0", "et-9/9/9")], "device string, interface_filter string")
+    assert registry.run(docs)["optics_interfaces"].count() == registry.run(docs)["optics_diagnostics"].count() == 1
+    assert registry.run(docs, devices)["optics_interfaces"].count() == 0
+    assert registry.run(docs, devices.withColumn("interface_filter", F.lit("")))["optics_diagnostics"].count() == 1
