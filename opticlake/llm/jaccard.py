@@ -53,6 +53,7 @@ FREQUENT = 1 << 18  # most buckets, and most tokens, that are known as frequent:
 SEND_IDS = 1_000_000  # most document numbers that are sent to all executors
 LEAST = 64  # hashes of a set that are compared first, where a quarter of it is less
 FILE_ROWS = 50_000  # rows of a file of a small table
+SEEN_PAIRS = 300_000  # pairs that a task remembers to have looked at
 BIG = 5_000  # most members of a group whose pairs are compared by one task
 CHUNK = 200_000  # most rows of a group that a task holds
 
@@ -339,7 +340,7 @@ def _regroup(kept: DataFrame, labels: DataFrame, quarters: DataFrame, how: str,
     if how == "first":
         both = join_per_key(rows, mixed.select("sig", F.col("_c.doc").alias("_d"), F.col("_c.meta").alias("_m"), F.col("_c.label").alias("_l")), ["sig"], "inner").where("label <> _l")
         return _fitting(both, percent)
-    rows = materialize(join_per_key(rows, mixed.select("sig", "_n"), ["sig"], "inner"), "jaccard-mixed")
+    rows = materialize(join_per_key(rows, mixed.select("sig", "_n", F.col("_c.doc").alias("first")), ["sig"], "inner"), "jaccard-mixed")
     big = rows.where(F.col("_n") > BIG)
     other = big.select("sig", F.col("doc").alias("_d"), F.col("meta").alias("_m"), F.col("label").alias("_l"))
     wide = _compare(_fitting(big.join(other, "sig").where("label < _l"), percent), quarters, percent, False)
@@ -356,38 +357,53 @@ def _fitting(both: DataFrame, percent: int) -> DataFrame:
 
 
 def _pairs_within(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components within groups that may be similar by sizes, positions and least hashes."""
+    """Pairs (a, b) of different components within groups that may be similar by sizes, positions and least hashes.
 
-    def group(doc: np.ndarray, meta: np.ndarray, label: np.ndarray, n: np.ndarray, tokens: list[np.ndarray]) -> Iterator[tuple[int, int]]:
-        for j in range(1, len(doc)):
-            good = (label[:j] != label[j]) & _may_link(meta[:j], meta[j], percent)
-            for i in np.flatnonzero(good).tolist():
-                if (100 + percent) * _most_shared(int(n[i]), tokens[i], int(n[j]), tokens[j]) >= percent * int(n[i] + n[j]):
-                    yield min(doc[i], doc[j]), max(doc[i], doc[j])
+    Groups with the same first member mostly hold the same documents: they go to the same few tasks, each of which
+    looks at a pair once.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
+        seen: set[tuple[int, int]] = set()
+
+        def group(doc: list[int], meta: np.ndarray, label: np.ndarray, n: list[int], tokens: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+            for j in range(1, len(doc)):
+                good = (label[:j] != label[j]) & _may_link(meta[:j], meta[j], percent)
+                for i in np.flatnonzero(good).tolist():
+                    pair = (min(doc[i], doc[j]), max(doc[i], doc[j]))
+                    if pair not in seen:
+                        seen.add(pair)
+                        if (100 + percent) * _most_shared(n[i], tokens[i], n[j], tokens[j]) >= percent * (n[i] + n[j]):
+                            yield pair
 
         def flush(part: pa.Table) -> pa.RecordBatch:
-            sig, doc, meta, label, n = (part[c].to_numpy() for c in ("sig", "doc", "meta", "label", "n"))
+            sig, meta, label = (part[c].to_numpy() for c in ("sig", "meta", "label"))
+            doc, n = part["doc"].to_pylist(), part["n"].to_pylist()
             tokens = [np.frombuffer(t, np.uint32) for t in part["tokens"].to_pylist()]
-            edge = np.concatenate([[0], np.flatnonzero(sig[1:] != sig[:-1]) + 1, [len(sig)]])
-            found = {p for a, b in zip(edge[:-1], edge[1:], strict=True) for p in group(doc[a:b], meta[a:b], label[a:b], n[a:b], tokens[a:b])}
+            edge = np.concatenate([[0], np.flatnonzero(sig[1:] != sig[:-1]) + 1, [len(sig)]]).tolist()
+            found = []
+            for a, b in zip(edge[:-1], edge[1:], strict=True):
+                if len(seen) > SEEN_PAIRS:
+                    seen.clear()
+                found += group(doc[a:b], meta[a:b], label[a:b], n[a:b], tokens[a:b])
             return pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], names=["a", "b"])
 
         for batch in batches:
             part = pa.Table.from_batches([batch])
             part = part if held is None else pa.concat_tables([held, part])
             sig = part["sig"].to_numpy()
-            cut = int(np.searchsorted(sig, sig[-1]))  # the last group may go on in the next batch
+            change = np.flatnonzero(sig[1:] != sig[:-1])
+            cut = int(change[-1]) + 1 if len(change) else 0  # the last group may go on in the next batch
             if cut:
                 yield flush(part.slice(0, cut))
             held = part.slice(cut)
         if held is not None and held.num_rows:
             yield flush(held)
 
-    wanted = rows.select("sig", "doc", "meta", "label", "n", "tokens")
-    return wanted.repartition("sig").sortWithinPartitions("sig").mapInArrow(scan, "a long, b long")
+    wanted = rows.select("first", F.pmod("sig", F.lit(4)).alias("part"), "sig", "doc", "meta", "label", "n", "tokens")
+    dealt = wanted.repartition("first", "part").sortWithinPartitions("first", "part", "sig")
+    return dealt.mapInArrow(scan, "a long, b long")
 
 
 def similar_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:

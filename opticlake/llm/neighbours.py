@@ -45,6 +45,7 @@ LISTS = 4096  # most lists
 COPIES, CLOSE, SHADOW = 4, 1.1, 0.5
 REACHED, PROBES = 0.96, 1024
 DEGREE = 24
+CHUNK = 256  # rows that are walked over the graph together
 PIECE_ROWS = 8192  # rows of vectors, or queries, of a piece that one call scores
 STEPS = [(0, 3), (3, 12), (12, PROBES)]  # nearest lists that are searched in each step
 CHECKED = 4096  # vectors of the sample that the ratio is taken from
@@ -74,6 +75,9 @@ class Lists:
     def nearest(self, rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """The `width` nearest centroids of each row and their squared distances, by a best-first walk over the graph."""
         n, lists = len(rows), len(self.centroids)
+        if n > CHUNK:  # bounds the memory of a step
+            parts = [self.nearest(rows[at : at + CHUNK], width) for at in range(0, n, CHUNK)]
+            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
         width = min(width, lists)
         entry = np.unique(np.linspace(0, lists - 1, min(lists, 8)).astype(np.int64))
         seen = np.zeros((n, lists + 1), bool)
@@ -242,8 +246,8 @@ def _deal(rows: DataFrame, lists: Lists, step: tuple[int, int | None] | None) ->
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, CHUNK):
+                part = batch.slice(at, CHUNK)
                 own = _rows(part.column("vector"))
                 row, where = lists.probe(lists.lift_queries(own), *step) if step else lists.assign(lists.lift(own))
                 rep = part.column("rep").to_numpy()[row]
