@@ -13,12 +13,12 @@ from tests import replies as R
 def test_known_reply_with_lane(spark):
     docs = R.docs(spark, R.LANE_REPLY)
     row = X.extract_optics_interface(docs).collect()
-    assert len(row) == 1 and row[0]["if_name"] == "et-0/0/32"
+    assert len(row) == 1 and row[0]["if_name"] == "et-0/0/28"
     assert [row[0][f] for f in C.THRESHOLD_TAGS] == R.LANE_THRESHOLDS
-    assert [row[0][m] for m in C.INTERFACE_MEASURES] == [34.0, 3.347, None, None, None, None, None]
+    assert [row[0][m] for m in C.INTERFACE_MEASURES] == [36.0, 3.271, None, None, None, None, None]
     lanes = X.extract_optics_lanes(docs).collect()
     assert [tuple(r[c] for c in ("device", "if_name", "lane", *C.LANE_MEASURES)) for r in lanes] == [
-        ("dev-0", "et-0/0/32", 0, 0.591, -2.28, 0.585, -2.32, 6.157)]
+        ("dev-0", "et-0/0/28", 0, 0.442, -3.55, 0.712, -1.48, 7.204)]
 
 
 def test_known_reply_without_lane(spark):
@@ -26,7 +26,7 @@ def test_known_reply_without_lane(spark):
     row = X.extract_optics_interface(docs).first()
     assert [row[f] for f in C.THRESHOLD_TAGS] == R.FLAT_THRESHOLDS
     # The temperature is the attribute, not the rounded text; rx comes from the fallback tags.
-    assert [row[m] for m in C.INTERFACE_MEASURES] == [38.5, 3.328, 5.382, 0.591, -2.28, 0.6282, -2.02]
+    assert [row[m] for m in C.INTERFACE_MEASURES] == [41.5, 3.296, 6.911, 0.442, -3.55, 0.3717, -4.30]
     assert X.extract_optics_lanes(docs).isEmpty()
 
 
@@ -200,4 +200,4 @@ def test_mapping_file(spark):
     lane = "physical-interface/optics-diagnostics/optics-diagnostics-lane-values"
     lines = X.read_mapping(spark, path)
     assert sorted(lines) == sorted(LANE_MAPPING)
-    assert X.extract_by_mapping(R.docs(spark, R.LANE_REPLY), lines, lane).first()["tx_bias"] == 6.157
+    assert X.extract_by_mapping(R.docs(spark, R.LANE_REPLY), lines, lane).first()["tx_bias"] == 7.204

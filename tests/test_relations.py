@@ -19,11 +19,11 @@ def lines(df, lane=False):
 
 
 def test_interface_without_lanes(spark):
-    df = spark.createDataFrame([("xe-0/0/6", 39.0, 3.328, 5.392, None, "up", "")],
+    df = spark.createDataFrame([("xe-0/0/3", 39.0, 3.296, 6.904, None, "up", "")],
                                "if_name string, temperature double, voltage double, tx_bias double, tx_power double, "
                                "admin_status string, vendor string")
-    assert lines(df) == {'temperature{interface="xe-0/0/6"} 39.0', 'voltage{interface="xe-0/0/6"} 3.328',
-                         'tx_bias{interface="xe-0/0/6"} 5.392', 'interface_admin_status{interface="xe-0/0/6"} 1.0'}
+    assert lines(df) == {'temperature{interface="xe-0/0/3"} 39.0', 'voltage{interface="xe-0/0/3"} 3.296',
+                         'tx_bias{interface="xe-0/0/3"} 6.904', 'interface_admin_status{interface="xe-0/0/3"} 1.0'}
 
 
 def test_lanes_and_labels(spark):
@@ -113,10 +113,10 @@ def test_whole_run(spark):
     """Replies of two devices to lake rows and exposition text; one device fails on a nameless interface."""
     system = R.docs(spark, "<rpc-reply><system-information><host-name>h0</host-name><hardware-model>m</hardware-model>"
                            "</system-information></rpc-reply>", "<broken")
-    chassis = R.docs(spark, CHASSIS.replace("FPC 1", "FPC 0").replace("Xcvr 5", "Xcvr 32"), "<broken")
+    chassis = R.docs(spark, CHASSIS.replace("FPC 1", "FPC 0").replace("Xcvr 5", "Xcvr 28"), "<broken")
     optics = R.docs(spark, R.LANE_REPLY, R.LANE_REPLY)
-    stats = R.docs(spark, *[R.optics_reply(stats_interface("et-0/0/32", "<fec_ccw_count>5</fec_ccw_count>"))] * 2)
-    ports = spark.createDataFrame([("dev-0", "et-0/0/32")], "device string, if_name string").withColumns(
+    stats = R.docs(spark, *[R.optics_reply(stats_interface("et-0/0/28", "<fec_ccw_count>5</fec_ccw_count>"))] * 2)
+    ports = spark.createDataFrame([("dev-0", "et-0/0/28")], "device string, if_name string").withColumns(
         {c: F.lit(c.upper()) for c in C.TRANSCEIVER_COLUMNS if c != "serial_number"}).withColumn(
         "serial_number", F.lit(None).cast("string"))
     devices = spark.createDataFrame([("dev-0", None), ("dev-1", "")], "device string, interface_filter string")
@@ -132,7 +132,7 @@ def test_whole_run(spark):
     assert datasets["lane_dom"].columns == C.LANE_DOM_COLUMNS and datasets["lane_dom"].count() == 2
     assert datasets["interface_counters"].columns == C.INTERFACE_COUNTERS_COLUMNS
     text = exposition_text(bundle).collect()
-    assert any(r["value"].startswith('rx_power{interface="et-0/0/32",lane="0",origin_hostname="h0",device_profile="JUNIPER_M",'
+    assert any(r["value"].startswith('rx_power{interface="et-0/0/28",lane="0",origin_hostname="h0",device_profile="JUNIPER_M",'
                                      'origin_name="S1",vendor="VENDOR"') and r["instance"] == "dev-0" for r in text)
 
     nameless = dict(bundle, interfaces=bundle["interfaces"].withColumn(
