@@ -5,7 +5,7 @@ text, ASCII and Latin-1 capitals folded, digits and ASCII punctuation as spaces)
 set. Decoding takes the codeword with the least logistic loss, each bit weighted by how well its classifier does on the
 training sample; a document is ambiguous if the best codeword leads the next by too little.
 
-The classifiers are fitted on the driver on a bounded sample: `sample` documents (3,000), the same number of each
+The classifiers are fitted on the driver on a bounded sample: `sample` documents (2,000), the same number of each
 language, picked by a hash of doc_id, each as a whole and as a short piece so that short texts are learned too.
 Everything else reads all rows. Languages are collected; more than `MOST_LANGUAGES` are refused.
 
@@ -105,25 +105,33 @@ def fit(features: np.ndarray, labels: np.ndarray, languages: list[str], seed: in
     """Logistic classifiers of all bits at once, by seeded mini-batches with adaptive steps."""
     code = codewords(len(languages))
     bits = code.shape[1]
-    x = np.hstack([features, np.ones((len(features), 1), np.float32)])
     target = code[labels]
-    weights = np.zeros((x.shape[1], bits), np.float32)
+    weights = np.zeros((DIMS + 1, bits), np.float32)
+
+    def rows(own: np.ndarray) -> np.ndarray:
+        """A batch with a constant; only batches are held as floats."""
+        return np.hstack([features[own].astype(np.float32), np.ones((len(own), 1), np.float32)])
+
     squares = np.full_like(weights, 1e-6)
     rng = np.random.default_rng(seed)
     for _ in range(epochs if bits else 0):
-        order = rng.permutation(len(x))
+        order = rng.permutation(len(features))
         for at in range(0, len(order), 32):
             own = order[at : at + 32]
-            pull = -target[own] / (1 + np.exp(target[own] * (x[own] @ weights)))
-            slope = x[own].T @ pull / len(own) + 1e-5 * weights
+            x = rows(own)
+            pull = -target[own] / (1 + np.exp(target[own] * (x @ weights)))
+            slope = x.T @ pull / len(own) + 1e-5 * weights
             squares += slope * slope
             weights -= 0.5 * slope / np.sqrt(squares)
-    right = ((x @ weights) * target > 0).mean(0) if bits else np.ones(0)
+    right = np.ones(bits)
+    if bits and len(features):
+        parts = np.array_split(np.arange(len(features)), -(-len(features) // 256))
+        right = sum(((rows(own) @ weights) * target[own] > 0).sum(0) for own in parts) / len(features)
     trust = np.clip(2 * right - 1, 0.05, 1.0).astype(np.float64)
     return Model(languages, code, weights, trust)
 
 
-def train(docs: DataFrame, sample: int = 3000) -> Model | None:
+def train(docs: DataFrame, sample: int = 2000) -> Model | None:
     """A model from rows of (doc_id, text, lang); NULL doc_id, text or lang is left out."""
     known = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
@@ -155,10 +163,13 @@ def train(docs: DataFrame, sample: int = 3000) -> Model | None:
     rows = picked.mapInArrow(features, "lang string, features binary").toArrow()
     if not rows.num_rows:
         return None
-    x = np.frombuffer(b"".join(rows["features"].to_pylist()), np.float16).reshape(-1, DIMS).astype(np.float32)
-    y = np.array([languages.index(lang) for lang in rows["lang"].to_pylist()])
-    order_ = np.lexsort((x @ np.arange(DIMS, dtype=np.float32), y))  # the same order however the rows came in
-    return fit(x[order_], y[order_], languages)
+    # Sorted, so that the order in which the rows came in does not matter.
+    held = sorted(zip(rows["lang"].to_pylist(), rows["features"].to_pylist(), strict=True))
+    y = np.array([languages.index(lang) for lang, _ in held])
+    del rows
+    packed = b"".join(features for _, features in held)
+    del held
+    return fit(np.frombuffer(packed, np.float16).reshape(-1, DIMS), y, languages)
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
