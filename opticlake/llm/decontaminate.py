@@ -1,11 +1,12 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words lose outer punctuation and case and become a template: a word with a digit is <num>, a unit after a number
-<unit>, a capitalised word that does not start a sentence <name>; other words stay. Windows of 13 template words (the
-whole item where it is shorter, 5 words at least) of all documents are joined with those of the benchmark on hash and
-template. Matches of a document and an item that lie on one diagonal must be consistent: one value in the item always
+Words lose outer punctuation and case. Windows of 13 words (the whole item where it is shorter, 5 words at least) of all
+documents are joined with those of the benchmark on hash and text, so a passage is found whatever its capitals and line
+breaks. Words also become a template: a word with a digit is <num>, a unit after a number <unit>, a capitalised word that
+does not start a sentence <name>; other words stay. Windows of template words are joined in the same way. Matches of a document and an item that lie on one diagonal must be consistent: one value in the item always
 stands for one value in the document, and two names never for the same one. So a question with other numbers, names or
-units is found, and a text that merely has the same shape of slots is not: windows need 7 literal words of 13.
+units is found, and a text that merely has the same shape of slots is not: windows of a template need 7 literal words
+of 13.
 
 Benchmark windows go to the tasks in blocks of at most `block` hashes (8 bytes each), one pass over the documents per
 block; they only preselect the document windows that enter the join.
@@ -66,8 +67,29 @@ def _among(values: np.ndarray, held: np.ndarray) -> np.ndarray:
     return held[at] == values
 
 
+def _folded_words(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of texts with all case folded, and start and end of each word in them without outer punctuation.
+
+    Folding keeps letters letters and separators separators, so there are as many words as in the texts themselves.
+    """
+    raw = data.tobytes()
+    if raw.isascii():
+        data = LOWER[data]
+    else:
+        texts = [raw[a:b].decode("utf-8", "replace").casefold().encode() for a, b in zip(rows[:-1], rows[1:], strict=True)]
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        rows = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    starts, ends, _ = word_spans(data, rows)
+    core = np.flatnonzero(_CORE[data])
+    if not len(core):
+        return data, starts[:0], ends[:0]
+    low, high = np.searchsorted(core, starts), np.searchsorted(core, ends)
+    held = high > low
+    return data, core[low[held]], core[high[held] - 1] + 1
+
+
 class Templates:
-    """Template words of a block of texts."""
+    """Words of a block of texts, as they are and as a template."""
 
     def __init__(self, data: np.ndarray, rows: np.ndarray, opening: bool = True):
         """opening: whether a text starts a sentence."""
@@ -83,40 +105,47 @@ class Templates:
         if len(starts) > 1:
             opens[1:] = _ENDS[data[ends[:-1] - 1]] | (data[starts[1:] - 1] == 10) | ((owner[1:] != owner[:-1]) & opening)
         owner, opens = owner[held], opens[held]
-        self.starts, self.ends = (core[low[held]], core[high[held] - 1] + 1) if len(core) else (starts, ends)
-        self.data = LOWER[data]
+        starts, ends = (core[low[held]], core[high[held] - 1] + 1) if len(core) else (starts, ends)
+        lower = LOWER[data]
         folds = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)) + 1  # capitals of Latin-1
-        self.data[folds] += 32
+        lower[folds] += 32
         digits = np.concatenate([[0], np.cumsum(_DIGIT[data])])
+        head = data[starts] if len(starts) else np.zeros(0, np.uint8)
+        capital = (head != lower[starts]) if len(starts) else np.zeros(0, bool)
+        if len(starts):
+            after = starts + (head == 0xC3)
+            capital |= data[after] != lower[after]
+        self.data, self.starts, self.ends = _folded_words(data, rows)
         words = span_hashes(self.data, self.starts, self.ends)
-        head = data[self.starts] if len(self.starts) else np.zeros(0, np.uint8)
-        capital = (head != self.data[self.starts]) if len(self.starts) else np.zeros(0, bool)
-        if len(self.starts):
-            after = self.starts + (head == 0xC3)
-            capital |= data[after] != self.data[after]
-        kinds = np.zeros(len(self.starts), np.int8)
+        kinds = np.zeros(len(starts), np.int8)
         kinds[capital & ~opens] = 3
-        number = digits[self.ends] > digits[self.starts] if len(self.starts) else np.zeros(0, bool)
+        number = digits[ends] > digits[starts] if len(starts) else np.zeros(0, bool)
         kinds[number] = 1
         kinds[1:][number[:-1] & ~number[1:] & (owner[1:] == owner[:-1]) & _among(words[1:], _UNIT_HASHES)] = 2
-        self.kinds = kinds
-        self.hashes = np.where(kinds > 0, _SLOT_HASHES[kinds], words)
+        #: Kinds of words in each reading: all words as they are, and the template.
+        self.kinds = [np.zeros(len(starts), np.int8), kinds]
+        self.hashes = [np.where(k > 0, _SLOT_HASHES[k], words) for k in self.kinds]
+        self.literal = np.concatenate([[0], np.cumsum(kinds == 0)])
         self.first = np.searchsorted(owner, np.arange(len(rows)))
         self.owner = owner
 
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """First word and hash of each window within one text that has literal words enough."""
-        hashes = run_hashes(self.hashes, size)
+    def windows(self, size: int, reading: int) -> tuple[np.ndarray, np.ndarray]:
+        """First word and hash of each window within one text; a template has a slot, and literal words enough."""
+        hashes = run_hashes(self.hashes[reading], size)
         n = len(hashes)
-        literal = np.concatenate([[0], np.cumsum(self.kinds == 0)])
-        enough = literal[size:] - literal[:n] >= (size + 2) // 2 if n else np.zeros(0, bool)
-        at = np.flatnonzero(enough & (self.owner[:n] == self.owner[size - 1 :])) if n else np.zeros(0, np.int64)
+        if not n:
+            return np.zeros(0, np.int64), hashes
+        good = self.owner[:n] == self.owner[size - 1 :]
+        if reading:
+            literal = self.literal[size:] - self.literal[:n]
+            good &= (literal >= (size + 2) // 2) & (literal < size)
+        at = np.flatnonzero(good)
         return at, hashes[at]
 
-    def describe(self, at: int, size: int) -> tuple[str, list[int], list[str]]:
-        """Template text of a window, and the kinds and values of its slots."""
+    def describe(self, at: int, size: int, reading: int) -> tuple[str, list[int], list[str]]:
+        """Text of a window in a reading, and the kinds and values of its slots."""
         words = [self.data[self.starts[i] : self.ends[i]].tobytes().decode("utf-8", "replace") for i in range(at, at + size)]
-        kinds = self.kinds[at : at + size].tolist()
+        kinds = self.kinds[reading][at : at + size].tolist()
         return (" ".join(_SLOTS.get(k, w) for k, w in zip(kinds, words, strict=True)), [k for k in kinds if k],
                 [w for k, w in zip(kinds, words, strict=True) if k])
 
@@ -145,9 +174,10 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
                     for opening in (True, False):
                         text = Templates(data[rows[i] : rows[i + 1]], np.array([0, rows[i + 1] - rows[i]]), opening)
                         size = min(window, len(text.starts))
-                        if size >= SHORTEST:
-                            found = zip(*text.windows(size), strict=True)
-                            yield _batch("item_id", [(ids[at + i], size, int(h.view(np.int64)), int(p), *text.describe(int(p), size)) for p, h in found])
+                        for reading in range(len(text.kinds) if size >= SHORTEST else 0):
+                            found = zip(*text.windows(size, reading), strict=True)
+                            yield _batch("item_id", [
+                                (ids[at + i], size, int(h.view(np.int64)), int(p), *text.describe(int(p), size, reading)) for p, h in found])
 
     return items.where("item_id IS NOT NULL").select("item_id", "text").mapInArrow(cut, _SCHEMA.format(id="item_id"))
 
@@ -161,12 +191,13 @@ def _document_windows(docs: DataFrame, wanted: dict[int, np.ndarray]) -> DataFra
             for at, data, rows in text_blocks(batch.column("text")):
                 texts = Templates(data, rows)
                 for size, hashes in wanted.items():
-                    places, own = texts.windows(size)
-                    hit = _among(own, hashes)
-                    for some in np.array_split(np.flatnonzero(hit), max(1, int(hit.sum()) // 5000)):
-                        yield _batch("doc_id", [
-                            (ids[at + int(texts.owner[p])], size, int(h.view(np.int64)), int(p - texts.first[texts.owner[p]]),
-                             *texts.describe(int(p), size)) for p, h in zip(places[some], own[some], strict=True)])
+                    for reading in range(len(texts.kinds)):
+                        places, own = texts.windows(size, reading)
+                        hit = _among(own, hashes)
+                        for some in np.array_split(np.flatnonzero(hit), max(1, int(hit.sum()) // 5000)):
+                            yield _batch("doc_id", [
+                                (ids[at + int(texts.owner[p])], size, int(h.view(np.int64)), int(p - texts.first[texts.owner[p]]),
+                                 *texts.describe(int(p), size, reading)) for p, h in zip(places[some], own[some], strict=True)])
 
     return docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(cut, _SCHEMA.format(id="doc_id"))
 
