@@ -3,10 +3,11 @@
 Words lose outer punctuation and case. Windows of 13 words (the whole item where it is shorter, 5 words at least) of all
 documents are joined with those of the benchmark on hash and text, so a passage is found whatever its capitals and line
 breaks. Words also become a template: a word with a digit is <num>, a unit after a number <unit>, a capitalised word that
-does not start a sentence <name>; other words stay. Windows of template words are joined in the same way. Matches of a document and an item that lie on one diagonal must be consistent: one value in the item always
-stands for one value in the document, and two names never for the same one. So a question with other numbers, names or
-units is found, and a text that merely has the same shape of slots is not: windows of a template need 7 literal words
-of 13.
+does not start a sentence <name>; other words stay. Windows of template words are joined in the same way. Those whose
+slots hold other values than the item's must be consistent along a diagonal of document and item: one value in the item
+always stands for one value in the document, and two names never for the same one. So a question with other numbers,
+names or units is found, and a text that merely has the same shape of slots is not: windows of a template need 7 literal
+words of 13. Windows that agree in every word always count, whatever the others of their diagonal hold.
 
 Benchmark windows go to the tasks in blocks of at most `block` hashes (8 bytes each), one pass over the documents per
 block; they only preselect the document windows that enter the join.
@@ -235,11 +236,16 @@ def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, block: i
     pairs = F.transform(F.arrays_zip("kinds", "_slots", "slots"), lambda p: F.struct(
         p["kinds"].alias("kind"), p["_slots"].alias("want"), p["slots"].alias("found")))
     lines = both.select("doc_id", "item_id", (F.col("pos") - F.col("_pos")).alias("diagonal"), "_pos", pairs.alias("pairs"))
+    changed = F.exists("pairs", lambda p: p["want"] != p["found"])
     # Slots repeat in overlapping windows: each distinct pair of a diagonal is kept once, at most as many as an item has words.
-    per = lines.groupBy("doc_id", "item_id", "diagonal").agg(
-        F.count_distinct("_pos").alias("n_windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    good = per.where(_consistent(F.col("pairs"))).withColumn(
-        "n_changed", F.size(F.filter("pairs", lambda p: p["want"] != p["found"])).cast("long"))
+    per = lines.withColumn("changed", changed).groupBy("doc_id", "item_id", "diagonal").agg(
+        F.count_distinct("_pos").alias("n_all"), F.count_distinct(F.when(~F.col("changed"), F.col("_pos"))).alias("n_same"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(F.col("changed"), F.col("pairs"))))).alias("pairs"))
+    fits = _consistent(F.col("pairs"))
+    good = per.select(
+        "doc_id", "item_id", F.when(fits, F.col("n_all")).otherwise(F.col("n_same")).alias("n_windows"),
+        F.when(fits, F.size(F.filter("pairs", lambda p: p["want"] != p["found"]))).otherwise(0).cast("long").alias("n_changed"),
+    ).where("n_windows > 0")
     return good.groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"), F.min("n_changed").alias("n_changed"))
 
 

@@ -94,3 +94,9 @@ def test_exact_passages_in_any_case_and_line_breaks(spark):
     docs = [(10 * i + n, f"As follows: {form(t)} and so on") for i, t in items for n, form in enumerate(forms)]
     found = run(spark, docs, items)
     assert set(found) == {(d, d // 10) for d, _ in docs} and all(changed == 0 for _, changed in found.values())
+
+
+def test_a_contradiction_leaves_the_windows_that_are_the_same(spark):
+    other = QUESTION.replace("12 days", "40 days")  # the other 12 stays
+    found = run(spark, [(1, other), (2, other.replace("5 of", "9 of").replace("3 euros", "4 euros"))], [(7, QUESTION)])
+    assert found == {(1, 7): (21, 1), (2, 7): (2, 0)}  # 12 to 12 and 40: in the second only windows that are the same
