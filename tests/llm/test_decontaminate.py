@@ -100,3 +100,10 @@ def test_a_contradiction_leaves_the_windows_that_are_the_same(spark):
     other = QUESTION.replace("12 days", "40 days")  # the other 12 stays
     found = run(spark, [(1, other), (2, other.replace("5 of", "9 of").replace("3 euros", "4 euros"))], [(7, QUESTION)])
     assert found == {(1, 7): (21, 1), (2, 7): (2, 0)}  # 12 to 12 and 40: in the second only windows that are the same
+
+
+def test_copies_of_items_that_are_mostly_slots(spark):
+    items = [(1, "12 30 45 7 19 22 81 64 5 90 33 41 17 58 and 60"), (2, "Anna Berta Carl Dora Emil Fritz Gerd Hans Ida Jan Karl Lena Max Nora"),
+             (3, "Add 3 to 4 and 9"), (4, "The Great Book Of Many Old Tales And Songs For Young Children Of All Ages")]
+    docs = [(i, f"see here: {t} there") for i, t in items] + [(9, "see here: 13 31 46 8 20 23 82 65 6 91 34 42 18 59 and 61 there")]
+    assert run(spark, docs, items) == {(1, 1): (4, 0), (2, 2): (2, 0), (3, 3): (1, 0), (4, 4): (3, 0)}
