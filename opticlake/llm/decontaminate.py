@@ -2,12 +2,14 @@
 
 Words lose outer punctuation and case. Windows of 13 words (the whole item where it is shorter, 5 words at least) of all
 documents are joined with those of the benchmark on hash and text, so a passage is found whatever its capitals and line
-breaks. Words also become a template: a word with a digit is <num>, a unit after a number <unit>, a capitalised word that
-does not start a sentence <name>; other words stay. Windows of template words are joined in the same way. Those whose
-slots hold other values than the item's must be consistent along a diagonal of document and item: one value in the item
-always stands for one value in the document, and two names never for the same one. So a question with other numbers,
-names or units is found, and a text that merely has the same shape of slots is not: windows of a template need 7 literal
-words of 13. Windows that agree in every word always count, whatever the others of their diagonal hold.
+breaks. Words also become a template: a word with a digit is <num>, a unit after a number <unit>, a capitalised word
+<name>; other words stay. A capitalised word that opens a sentence is read both as a word and as a name. Windows of
+template words are joined in the same way. Those whose slots hold other values than the item's must be consistent along a
+diagonal of document and item: one value in the item always stands for one value in the document, and two names never for
+the same one; where openers read as names are not, the windows without them still may be. So a question with other
+numbers, names or units is found, and a text that merely has the same shape of slots is not: windows of a template need 7
+literal words of 13, among which openers count that are the same. Windows that agree in every word always count, whatever
+the others of their diagonal hold.
 
 Benchmark windows go to the tasks in blocks of at most `block` hashes (8 bytes each), one pass over the documents per
 block; they only preselect the document windows that enter the join.
@@ -46,7 +48,9 @@ _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".!?:"]] = True
-_SLOTS = {1: "<num>", 2: "<unit>", 3: "<name>"}
+#: Kinds of words; a capitalised word that opens a sentence and is read as a name has a kind of its own.
+_NAME, _OPENER = 3, 4
+_SLOTS = {1: "<num>", 2: "<unit>", _NAME: "<name>", _OPENER: "<name>"}
 
 
 def _hash_words(words: list[str]) -> np.ndarray:
@@ -56,7 +60,7 @@ def _hash_words(words: list[str]) -> np.ndarray:
 
 
 _UNIT_HASHES = np.sort(_hash_words(UNITS))
-_SLOT_HASHES = _hash_words([f"\x00{i}" for i in range(4)])
+_SLOT_HASHES = _hash_words([f"\x00{i}" for i in (0, 1, 2, _NAME, _NAME)])
 
 
 def _among(values: np.ndarray, held: np.ndarray) -> np.ndarray:
@@ -89,11 +93,16 @@ def _folded_words(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.nd
     return data, core[low[held]], core[high[held] - 1] + 1
 
 
+def _least(size):
+    """Literal words that a window with changed slots needs."""
+    return (size + 2) // 2
+
+
 class Templates:
     """Words of a block of texts, as they are and as a template."""
 
-    def __init__(self, data: np.ndarray, rows: np.ndarray, opening: bool = True):
-        """opening: whether a text starts a sentence."""
+    def __init__(self, data: np.ndarray, rows: np.ndarray, quoted: bool = False):
+        """quoted: whether there are further readings, for texts that are quoted within a sentence."""
         starts, ends, first = word_spans(data, rows)
         core = np.flatnonzero(_CORE[data])
         if not len(core):
@@ -102,9 +111,9 @@ class Templates:
         high = np.searchsorted(core, ends)
         held = high > low
         owner = np.repeat(np.arange(len(rows) - 1), np.diff(first)) if len(starts) else np.zeros(0, np.int64)
-        opens = np.full(len(starts), opening)  # starts a sentence
+        opens = np.ones(len(starts), bool)  # starts a sentence
         if len(starts) > 1:
-            opens[1:] = _ENDS[data[ends[:-1] - 1]] | (data[starts[1:] - 1] == 10) | ((owner[1:] != owner[:-1]) & opening)
+            opens[1:] = _ENDS[data[ends[:-1] - 1]] | (data[starts[1:] - 1] == 10) | (owner[1:] != owner[:-1])
         owner, opens = owner[held], opens[held]
         starts, ends = (core[low[held]], core[high[held] - 1] + 1) if len(core) else (starts, ends)
         lower = LOWER[data]
@@ -118,31 +127,40 @@ class Templates:
             capital |= data[after] != lower[after]
         self.data, self.starts, self.ends = _folded_words(data, rows)
         words = span_hashes(self.data, self.starts, self.ends)
-        kinds = np.zeros(len(starts), np.int8)
-        kinds[capital & ~opens] = 3
+        names = np.where(capital, np.where(opens, _OPENER, _NAME), 0).astype(np.int8)
+        fixed = np.zeros(len(starts), np.int8)
         number = digits[ends] > digits[starts] if len(starts) else np.zeros(0, bool)
-        kinds[number] = 1
-        kinds[1:][number[:-1] & ~number[1:] & (owner[1:] == owner[:-1]) & _among(words[1:], _UNIT_HASHES)] = 2
-        #: Kinds of words in each reading: all words as they are, and the template.
-        self.kinds = [np.zeros(len(starts), np.int8), kinds]
+        fixed[number] = 1
+        fixed[1:][number[:-1] & ~number[1:] & (owner[1:] == owner[:-1]) & _among(words[1:], _UNIT_HASHES)] = 2
+        inner = np.where(names == _OPENER, 0, names)
+        readings = [inner, names]
+        if quoted:
+            head = np.concatenate([[True], owner[1:] != owner[:-1]]) if len(starts) else capital
+            readings += [np.where(head, names, inner), np.where(head, 0, names)]
+        #: Kinds of words in each reading: all words as they are, then templates.
+        self.kinds = [np.zeros(len(starts), np.int8), *[np.where(fixed > 0, fixed, r) for r in readings]]
         self.hashes = [np.where(k > 0, _SLOT_HASHES[k], words) for k in self.kinds]
-        self.literal = np.concatenate([[0], np.cumsum(kinds == 0)])
         self.first = np.searchsorted(owner, np.arange(len(rows)))
         self.owner = owner
 
     def windows(self, size: int, reading: int) -> tuple[np.ndarray, np.ndarray]:
-        """First word and hash of each window within one text; a template has a slot, and literal words enough."""
+        """First word and hash of each window within one text; that of a template has a slot, an opener after the first."""
         hashes = run_hashes(self.hashes[reading], size)
         n = len(hashes)
         if not n:
             return np.zeros(0, np.int64), hashes
         good = self.owner[:n] == self.owner[size - 1 :]
         if reading:
-            literal = self.literal[size:] - self.literal[:n]
-            good &= (literal >= (size + 2) // 2) & (literal < size)
+            slot = np.concatenate([[0], np.cumsum(self.kinds[reading] > 0 if reading == 1 else self.kinds[reading] == _OPENER)])
+            good &= slot[size:] > slot[:n]
         at = np.flatnonzero(good)
         return at, hashes[at]
 
+    def enough(self, at: np.ndarray, size: int, reading: int) -> np.ndarray:
+        """Which windows have literal words enough to count with changed slots, if no opener changes."""
+        literal = np.concatenate([[0], np.cumsum(np.isin(self.kinds[reading], (0, _OPENER)))])
+        return literal[at + size] - literal[at] >= _least(size)
+
     def describe(self, at: int, size: int, reading: int) -> tuple[str, list[int], list[str]]:
         """Text of a window in a reading, and the kinds and values of its slots."""
         words = [self.data[self.starts[i] : self.ends[i]].tobytes().decode("utf-8", "replace") for i in range(at, at + size)]
@@ -164,7 +182,7 @@ def _batch(name: str, rows: list[tuple]) -> pa.RecordBatch:
 def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per window of each item: item_id, size, hash, pos, template, kinds, slots.
 
-    A document may quote an item within a sentence, so a capitalised first word is taken as a word and as a name.
+    A document may quote an item within a sentence, so its first word has the other reading as well, whatever its other openers are.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,13 +190,14 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
             ids = batch.column("item_id").to_pylist()
             for at, data, rows in text_blocks(batch.column("text")):
                 for i in range(len(rows) - 1):
-                    for opening in (True, False):
-                        text = Templates(data[rows[i] : rows[i + 1]], np.array([0, rows[i + 1] - rows[i]]), opening)
-                        size = min(window, len(text.starts))
-                        for reading in range(len(text.kinds) if size >= SHORTEST else 0):
-                            found = zip(*text.windows(size, reading), strict=True)
-                            yield _batch("item_id", [
-                                (ids[at + i], size, int(h.view(np.int64)), int(p), *text.describe(int(p), size, reading)) for p, h in found])
+                    text = Templates(data[rows[i] : rows[i + 1]], np.array([0, rows[i + 1] - rows[i]]), quoted=True)
+                    size = min(window, len(text.starts))
+                    for reading in range(len(text.kinds) if size >= SHORTEST else 0):
+                        places, own = text.windows(size, reading)
+                        good = text.enough(places, size, reading)
+                        yield _batch("item_id", [
+                            (ids[at + i], size, int(h.view(np.int64)), int(p), *text.describe(int(p), size, reading))
+                            for p, h in zip(places[good], own[good], strict=True)])
 
     return items.where("item_id IS NOT NULL").select("item_id", "text").mapInArrow(cut, _SCHEMA.format(id="item_id"))
 
@@ -224,28 +243,42 @@ def _consistent(pairs: Column) -> Column:
 
 def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
     """One row per document and item that it holds windows of: doc_id, item_id, n_windows, n_changed (slot values)."""
-    held = materialize(benchmark_windows(items, window).dropDuplicates(["item_id", "hash", "pos", "template", "slots"]), "benchmark-windows")
+    held = materialize(benchmark_windows(items, window).dropDuplicates(["item_id", "hash", "pos", "template", "kinds", "slots"]), "benchmark-windows")
     found = None
     for wanted in _blocks(held, block):
         part = _document_windows(docs, wanted)
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = _document_windows(docs, {})
-    theirs = held.select("item_id", "hash", "template", F.col("pos").alias("_pos"), F.col("slots").alias("_slots"))
+    theirs = held.select("item_id", "hash", "template", F.col("pos").alias("_pos"), F.col("kinds").alias("_kinds"), F.col("slots").alias("_slots"))
     both = found.join(theirs, ["hash", "template"])
-    pairs = F.transform(F.arrays_zip("kinds", "_slots", "slots"), lambda p: F.struct(
-        p["kinds"].alias("kind"), p["_slots"].alias("want"), p["slots"].alias("found")))
-    lines = both.select("doc_id", "item_id", (F.col("pos") - F.col("_pos")).alias("diagonal"), "_pos", pairs.alias("pairs"))
-    changed = F.exists("pairs", lambda p: p["want"] != p["found"])
+    zipped = F.arrays_zip("_kinds", "_slots", "slots")
+    openers = F.filter(zipped, lambda p: (p["_kinds"] == _OPENER) & (p["_slots"] == p["slots"]))
+    pairs = F.transform(zipped, lambda p: F.struct(
+        F.least(p["_kinds"], F.lit(_NAME)).alias("kind"), p["_slots"].alias("want"), p["slots"].alias("found")))
+    lines = both.select(
+        "doc_id", "item_id", (F.col("pos") - F.col("_pos")).alias("diagonal"), "_pos", pairs.alias("pairs"),
+        (F.array_contains("_kinds", _OPENER) | F.array_contains("kinds", _OPENER)).alias("opens"),
+        (F.col("size") - F.size("slots") + F.size(openers) >= F.floor((F.col("size") + 2) / 2)).alias("enough"),
+        F.exists(F.zip_with("_slots", "slots", lambda a, b: a != b), lambda p: p).alias("changed"),
+    ).where("enough OR NOT changed")
     # Slots repeat in overlapping windows: each distinct pair of a diagonal is kept once, at most as many as an item has words.
-    per = lines.withColumn("changed", changed).groupBy("doc_id", "item_id", "diagonal").agg(
+    plain = F.col("changed") & ~F.col("opens")
+    per = lines.groupBy("doc_id", "item_id", "diagonal").agg(
         F.count_distinct("_pos").alias("n_all"), F.count_distinct(F.when(~F.col("changed"), F.col("_pos"))).alias("n_same"),
-        F.array_distinct(F.flatten(F.collect_set(F.when(F.col("changed"), F.col("pairs"))))).alias("pairs"))
-    fits = _consistent(F.col("pairs"))
+        F.count_distinct(F.when(plain | ~F.col("changed"), F.col("_pos"))).alias("n_plain"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(F.col("changed"), F.col("pairs"))))).alias("pairs"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(plain, F.col("pairs"))))).alias("plain"))
+
+    def first_that_fits(every: Column, without_openers: Column, same: Column) -> Column:
+        return F.when(_consistent(F.col("pairs")), every).when(_consistent(F.col("plain")), without_openers).otherwise(same).cast("long")
+
+    def changes(name: str) -> Column:
+        return F.size(F.filter(name, lambda p: p["want"] != p["found"]))
+
     good = per.select(
-        "doc_id", "item_id", F.when(fits, F.col("n_all")).otherwise(F.col("n_same")).alias("n_windows"),
-        F.when(fits, F.size(F.filter("pairs", lambda p: p["want"] != p["found"]))).otherwise(0).cast("long").alias("n_changed"),
-    ).where("n_windows > 0")
+        "doc_id", "item_id", first_that_fits(F.col("n_all"), F.col("n_plain"), F.col("n_same")).alias("n_windows"),
+        first_that_fits(changes("pairs"), changes("plain"), F.lit(0)).alias("n_changed")).where("n_windows > 0")
     return good.groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"), F.min("n_changed").alias("n_changed"))
 
 

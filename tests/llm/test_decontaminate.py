@@ -107,3 +107,16 @@ def test_copies_of_items_that_are_mostly_slots(spark):
              (3, "Add 3 to 4 and 9"), (4, "The Great Book Of Many Old Tales And Songs For Young Children Of All Ages")]
     docs = [(i, f"see here: {t} there") for i, t in items] + [(9, "see here: 13 31 46 8 20 23 82 65 6 91 34 42 18 59 and 61 there")]
     assert run(spark, docs, items) == {(1, 1): (4, 0), (2, 2): (2, 0), (3, 3): (1, 0), (4, 4): (3, 0)}
+
+
+def test_names_that_open_sentences(spark):
+    question = ("Alice has 3 apples. Bob buys 5 pears. Alice eats 2 of them. Carl sells 4 plums to Bob. How many pieces of "
+                "fruit do Alice and Bob have now?")
+    item = "The baker has 3 loaves. Bob buys 2 of the loaves."
+    other = question.replace("Alice", "Zoë").replace("Bob", "Max").replace("Carl", "Ida").replace("3", "7").replace("5", "11")
+    sold = item.replace("Bob", "Max").replace("3", "8")
+    docs = [(1, f"As follows. {other}"), (2, other.replace(" ", "\n")), (3, f"It is said that {other}"), (4, other.replace("Max", "Zoë")),
+            (5, "Consider this case: " + sold), (6, f"we know that {sold.replace('The', 'the')}"), (7, f"we know that {sold}"),
+            (8, item.replace("Bob", "Max").replace("The", "A").replace("2 of the", "4 of her"))]
+    found = run(spark, docs, [(7, question), (8, item)])
+    assert set(found) == {(1, 7), (2, 7), (3, 7), (5, 8), (6, 8), (7, 8)} and all(changed >= 2 for _, changed in found.values())
