@@ -7,7 +7,9 @@ words also start in a document with a smaller doc_id is removed; all windows are
   Windows in a row with one anchor make a segment. Only anchors that occur in two different texts matter; of documents
   with the same words only the smallest doc_id is looked at, the others lose all their words.
 * The segments of those anchors are dealt out to shards by anchor, equal segments as one with their smallest doc_id.
-  Anchors of very many documents are refined by two more hashes, so that they spread over shards.
+  Anchors of very many documents are refined by two more hashes, so that they spread over shards. Where the distinct
+  segments of one anchor still hold more than SHARD_WORDS words (a passage that many documents share in different
+  surroundings), their windows are grouped by a 128-bit hash with the smallest doc_id instead, which no task holds.
 * A shard builds an FM-index of its segments, in the order of doc_id: suffixes sorted by prefix doubling, the
   Burrows-Wheeler transform in a wavelet tree. Every segment is streamed against it; backward search tells where its
   matches with earlier documents reach 50 words, and the intervals found are carried back to the documents.
@@ -160,6 +162,31 @@ def _shard(keys: list[bytes], owners: np.ndarray, texts: pa.Array) -> list[tuple
     return [(keys[order[i]], a - int(begin[i]), b - int(begin[i])) for i, a, b in found]
 
 
+def _windows(segments: DataFrame) -> DataFrame:
+    """One row per window of segments (key, owner, words): its hash (a, b), key, owner and from."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, data, rows in text_blocks(batch.column("words")):
+                windows = Windows(data, rows)
+                begin = np.flatnonzero(windows.whole)
+                row = windows.owner[begin]
+                yield pa.RecordBatch.from_arrays([
+                    *[pa.array(run_hashes(w, WINDOW)[begin].view(np.int64)) for w in (windows.words, mix(windows.words + np.uint64(1)))],
+                    batch.column("key").take(pa.array(at + row)), batch.column("owner").take(pa.array(at + row)),
+                    pa.array(begin - windows.first[row], pa.int64())], names=["a", "b", "key", "owner", "from"])
+
+    return segments.select("key", "owner", "words").mapInArrow(scan, "a long, b long, key binary, owner long, from long")
+
+
+def _window_matches(segments: DataFrame) -> DataFrame:
+    """The same as _matches of segments of any number: no task holds those of an anchor."""
+    windows = _windows(segments)
+    first = windows.groupBy("a", "b").agg(F.min("owner").alias("_lo"), F.max("owner").alias("_hi")).where("_lo < _hi")
+    later = join_per_key(windows, first, ["a", "b"], "inner").where("owner > _lo")
+    return later.select("key", "from", (F.col("from") + WINDOW).alias("to"))
+
+
 def _matches(segments: DataFrame) -> DataFrame:
     """(key, from, to) of stretches of segments (anchor, key, owner, words) that occur in an earlier owner's segments."""
 
@@ -244,8 +271,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     owners = materialize(distinct, "repeats-distinct")
     total = owners.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
     shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // SHARD_WORDS)
-    dealt = owners.repartition(shards, "anchor").sortWithinPartitions("anchor")
-    stretches = _matches(dealt).groupBy("key").agg(F.collect_list(F.struct("from", "to")).alias("inner"))
+    # There are at most total / SHARD_WORDS such anchors.
+    large = owners.groupBy("anchor").agg(F.sum("length").alias("n")).where(F.col("n") > SHARD_WORDS).select("anchor")
+    large = F.broadcast(materialize(large, "repeats-large"))
+    dealt = owners.join(large, "anchor", "left_anti").repartition(shards, "anchor").sortWithinPartitions("anchor")
+    matches = _matches(dealt).unionByName(_window_matches(owners.join(large, "anchor", "left_semi")))
+    stretches = matches.groupBy("key").agg(F.collect_list(F.struct("from", "to")).alias("inner"))
     per = join_per_key(owners.select("key", "owner").groupBy("key").agg(F.min("owner").alias("owner")), stretches, ["key"])
     placed = join_per_key(found.select("key", "doc_id", "sha", "start", "length"), per, ["key"], "inner")
     own = F.when(F.col("doc_id") > F.col("owner"), F.array(F.struct(F.lit(0).cast("long").alias("from"), F.col("length").alias("to")))).otherwise(F.col("inner"))

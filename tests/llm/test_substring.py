@@ -95,3 +95,17 @@ def test_index_parts():
         for w in pattern[::-1]:
             low, high = index.extend(np.array([w]), low, high)
         assert int(high[0] - low[0]) == sum((text[i : i + size] == pattern).all() for i in range(len(text) - size + 1))
+
+
+@pytest.mark.parametrize("hot", [3, 10**6])
+def test_no_shard_holds_more_of_an_anchor_than_its_share(spark, monkeypatch, hot):
+    rng = random.Random(4)
+    passage = brute.random_words(rng, 70, 10**4)
+    docs = [(i, " ".join(brute.random_words(rng, 60, 10**4) + passage[i % 3 :] + brute.random_words(rng, 60, 10**4))) for i in range(80)]
+    docs += [(200, "Is " * 300), (201, "Is " * 90), (7, " ".join(passage))]
+    monkeypatch.setattr(substring, "HOT", hot)
+    monkeypatch.setattr(substring, "SHARD_WORDS", 600)
+    dealt, own = [], substring._matches
+    monkeypatch.setattr(substring, "_matches", lambda segments: dealt.append(segments) or own(segments))
+    assert run(spark, docs) == plain(docs)
+    assert dealt[0].groupBy("anchor").sum("length").where("`sum(length)` > 600").isEmpty()
