@@ -15,16 +15,19 @@ ORACLES: dict[str, str] = {}
 
 MODULES = [
     "url_filter", "chat", "mixing", "warc", "langid", "decontaminate", "pii", "jaccard", "substring", "neighbours", "pipeline",
+    "exact_topk",
 ]
 
 
-#: Rows of a batch of texts that a Python worker holds at a time.
+#: Rows and bytes of a batch that a Python worker gets at a time; a row that is larger comes alone.
 BATCH_ROWS = 4000
+BATCH_BYTES = 4 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """The settings that the operators rely on."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return configure(spark)
 
 
