@@ -15,7 +15,7 @@ ORACLES: dict[str, str] = {}
 
 MODULES = [
     "url_filter", "chat", "mixing", "warc", "langid", "decontaminate", "pii", "jaccard", "substring", "neighbours", "pipeline",
-    "exact_topk", "whitening",
+    "exact_topk", "whitening", "variants",
 ]
 
 
