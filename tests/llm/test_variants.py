@@ -72,8 +72,8 @@ def test_equal_to_all_pairs(spark, letters):
     assert run(spark, counts) == plain(counts)
 
 
-def test_nodes_that_are_not_sent(spark, monkeypatch):
-    monkeypatch.setattr(variants, "SEND_NODES", 3)
+def test_edges_that_are_not_sent(spark, monkeypatch):
+    monkeypatch.setattr(variants, "SEND_EDGES", 3)
     counts = vocabulary(7, 60, "abc", 6)
     assert run(spark, counts) == plain(counts)
 
@@ -126,9 +126,17 @@ def test_nothing(spark):
     assert run(spark, {"rare words": 1, "four": 9}) == {}
 
 
-def test_states_stay_few(spark):
-    """Branches end where the trie cannot go on: far fewer than a branch for each edge and word."""
-    counts = vocabulary(4, 300, "abcdefghijklmnop", 9)
-    words = spark.createDataFrame([(w,) for w in counts], "word string").where(F.length("word") >= 5)
-    nodes = {r["level"]: r["n"] for r in variants.trie_nodes(words).groupBy("level").agg(F.sum(F.size("edges")).alias("n")).collect()}
-    assert nodes[0] <= 16 and nodes[1] <= 256 and near_words(words).count() > 0
+def test_edges(spark):
+    words = spark.createDataFrame([("abc",), ("abd",), ("b",)], "word string")
+    texts = variants.sides(words)
+    assert {(r["side"], r["text"], r["start"]) for r in texts.collect()} == {
+        (0, "abc", 1), (0, "abd", 1), (0, "b", 0), (1, "cba", 2), (1, "dba", 2), (1, "b", 1)}
+    rows = {(r["level"], r["letter"]): (r["ends"], bin(r["next"]).count("1"), r["rest"]) for r in variants.trie_edges(texts.where("side = 0")).collect()}
+    assert rows == {(level, ord(c)): v for (level, c), v in {
+        (0, "a"): (False, 1, 4), (0, "b"): (True, 0, 1), (1, "b"): (False, 2, 2), (2, "c"): (True, 0, 1), (2, "d"): (True, 0, 1)}.items()}
+
+
+def test_runs_end_with_their_text(spark):
+    rows = [(1, "abcde"), (2, "fghij"), (3, "é"), (4, "É"), (5, " klmno "), (6, "pq"), (7, None), (8, "rs")]
+    frame = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in rows], DOCS).coalesce(1)
+    assert {r["word"]: r["n"] for r in word_counts(frame).collect()} == plain_counts(rows)
