@@ -31,6 +31,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     return configure(spark)
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name like `name` that none of `taken` clashes with, in whatever case."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = f"_{name}"
+    return name
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf: str) -> DataFrame:

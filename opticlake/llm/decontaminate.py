@@ -15,8 +15,9 @@ Benchmark windows go to the tasks in blocks of at most `block` hashes (8 bytes e
 block; they only preselect the document windows that enter the join.
 
 Edge cases: NULL and empty texts have no windows; items under 5 words find nothing; rows that share a doc_id or item_id
-are taken as one text said several times, so repeated rows change nothing; empty tables give no rows; further columns
-are not looked at.
+are taken as one text said several times, so repeated rows change nothing; rows with a NULL doc_id or item_id take no part
+in `find_leaks`, as nothing could name them, but `without_leaks` looks at their texts too; empty tables give no rows;
+further columns are not looked at.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opticlake.llm.catalog import query
+from opticlake.llm.catalog import fresh, query
 from opticlake.llm.words import LOWER, run_hashes, span_hashes, text_blocks, word_spans
 from opticlake.session import materialize
 
@@ -282,6 +283,20 @@ def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, block: i
     return good.groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"), F.min("n_changed").alias("n_changed"))
 
 
+def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The documents in which nothing of the benchmark is found, all columns; texts without a doc_id are known by their hash."""
+    leaks = materialize(find_leaks(docs, items).select("doc_id").distinct(), "leaks")
+    named = docs.where("doc_id IS NOT NULL").join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    nameless = docs.where("doc_id IS NULL")
+    if nameless.isEmpty():
+        return named
+    hashed = F.xxhash64("text")
+    found = find_leaks(nameless.select(hashed.alias("doc_id"), "text"), items).select("doc_id").distinct()
+    key = fresh("text_hash", docs.columns)
+    texts = materialize(found.withColumnRenamed("doc_id", key), "leaks-nameless")
+    return named.unionByName(nameless.withColumn(key, hashed).join(texts, key, "left_anti").select(*docs.columns))
+
+
 @query("op9_decontaminate")
 def op9_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")

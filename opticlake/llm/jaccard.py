@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from opticlake.llm.catalog import query
+from opticlake.llm.catalog import fresh, query
 from opticlake.llm.components import connected_components
 from opticlake.llm.words import LOWER, mix, run_hashes, span_hashes, text_blocks, word_spans
 from opticlake.operators.joins import join_per_key
@@ -55,6 +55,7 @@ LEAST = 64  # hashes of a set that are compared first, where a quarter of it is
 FILE_ROWS = 50_000  # rows of a file of a small table
 SEEN_PAIRS = 300_000  # pairs that a task remembers to have looked at
 BIG = 5_000  # most members of a group whose pairs are compared by one task
+PAIR_ROWS = 128  # members of a group that are compared with all before them at once
 CHUNK = 200_000  # most rows of a group that a task holds
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -341,11 +342,7 @@ def _regroup(kept: DataFrame, labels: DataFrame, quarters: DataFrame, how: str,
         both = join_per_key(rows, mixed.select("sig", F.col("_c.doc").alias("_d"), F.col("_c.meta").alias("_m"), F.col("_c.label").alias("_l")), ["sig"], "inner").where("label <> _l")
         return _fitting(both, percent)
     rows = materialize(join_per_key(rows, mixed.select("sig", "_n", F.col("_c.doc").alias("first")), ["sig"], "inner"), "jaccard-mixed")
-    big = rows.where(F.col("_n") > BIG)
-    other = big.select("sig", F.col("doc").alias("_d"), F.col("meta").alias("_m"), F.col("label").alias("_l"))
-    wide = _compare(_fitting(big.join(other, "sig").where("label < _l"), percent), quarters, percent, False)
-    few = rows.where(F.col("_n") <= BIG)
-    return _pairs_within(join_per_key(few, quarters, ["doc"], "inner"), percent).unionByName(wide).distinct()
+    return _pairs_within(join_per_key(rows, quarters, ["doc"], "inner"), percent).distinct()
 
 
 def _fitting(both: DataFrame, percent: int) -> DataFrame:
@@ -360,49 +357,67 @@ def _pairs_within(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components within groups that may be similar by sizes, positions and least hashes.
 
     Groups with the same first member mostly hold the same documents: they go to the same few tasks, each of which
-    looks at a pair once.
+    looks at a pair once. The members of a group of more than BIG are dealt into blocks of half that size by a hash, and
+    each pair of blocks is compared by itself, so no task holds more than BIG of them.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
-        seen: set[tuple[int, int]] = set()
-
-        def group(doc: list[int], meta: np.ndarray, label: np.ndarray, n: list[int], tokens: list[np.ndarray]) -> Iterator[tuple[int, int]]:
-            for j in range(1, len(doc)):
-                good = (label[:j] != label[j]) & _may_link(meta[:j], meta[j], percent)
-                for i in np.flatnonzero(good).tolist():
-                    pair = (min(doc[i], doc[j]), max(doc[i], doc[j]))
-                    if pair not in seen:
-                        seen.add(pair)
-                        if (100 + percent) * _most_shared(n[i], tokens[i], n[j], tokens[j]) >= percent * (n[i] + n[j]):
-                            yield pair
+        # Pairs that were looked at, as numbers of their members in the order in which this task met them.
+        met: dict[int, int] = {}
+        seen = np.zeros(0, np.int64)
+
+        def group(part: pa.Table) -> Iterator[tuple[int, int]]:
+            nonlocal seen
+            doc, meta, label, n, block = (part[c].to_numpy() for c in ("doc", "meta", "label", "n", "block"))
+            across = part["low"][0].as_py() != part["high"][0].as_py()
+            if len(seen) > SEEN_PAIRS:
+                met.clear()
+                seen = seen[:0]
+            own = np.array([met.setdefault(d, len(met)) for d in doc.tolist()], np.int64)
+            tokens = [np.frombuffer(t, np.uint32) for t in part["tokens"].to_pylist()]
+            for at in range(0, len(doc), PAIR_ROWS):
+                end = min(at + PAIR_ROWS, len(doc))
+                left, right = slice(0, end), (slice(at, end), None)
+                good = (label[left] != label[right]) & _may_link(meta[left], meta[right], percent) & (doc[left] != doc[right])
+                good &= (np.arange(end) < np.arange(at, end)[:, None]) & ((block[left] != block[right]) if across else True)
+                j, i = np.nonzero(good)
+                j += at
+                key, once = np.unique((np.minimum(own[i], own[j]) << np.int64(32)) + np.maximum(own[i], own[j]), return_index=True)
+                new = ~np.isin(key, seen)
+                seen = np.union1d(seen, key[new])
+                for x, y in zip(i[once[new]].tolist(), j[once[new]].tolist(), strict=True):
+                    if (100 + percent) * _most_shared(n[x], tokens[x], n[y], tokens[y]) >= percent * (n[x] + n[y]):
+                        yield min(doc[x], doc[y]), max(doc[x], doc[y])
+
+        def edges(part: pa.Table) -> np.ndarray:
+            """First rows of groups, but for the first group."""
+            sig, low, high = (part[c].to_numpy() for c in ("sig", "low", "high"))
+            return np.flatnonzero((sig[1:] != sig[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])) + 1
 
         def flush(part: pa.Table) -> pa.RecordBatch:
-            sig, meta, label = (part[c].to_numpy() for c in ("sig", "meta", "label"))
-            doc, n = part["doc"].to_pylist(), part["n"].to_pylist()
-            tokens = [np.frombuffer(t, np.uint32) for t in part["tokens"].to_pylist()]
-            edge = np.concatenate([[0], np.flatnonzero(sig[1:] != sig[:-1]) + 1, [len(sig)]]).tolist()
-            found = []
-            for a, b in zip(edge[:-1], edge[1:], strict=True):
-                if len(seen) > SEEN_PAIRS:
-                    seen.clear()
-                found += group(doc[a:b], meta[a:b], label[a:b], n[a:b], tokens[a:b])
+            edge = [0, *edges(part).tolist(), part.num_rows]
+            found = [pair for a, b in zip(edge[:-1], edge[1:], strict=True) for pair in group(part.slice(a, b - a))]
             return pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], names=["a", "b"])
 
         for batch in batches:
             part = pa.Table.from_batches([batch])
             part = part if held is None else pa.concat_tables([held, part])
-            sig = part["sig"].to_numpy()
-            change = np.flatnonzero(sig[1:] != sig[:-1])
-            cut = int(change[-1]) + 1 if len(change) else 0  # the last group may go on in the next batch
+            change = edges(part)
+            cut = int(change[-1]) if len(change) else 0  # the last group may go on in the next batch
             if cut:
                 yield flush(part.slice(0, cut))
-            held = part.slice(cut)
+            held = part.slice(cut).combine_chunks()
         if held is not None and held.num_rows:
             yield flush(held)
 
-    wanted = rows.select("first", F.pmod("sig", F.lit(4)).alias("part"), "sig", "doc", "meta", "label", "n", "tokens")
-    dealt = wanted.repartition("first", "part").sortWithinPartitions("first", "part", "sig")
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("_n") * 2 / BIG)).cast("int")
+    own = rows.withColumn("block", F.pmod(F.xxhash64("doc"), blocks).cast("int"))
+    sides = F.transform(F.sequence(F.lit(0), blocks - 1), lambda x: F.struct(F.least(x, F.col("block")).alias("low"), F.greatest(x, F.col("block")).alias("high")))
+    own = own.where(F.col("_n") <= BIG).withColumns({"block": F.lit(0), "low": F.lit(0), "high": F.lit(0)}).unionByName(
+        own.where(F.col("_n") > BIG).withColumn("_s", F.explode(sides)).withColumns({"low": F.col("_s.low"), "high": F.col("_s.high")}).drop("_s"))
+    wanted = own.select("first", F.pmod("sig", F.lit(4)).alias("part"), "sig", "low", "high", "block", "doc", "meta", "label", "n", "tokens")
+    dealt = wanted.repartition("first", "part", "low", "high").sortWithinPartitions("first", "part", "sig", "low", "high")
     return dealt.mapInArrow(scan, "a long, b long")
 
 
@@ -472,14 +487,15 @@ def first_of_each(docs: DataFrame) -> DataFrame:
 
     Rows that share a doc_id are one document: of several, the one with the smallest text stays.
     """
-    firsts = similar_components(docs).where("doc_id = component_id").groupBy("doc_id").agg((F.count("*") > 1).alias("_more"))
+    more, place = fresh("more", docs.columns), fresh("place", docs.columns)
+    firsts = similar_components(docs).where("doc_id = component_id").groupBy("doc_id").agg((F.count("*") > 1).alias(more))
     ids = materialize(firsts, "jaccard-firsts")
-    kept = docs.join(ids, "doc_id").unionByName(docs.where("doc_id IS NULL").withColumn("_more", F.lit(False)))
-    if ids.where("_more").isEmpty():
+    kept = docs.join(ids, "doc_id").unionByName(docs.where("doc_id IS NULL").withColumn(more, F.lit(False)))
+    if ids.where(F.col(more)).isEmpty():
         return kept.select(*docs.columns)
     rest = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
-    ranked = kept.where("_more").withColumn("_n", F.row_number().over(rest)).where("_n = 1")
-    return kept.where("NOT _more").select(*docs.columns).unionByName(ranked.select(*docs.columns))
+    ranked = kept.where(F.col(more)).withColumn(place, F.row_number().over(rest)).where(F.col(place) == 1)
+    return kept.where(~F.col(more)).select(*docs.columns).unionByName(ranked.select(*docs.columns))
 
 
 @query("op2_ngram_jaccard")

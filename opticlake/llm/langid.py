@@ -11,7 +11,8 @@ Everything else reads all rows. Languages are collected; more than `MOST_LANGUAG
 
 Edge cases: NULL text or text without a letter is `und` with score 0; without any labelled row all are `und`; with one
 language all others are that one; rows without doc_id or lang are not learned from; each row is judged by itself, so
-repeated rows get the same answer; columns besides doc_id, text and lang are not looked at.
+repeated rows get the same answer; columns besides doc_id, text and lang are not looked at. Texts are counted in blocks of
+at most BLOCK_ROWS, so many short ones take no more memory than a long one.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from opticlake.llm.catalog import query
 from opticlake.llm.words import text_blocks
 
 DIMS = 4096
+BLOCK_ROWS = 256  # most texts whose counts a task holds at a time, 32 KB each
 MOST_LANGUAGES = 1000
 PIECE = 40  # bytes of the short training pieces
 AMBIGUOUS = 0.6  # least score of an unambiguous answer
@@ -149,7 +151,7 @@ def train(docs: DataFrame, sample: int = 2000) -> Model | None:
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, data, rows in text_blocks(batch.column("text")):
+            for at, data, rows in text_blocks(batch.column("text"), most_rows=BLOCK_ROWS):
                 middle = (rows[:-1] + rows[1:] - min(PIECE, len(data))) // 2
                 start = np.maximum(middle, rows[:-1])
                 end = np.minimum(start + PIECE, rows[1:])
@@ -172,8 +174,8 @@ def train(docs: DataFrame, sample: int = 2000) -> Model | None:
     return fit(np.frombuffer(packed, np.float16).reshape(-1, DIMS), y, languages)
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """All rows with lang_pred, score and ambiguous."""
+def identify(docs: DataFrame, model: Model | None, names: tuple[str, str, str] = ("lang_pred", "score", "ambiguous")) -> DataFrame:
+    """All rows with lang_pred, score and ambiguous, or other names for them; columns of docs with such a name are replaced."""
 
     def has_letter(data: np.ndarray, rows: np.ndarray) -> np.ndarray:
         plain = np.concatenate([[0], np.cumsum(_LETTER[data])])
@@ -186,7 +188,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
         for batch in batches:
             langs: list[str] = []
             scores: list[float] = []
-            for _, data, rows in text_blocks(batch.column("text")):
+            for _, data, rows in text_blocks(batch.column("text"), most_rows=BLOCK_ROWS):
                 letters = has_letter(data, rows)
                 if model is None:
                     letters[:] = False
@@ -196,13 +198,13 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
                 langs += [model.languages[b] if ok else "und" for b, ok in zip(best, letters, strict=True)]
                 scores += np.where(letters, score, 0.0).tolist()
             columns = dict(zip(batch.schema.names, batch.columns, strict=True)) | {
-                "lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores, pa.float64()),
-                "ambiguous": pa.array([s < AMBIGUOUS for s in scores], pa.bool_()),
+                names[0]: pa.array(langs, pa.string()), names[1]: pa.array(scores, pa.float64()),
+                names[2]: pa.array([s < AMBIGUOUS for s in scores], pa.bool_()),
             }
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    rows = docs.drop("lang_pred", "score", "ambiguous")
-    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())]
+    rows = docs.drop(*names)
+    added = [T.StructField(n, t) for n, t in zip(names, (T.StringType(), T.DoubleType(), T.BooleanType()), strict=True)]
     return rows.mapInArrow(predict, T.StructType([*rows.schema.fields, *added]))
 
 

@@ -7,13 +7,16 @@ whose other children get it: siblings come before ancestors. Shares are whole to
 
 A leaf with budget b and s tokens takes every document b div s times, and of one more epoch the documents that stand
 first in that epoch's seeded order, while their tokens sum to at most b mod s. The order is the MD5 of seed, epoch and
-doc_id. Its first three digits cut a leaf into 4096 buckets: running sums go over buckets, and only the documents of
-the one bucket that the budget ends in are sorted, so a leaf with a third of all rows is never one task.
+doc_id. Its first three digits cut a leaf into 4096 buckets: running sums go over buckets, and only in the one bucket that
+the budget ends in are documents put in order. There rows of one doc_id and length are counted, not sorted; where only some
+of them fit, those are picked by running counts over 4096 slices of their row numbers. So neither a leaf nor a document
+number with a third of all rows is one task.
 
 Edge cases: NULL in a level is the node ''; a NULL doc_id sorts as the text ''; documents without words (NULL or
-empty text) are never taken; equal hashes (repeated rows) are ordered by token count, and rows that agree in that as
-well are taken while the running sum of all rows like them fits, at worst none of them; a node of weight 0 gets nothing;
-an empty table or a budget of 0 gives no rows. Columns besides the levels, doc_id and text are not looked at.
+empty text) are never taken; equal hashes (repeated rows) are ordered by token count, and of rows that agree in that as
+well as many are taken as fit; a node of weight 0 gets nothing; an empty table or a budget of 0 gives no rows. Columns
+besides the levels, doc_id and text are not looked at; those of `keep` come along as they are, but for names that the
+result has already.
 """
 
 from __future__ import annotations
@@ -70,13 +73,18 @@ def leaf_budgets(leaves: DataFrame, levels: list[str], weights: Weights, budget:
     return sized.drop("cap").join(above, levels)
 
 
-def mix_sources(docs: DataFrame, levels: list[str], weights: Weights, budget: Column, seed: int, epochs: int = 1) -> DataFrame:
-    """One row per taken document and epoch: doc_id, levels, epoch (from 0), n_tokens."""
+def mix_sources(docs: DataFrame, levels: list[str], weights: Weights, budget: Column, seed: int, epochs: int = 1,
+                keep: list[str] = ()) -> DataFrame:
+    """One row per taken document and epoch: doc_id, levels, epoch (from 0), n_tokens, and the columns of `keep`."""
     if any(w < 0 or w > 1000 for w in weights.values()):
         raise ValueError("weights are whole numbers from 0 to 1000")
     tokens = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    names = {"doc_id", *levels, "epoch", "n_tokens"}
+    keep = [c for c in keep if c.lower() not in {n.lower() for n in names}]
+    kept = [F.struct(*keep).alias("_kept")] if keep else []
     counted = materialize(
-        docs.select("doc_id", *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in levels], tokens.alias("n_tokens"))
+        docs.select("doc_id", *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in levels], tokens.alias("n_tokens"),
+                    F.monotonically_increasing_id().alias("_row"), *kept)
         .where("n_tokens > 0"), "mix-counted")
     leaves = counted.groupBy(*levels).agg(F.sum("n_tokens").alias("tokens"))
     budgets = materialize(
@@ -95,14 +103,35 @@ def mix_sources(docs: DataFrame, levels: list[str], weights: Weights, budget: Co
     keys = [*levels, "_bucket"]
     open_rows = rows.where("rest > 0").join(ends.select(*keys, "_start", "_in"), keys)
     fits = F.col("_start") + F.col("_in") <= F.col("rest")
-    running = Window.partitionBy(*keys).orderBy("_order", "n_tokens")  # one bucket of each leaf
-    cut = open_rows.where(~fits).withColumn("_upto", F.col("_start") + F.sum("n_tokens").over(running)).where("_upto <= rest")
-    out = ["doc_id", *levels, "epoch", "n_tokens"]
+    cut = _prefix(open_rows.where(~fits), levels)
+    out = ["doc_id", *levels, "epoch", "n_tokens", *(["_kept.*"] if keep else [])]
     full = rows.where("whole > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), (F.col("whole") - 1).cast("int"))))
-    part = open_rows.where(fits).unionByName(cut.drop("_upto")).withColumn("epoch", F.col("whole").cast("int"))
+    part = open_rows.where(fits).unionByName(cut).withColumn("epoch", F.col("whole").cast("int"))
     return full.select(*out).unionByName(part.select(*out))
 
 
+def _prefix(rows: DataFrame, levels: list[str]) -> DataFrame:
+    """The rows of the buckets that budgets end in (one of each leaf) which still fit, in the order of the epoch."""
+    alike = [*levels, "_order", "n_tokens"]
+    running = Window.partitionBy(*levels).orderBy("_order", "n_tokens")
+    counts = rows.groupBy(*alike, "_start", "rest").agg(F.count("*").alias("_c"))
+    own = F.col("_c") * F.col("n_tokens")
+    counts = counts.withColumn("_left", F.col("rest") - F.col("_start") - (F.sum(own).over(running) - own))
+    room = counts.where("_left > 0").select(*alike, "_c", F.expr("least(_c, _left div n_tokens)").alias("_room")).where("_room > 0")
+    met = join_per_key(rows, room, alike, "inner")
+    whole = met.where("_c = _room").select(*rows.columns)
+    # At most one group of a leaf is taken in part.
+    some = met.where("_c > _room").withColumn("_slice", F.pmod(F.xxhash64("_row"), F.lit(4096)))
+    upto = F.sum("_n").over(Window.partitionBy(*levels).orderBy("_slice"))
+    slices = some.groupBy(*levels, "_slice", F.col("_room").alias("_take")).agg(F.count("*").alias("_n"))
+    slices = slices.withColumn("_left", F.col("_take") - (upto - F.col("_n"))).where("_left > 0").select(*levels, "_slice", "_n", "_left")
+    dealt = join_per_key(some, slices, [*levels, "_slice"], "inner")
+    inner = dealt.where("_n <= _left").select(*rows.columns)
+    place = F.row_number().over(Window.partitionBy(*levels, "_slice").orderBy("_row"))
+    last = dealt.where("_n > _left").withColumn("_place", place).where("_place <= _left").select(*rows.columns)
+    return whole.unionByName(inner).unionByName(last)
+
+
 #: Weights by path; nodes that are not listed have weight 1.
 WEIGHTS: Weights = {
     ("d0",): 1, ("d1",): 2, ("d2",): 3, ("d3",): 4, ("d1", "de"): 5, ("d3", "es"): 3, ("d0", "en"): 4, ("d2", "en", "src2"): 6,
@@ -112,14 +141,14 @@ SEED, EPOCHS = 17, 2
 
 
 def with_domain(docs: DataFrame) -> DataFrame:
-    """Documents with a domain: d0 to d3 by the number in the source's name."""
+    """Documents with a domain, d0 to d3 by the number in the source's name, in place of a column of that name."""
     number = F.try_to_number(F.nullif(F.regexp_extract("source", "([0-9]{1,9})$", 1), F.lit("")), F.lit("999999999")).cast("int")
     return docs.withColumn("domain", F.concat(F.lit("d"), F.coalesce(number % 4, F.lit(0)).cast("string")))
 
 
-def mix_documents(docs: DataFrame) -> DataFrame:
+def mix_documents(docs: DataFrame, keep: list[str] = ()) -> DataFrame:
     """Half of all tokens, at most two epochs of each leaf."""
-    return mix_sources(with_domain(docs), LEVELS, WEIGHTS, F.expr("tokens div 2"), SEED, EPOCHS)
+    return mix_sources(with_domain(docs), LEVELS, WEIGHTS, F.expr("tokens div 2"), SEED, EPOCHS, keep)
 
 
 def _level_sql(depth: int) -> str:
@@ -157,7 +186,7 @@ taken AS (
   FROM above3 JOIN leaves USING (domain, lang, source) WHERE budget > 0
 ), placed AS (
   SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source
-    ORDER BY md5('{SEED}:' || CAST(whole AS BIGINT) || ':' || doc_id), n_tokens) AS upto
+    ORDER BY md5('{SEED}:' || CAST(whole AS BIGINT) || ':' || doc_id), n_tokens ROWS UNBOUNDED PRECEDING) AS upto
   FROM counted JOIN taken USING (domain, lang, source) WHERE n_tokens > 0
 )
 SELECT doc_id, domain, lang, source, CAST(e AS INTEGER) AS epoch, n_tokens

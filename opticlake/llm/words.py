@@ -38,8 +38,8 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def text_blocks(texts: pa.Array, most: int = _BLOCK) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets of the rows in them) of whole texts, about `most` bytes at a time; NULL is empty."""
+def text_blocks(texts: pa.Array, most: int = _BLOCK, most_rows: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets of the rows in them) of whole texts, about `most` bytes and at most `most_rows` rows at a time; NULL is empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -51,6 +51,7 @@ def text_blocks(texts: pa.Array, most: int = _BLOCK) -> Iterator[tuple[int, np.n
     at = 0
     while at < len(texts):
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
+        end = min(end, at + most_rows) if most_rows else end
         yield at, data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
         at = end
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,3 +79,14 @@ def test_whole_text_counts():
     counts = langid.ngram_counts(text, np.array([0, len(long), len(text)]))
     alone = langid.ngram_counts(np.frombuffer(b"zz", np.uint8), np.array([0, 2]))
     assert np.allclose(counts[1], alone[0]) and not np.allclose(counts[0], alone[0])
+
+
+def test_many_short_texts_are_counted_in_blocks(monkeypatch):
+    """Blocks are bounded by rows as well as by bytes."""
+    from opticlake.llm.words import text_blocks
+
+    texts = pa.array(["ab", None, "c" * 50, ""] * 500)
+    blocks = list(text_blocks(texts, most=1 << 20, most_rows=langid.BLOCK_ROWS))
+    assert max(len(rows) - 1 for _, _, rows in blocks) <= langid.BLOCK_ROWS
+    assert [at for at, _, _ in blocks] == list(range(0, 2000, langid.BLOCK_ROWS))
+    assert b"".join(data.tobytes() for _, data, _ in blocks) == "".join(t or "" for t in texts.to_pylist()).encode()

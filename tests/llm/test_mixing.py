@@ -56,8 +56,9 @@ def plain(docs, weights, budget_of, seed, epochs):
         whole, rest = divmod(budget, supply[leaf])
         taken += [(i, *leaf, e, n) for i, n in own for e in range(whole)]
         keyed = [(hashlib.md5(":".join([str(seed), str(whole), "" if i is None else str(i)]).encode()).hexdigest(), n, i) for i, n in own]
-        for key, n, i in keyed:
-            if sum(m for k, m, _ in keyed if (k, m) <= (key, n)) <= rest:
+        for _, n, i in sorted(keyed, key=lambda k: k[:2]):
+            rest -= n
+            if rest >= 0:
                 taken.append((i, *leaf, whole, n))
     return sorted(taken, key=str)
 
@@ -106,3 +107,20 @@ def test_plan_is_native(spark):
     frame = spark.createDataFrame([(1, "x", "p", "a", "x", "x")], SCHEMA)
     plan = mix_sources(frame, ["a", "b"], {}, F.lit(5), 1)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+
+
+@pytest.mark.parametrize("ids", [[5] * 100, [None] * 100, [5] * 60 + [6] * 40])
+def test_of_equal_rows_as_many_as_fit(spark, ids):
+    docs = [(i, "x", "p", "a b c") for i in ids]
+    assert len(run(spark, docs, {}, F.expr("tokens div 2"), 3, 1)) == 50
+    assert len(run(spark, docs, {}, F.lit(10), 3, 1)) == 3
+    assert run(spark, docs, {}, F.expr("tokens div 2"), 3, 1) == plain(docs, {}, lambda n: n // 2, 3, 1)
+
+
+def test_kept_columns(spark):
+    rows = [(i % 3, "x", "p", f"word {i}", f"e{i}", "n") for i in range(40)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    found = mix_sources(frame, ["a", "b"], {}, F.expr("tokens div 2"), 1, 1, ["text", "epoch", "n_tokens", "A"])
+    assert found.columns == ["doc_id", "a", "b", "epoch", "n_tokens", "text"]
+    texts = [r["text"] for r in found.collect()]
+    assert len(texts) == len(set(texts)) == 20
