@@ -1,7 +1,11 @@
 """Documents to a training mix: language, near copies, benchmark leaks, personal data, source weights.
 
 Each stage is a function of (spark, docs, sf_dir) that returns a DataFrame; its result is written as Parquet and read
-again as the next one's documents. All stages but the last keep the columns of documents.
+again as the next one's documents. All stages but the last keep the columns of documents, whatever they are called.
+
+Edge cases: a NULL or empty text has no language and goes in the first stage, as does an ambiguous one; of rows that share a
+doc_id the near-duplicate stage keeps one, rows without a doc_id stay there; a text of the benchmark goes whether or not it
+has a doc_id; n_chars follows the redacted text where there is such a column; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -9,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opticlake.llm.catalog import prepare
-from opticlake.llm.decontaminate import find_leaks
+from opticlake.llm.catalog import fresh, prepare
+from opticlake.llm.decontaminate import without_leaks
 from opticlake.llm.jaccard import first_of_each
 from opticlake.llm.langid import identify
 from opticlake.llm.langid import train as train_languages
@@ -26,8 +30,9 @@ LEAST_SCORE = 0.4
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language: those without a letter, or with no language clearly nearest, go."""
     prepare(spark)
-    judged = identify(docs, train_languages(docs))
-    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    lang, score, ambiguous = (fresh(n, docs.columns) for n in ("lang_pred", "score", "ambiguous"))
+    judged = identify(docs, train_languages(docs), (lang, score, ambiguous))
+    return judged.where((F.col(lang) != "und") & (F.col(score) >= LEAST_SCORE)).select(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,21 +44,21 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     prepare(spark)
-    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return docs.join(materialize(leaks, "leaks"), "doc_id", "left_anti").select(*docs.columns)
+    return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind; n_chars is that of the new text."""
     prepare(spark)
     clean = redact(docs, train_pii(docs))
-    return clean.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])).select(*docs.columns)
+    counted = {c: F.length("text").cast(t) for c, t in docs.dtypes if c.lower() == "n_chars"}
+    return clean.withColumns(counted).select(*docs.columns) if counted else clean
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents and epochs taken for the target weights."""
+    """Documents and epochs taken for the target weights, with their texts."""
     prepare(spark)
-    return mix_documents(docs)
+    return mix_documents(docs, docs.columns)
 
 
 STAGES = [
