@@ -1,4 +1,4 @@
-"""Telemetry views over the given tables, in SQL that Spark and DuckDB both run.
+"""Interface and lane views over the given tables, in SQL that Spark and DuckDB both run.
 
 `EPOCH_US(x)` is the one spelling that differs. Raw replies are rendered from
 the same views in Spark, one bounded reply per source row, so their number and

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from opticlake import constants as C
 
+# --- Fixed values: tags and field names of replies, documents and tables ------
+
 CORRUPT = "_corrupt_record"
 _TEXT = T.ArrayType(T.StringType())
 

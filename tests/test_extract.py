@@ -10,42 +10,43 @@ from opticlake.plans.extraction import INTERFACE_MAPPING, LANE_MAPPING
 from tests import replies as R
 
 
-def test_known_reply_with_lane(spark):
-    docs = R.docs(spark, R.LANE_REPLY)
+def test_known_reply_with_lanes(spark):
+    docs = R.docs(spark, R.LANED_REPLY)
     row = X.extract_optics_interface(docs).collect()
-    assert len(row) == 1 and row[0]["if_name"] == "et-0/0/28"
-    assert [row[0][f] for f in C.THRESHOLD_TAGS] == R.LANE_THRESHOLDS
-    assert [row[0][m] for m in C.INTERFACE_MEASURES] == [36.0, 3.271, None, None, None, None, None]
+    assert [r["if_name"] for r in row] == [R.PORT]
+    assert [row[0][f] for f in C.THRESHOLD_TAGS] == R.THRESHOLDS
+    assert [row[0][m] for m in C.INTERFACE_MEASURES] == [R.TEMPERATURE, R.VOLTAGE, None, None, None, None, None]
     lanes = X.extract_optics_lanes(docs).collect()
-    assert [tuple(r[c] for c in ("device", "if_name", "lane", *C.LANE_MEASURES)) for r in lanes] == [
-        ("dev-0", "et-0/0/28", 0, 0.442, -3.55, 0.712, -1.48, 7.204)]
+    assert sorted(tuple(r[c] for c in ("device", "if_name", "lane", *C.LANE_TAGS)) for r in lanes) == [
+        ("dev-0", R.PORT, lane, *R.lane_values(lane)) for lane in range(R.LANES)]
 
 
-def test_known_reply_without_lane(spark):
-    docs = R.docs(spark, R.FLAT_REPLY)
+def test_known_reply_without_lanes(spark):
+    docs = R.docs(spark, R.UNLANED_REPLY)
     row = X.extract_optics_interface(docs).first()
-    assert [row[f] for f in C.THRESHOLD_TAGS] == R.FLAT_THRESHOLDS
-    # The temperature is the attribute, not the rounded text; rx comes from the fallback tags.
-    assert [row[m] for m in C.INTERFACE_MEASURES] == [41.5, 3.296, 6.911, 0.442, -3.55, 0.3717, -4.30]
+    assert [row[f] for f in C.THRESHOLD_TAGS] == R.THRESHOLDS
+    # The temperature is the attribute, not the text; rx comes from the fallback tags.
+    assert [row[m] for m in C.INTERFACE_MEASURES] == [R.TEMPERATURE, R.VOLTAGE, *R.SENT.values(), *R.FALLBACKS.values()]
     assert X.extract_optics_lanes(docs).isEmpty()
 
 
 def test_mapping_equals_extractors(spark):
-    docs = R.docs(spark, R.LANE_REPLY)
+    docs = R.docs(spark, R.LANED_REPLY)
     by_mapping = X.extract_by_mapping(docs, INTERFACE_MAPPING, "physical-interface").first().asDict()
     by_code = X.extract_optics_interface(docs).first().asDict()
     assert by_mapping == {k: by_code[k] for k in by_mapping}
     lane = "physical-interface/optics-diagnostics/optics-diagnostics-lane-values"
-    assert X.extract_by_mapping(docs, LANE_MAPPING, lane).first().asDict() == X.extract_optics_lanes(docs).first().asDict()
+    mapped, coded = X.extract_by_mapping(docs, LANE_MAPPING, lane), X.extract_optics_lanes(docs)
+    assert sorted(mapped.select(*coded.columns).collect()) == sorted(coded.collect())
 
 
 def test_replies_that_do_not_parse(spark):
-    docs = R.docs(spark, R.LANE_REPLY, R.LANE_REPLY[:-20], "", None, "no xml at all", "<rpc-reply/>")
+    docs = R.docs(spark, R.LANED_REPLY, R.LANED_REPLY[:-20], "", None, "no xml at all", "<rpc-reply/>")
     good, rejects = X.quarantine_malformed(docs, S.OPTICS_LANE_REPLY)
     assert {r["device"] for r in good.collect()} == {"dev-0", "dev-5"}
     assert {r["device"]: r["reason"] for r in rejects.collect()} == {
         "dev-1": "malformed", "dev-2": "empty", "dev-3": "missing", "dev-4": "malformed"}
-    assert X.extract_optics_lanes(docs).count() == 1
+    assert X.extract_optics_lanes(docs).count() == R.LANES
 
 
 @pytest.mark.parametrize("body, expected", [
@@ -78,7 +79,7 @@ def test_lane_edges(spark):
 
 
 def test_wrappers_and_prefixes(spark):
-    plain = R.LANE_REPLY
+    plain = R.LANED_REPLY
     inner = plain[plain.index("<interface-information"):plain.index("</rpc-reply>")].replace(
         "<interface-information", '<interface-information xmlns:u="urn:u"')
     engines = ("<rpc-reply><multi-routing-engine-results><multi-routing-engine-item>" + inner
@@ -87,11 +88,11 @@ def test_wrappers_and_prefixes(spark):
         "<p:rpc-reply", '<p:rpc-reply xmlns:p="urn:p"')
     docs = R.docs(spark, plain, inner, engines, prefixed)
     assert X.extract_optics_lanes(docs).groupBy("device").count().count() == 4
-    assert X.extract_optics_lanes(docs).drop("device").distinct().count() == 1
+    assert X.extract_optics_lanes(docs).drop("device").distinct().count() == R.LANES
 
 
 def test_filter_and_metadata(spark):
-    reply = R.optics_reply(R.interface("et-0/0/1", R.FLAT), R.interface("et-0/0/1:0", R.FLAT))
+    reply = R.optics_reply(R.interface("et-0/0/1", R.WITHOUT_LANES), R.interface("et-0/0/1:0", R.WITHOUT_LANES))
     docs = R.docs(spark, reply)
     rows = X.extract_optics_interface(docs, {"voltage": 9.0, "site": "s"}, ["et-0/0/1:0"]).collect()
     assert [(r["if_name"], r["voltage"], r["site"]) for r in rows] == [("et-0/0/1:0", 9.0, "s")]
@@ -186,7 +187,7 @@ def test_ports(spark):
 
 
 def test_each_reply_is_parsed_once(spark):
-    for df in (X.extract_optics_interface(R.docs(spark, R.LANE_REPLY)), X.extract_optics_lanes(R.docs(spark, R.LANE_REPLY))):
+    for df in (X.extract_optics_interface(R.docs(spark, R.LANED_REPLY)), X.extract_optics_lanes(R.docs(spark, R.LANED_REPLY))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("from_xml(") == 1
         assert "Exchange" not in plan and "BatchEvalPython" not in plan
@@ -200,4 +201,5 @@ def test_mapping_file(spark):
     lane = "physical-interface/optics-diagnostics/optics-diagnostics-lane-values"
     lines = X.read_mapping(spark, path)
     assert sorted(lines) == sorted(LANE_MAPPING)
-    assert X.extract_by_mapping(R.docs(spark, R.LANE_REPLY), lines, lane).first()["tx_bias"] == 7.204
+    found = X.extract_by_mapping(R.docs(spark, R.LANED_REPLY), lines, lane).collect()
+    assert sorted(r["tx_bias"] for r in found) == [R.lane_values(lane)[-1] for lane in range(R.LANES)]
