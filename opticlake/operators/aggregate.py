@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opticlake.operators.slices import group_quantiles
+from opticlake.operators import sketches as K
 
 SPREAD = {"p50": 0.5, "p95": 0.95}
 
@@ -132,7 +132,8 @@ def rma_comparison(df: DataFrame, events: DataFrame, metrics: list[str], ts: str
     rows = rows.withColumn("phase", F.when(F.col(ts) < F.col("event_time"), "before").otherwise("after"))
     by = ["device", "phase"]
     means = [e for m in metrics for e in (F.count(m).alias(f"{m}_count"), F.avg(m).alias(f"{m}_mean"))]
-    out = group_quantiles(rows, by, metrics, SPREAD, extra=means)
+    names = [f"{m}_{kind}" for m in metrics for kind in ("count", "mean")]
+    out = K.exact_quantiles(rows, by, metrics, SPREAD, means, names, columns=[])
     values = [c for c in out.columns if c not in by]
     wide = out.groupBy("device").agg(*[
         F.max(F.when(F.col("phase") == phase, F.col(v))).alias(f"{phase}_{v}")
@@ -149,8 +150,23 @@ def vendor_fleet_stats(frame: DataFrame, metrics: list[str], by: list[str] = ("v
     distinct = F.approx_count_distinct(interface) if approximate else F.count_distinct(interface)
     aggregates = [F.count("*").alias("rows"), distinct.alias("interfaces")]
     aggregates += [F.avg(m).alias(f"{m}_mean") for m in metrics]
+    names = ["rows", "interfaces", *[f"{m}_mean" for m in metrics]]
     if approximate:
-        for m in metrics:
-            aggregates += [F.approx_percentile(m, p).alias(f"{m}_{name}") for name, p in SPREAD.items()]
-        return frame.groupBy(*by).agg(*aggregates)
-    return group_quantiles(frame, by, metrics, SPREAD, extra=aggregates)
+        states = K.quantile_states(frame, by, metrics, aggregates)
+        return K.state_quantiles(states, metrics, SPREAD).select(*by, *names, *[f"{m}_{name}" for m in metrics for name in SPREAD])
+    return K.exact_quantiles(frame, by, metrics, SPREAD, aggregates, names, columns=["device", "if_name"])
+
+
+def fleet_sets(df: DataFrame, by: list[str], ts: str = "ts", members: list[str] = ("device", "if_name")) -> DataFrame:
+    """(by..., hour, members): sketches of the interfaces that were seen, to be stored and merged over any period."""
+    hour = F.floor(F.col(ts) / 3600) * 3600
+    return K.distinct_states(df.withColumn("hour", hour), [*by, "hour"], list(members))
+
+
+def fleet_changes(sets: DataFrame, by: list[str], event: Column | str) -> DataFrame:
+    """Interfaces seen before an event time and from then on, in both periods, gone and new, per group; from `fleet_sets`."""
+    at = F.col(event) if isinstance(event, str) else event
+    phase = F.when(F.col("hour") < F.floor(at / 3600) * 3600, "before").otherwise("after")
+    merged = K.merged_sets(sets.withColumn("_phase", phase), [*by, "_phase"])
+    wide = merged.groupBy(*by).agg(*[F.max(F.when(F.col("_phase") == p, F.col("members"))).alias(f"_{p}") for p in ("before", "after")])
+    return wide.select(*by, *[v.alias(name) for name, v in K.set_sizes("_before", "_after").items()])

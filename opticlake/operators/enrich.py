@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from opticlake import constants as C
 from opticlake.functions import filled, normalize_if_name
-from opticlake.operators.joins import join_as_of, join_per_key, newest_per_key, unique_per_key
+from opticlake.operators.as_of import join_all_as_of, join_as_of
+from opticlake.operators.joins import join_per_key, unique_per_key
 
 BASE = "_base"
 
@@ -23,14 +24,20 @@ def _run(df: DataFrame) -> list[str]:
 
 def _fill_from(df: DataFrame, right: DataFrame, keys: list[str], columns: list[str], keep_old: bool = False) -> DataFrame:
     """Left join; a non-empty new value replaces the old one, or the reverse with `keep_old`."""
-    extra = right.select(*keys, *_run(right), *[F.col(c).alias(f"_new_{c}") for c in columns])
-    joined = join_as_of(df, extra, keys)
+    return _fill(join_as_of(df, _renamed(right, keys, columns), keys), columns, keep_old)
+
+
+def _renamed(right: DataFrame, keys: list[str], columns: list[str], mark: str = "_new") -> DataFrame:
+    return right.select(*keys, *_run(right), *[F.col(c).alias(f"{mark}_{c}") for c in columns])
+
+
+def _fill(joined: DataFrame, columns: list[str], keep_old: bool = False, mark: str = "_new") -> DataFrame:
     merged = {}
     for c in columns:
-        new = filled(f"_new_{c}")
-        old = F.col(c) if c in df.columns else F.lit(None).cast("string")
+        new = filled(f"{mark}_{c}")
+        old = F.col(c) if c in joined.columns else F.lit(None).cast("string")
         merged[c] = F.coalesce(old, new) if keep_old else F.coalesce(new, old)
-    return joined.withColumns(merged).drop(*[f"_new_{c}" for c in columns])
+    return joined.withColumns(merged).drop(*[f"{mark}_{c}" for c in columns])
 
 
 def enrich_device_metadata(df: DataFrame, system: DataFrame, serials: DataFrame) -> DataFrame:
@@ -40,18 +47,29 @@ def enrich_device_metadata(df: DataFrame, system: DataFrame, serials: DataFrame)
     return _fill_from(rows, serials, ["device"], ["origin_name"])
 
 
+def _by_base(facts: DataFrame, columns: list[str]) -> DataFrame:
+    return facts.select("device", F.col("if_name").alias(BASE), *_run(facts), *columns)
+
+
 def enrich_transceiver(df: DataFrame, ports: DataFrame) -> DataFrame:
     """Eight transceiver columns from the port details of the base interface."""
-    right = ports.select("device", F.col("if_name").alias(BASE), *_run(ports), *C.TRANSCEIVER_COLUMNS)
     rows = df.withColumn(BASE, normalize_if_name("if_name"))
-    return _fill_from(rows, right, ["device", BASE], C.TRANSCEIVER_COLUMNS).drop(BASE)
+    return _fill_from(rows, _by_base(ports, C.TRANSCEIVER_COLUMNS), ["device", BASE], C.TRANSCEIVER_COLUMNS).drop(BASE)
 
 
 def serial_precedence(df: DataFrame, chassis: DataFrame) -> DataFrame:
     """The serial already present, from the ports, goes before the chassis one."""
-    right = chassis.select("device", F.col("if_name").alias(BASE), *_run(chassis), "serial_number")
     rows = df.withColumn(BASE, normalize_if_name("if_name"))
-    return _fill_from(rows, right, ["device", BASE], ["serial_number"], keep_old=True).drop(BASE)
+    return _fill_from(rows, _by_base(chassis, ["serial_number"]), ["device", BASE], ["serial_number"], keep_old=True).drop(BASE)
+
+
+def enrich_ports(df: DataFrame, ports: DataFrame, chassis: DataFrame) -> DataFrame:
+    """`enrich_transceiver` and then `serial_precedence`, with one exchange of the rows for both."""
+    keys = ["device", BASE]
+    sides = [_renamed(_by_base(ports, C.TRANSCEIVER_COLUMNS), keys, C.TRANSCEIVER_COLUMNS, "_port"),
+             _renamed(_by_base(chassis, ["serial_number"]), keys, ["serial_number"], "_chassis")]
+    joined = join_all_as_of(df.withColumn(BASE, normalize_if_name("if_name")), sides, keys)
+    return _fill(_fill(joined, C.TRANSCEIVER_COLUMNS, mark="_port"), ["serial_number"], True, "_chassis").drop(BASE)
 
 
 def channel_fanout(df: DataFrame, xcvr: DataFrame, on: list[str] = ("device",)) -> DataFrame:
@@ -75,27 +93,28 @@ def enrich_lake_chassis(df: DataFrame, chassis: DataFrame) -> DataFrame:
 
 
 def assemble_device_bundle(system: DataFrame, chassis: DataFrame, optics: DataFrame, stats: DataFrame) -> DataFrame:
-    """One row per device seen in any of the four documents, with the facts of its newest run.
+    """One row per device, and run where all documents carry one, that is seen in any of the four, with its facts as of that run.
 
     Host name and serial default to the device; a system document replaces the
     host name and profile, a chassis document the serial, even by NULL.
     """
+    run = ["run_timestamp"] if all("run_timestamp" in df.columns for df in (system, chassis, optics, stats)) else []
+    keys = ["device", *run]
+
     def present(df: DataFrame, flag: str) -> DataFrame:
-        return df.select("device").withColumn("_flag", F.lit(flag))
+        return df.select(*keys).withColumn("_flag", F.lit(flag))
 
     seen = present(system, "system")
     for df, flag in ((chassis, "chassis"), (optics, "optics"), (stats, "stats")):
         seen = seen.unionByName(present(df, flag))
-    devices = seen.groupBy("device").agg(*[
-        F.max(F.col("_flag") == flag).alias(f"has_{flag}") for flag in ("system", "chassis", "optics", "stats")
-    ])
-    facts = newest_per_key(system.select("device", *_run(system), F.col("origin_hostname").alias("_host"),
-                                         F.col("device_profile").alias("_profile")), ["device"]).drop("run_timestamp")
-    serial = newest_per_key(chassis.select("device", *_run(chassis), F.col("origin_name").alias("_serial")),
-                            ["device"]).drop("run_timestamp")
-    rows = devices.join(facts, "device", "left").join(serial, "device", "left")
+    devices = seen.groupBy(*keys).agg(*[F.max(F.col("_flag") == flag).alias(f"has_{flag}") for flag in ("optics", "stats")])
+    facts = system.select("device", *_run(system), F.col("origin_hostname").alias("_host"), F.col("device_profile").alias("_profile"),
+                          F.lit(True).alias("_system"))
+    serial = chassis.select("device", *_run(chassis), F.col("origin_name").alias("_serial"), F.lit(True).alias("_chassis"))
+    rows = join_all_as_of(devices, [facts, serial], ["device"]).withColumns(
+        {f"has_{flag}": F.coalesce(f"_{flag}", F.lit(False)) for flag in ("system", "chassis")})
     return rows.select(
-        "device",
+        *keys,
         # A system document without host name is a failed one: it holds the device alone and changes nothing.
         F.coalesce("_host", "device").alias("origin_hostname"),
         F.when(F.col("has_chassis"), F.col("_serial")).otherwise(F.col("device")).alias("origin_name"),

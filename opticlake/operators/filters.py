@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from opticlake import constants as C
 from opticlake.functions import filled, run_time_columns
+from opticlake.operators.as_of import join_as_of
 from opticlake.operators.enrich import enrich_lake_chassis
 from opticlake.operators.joins import join_per_key
 
@@ -72,31 +73,33 @@ def _identity(df: DataFrame, run_timestamp: int | Column | None) -> DataFrame:
 
 
 def _with_device(rows: DataFrame, devices: DataFrame) -> DataFrame:
+    """The facts of the device as of the row's run, where the devices are listed by run."""
     facts = ["origin_hostname", "origin_name", "inventory_instance", "device_profile"]
-    return join_per_key(rows.drop(*facts), devices.select("device", *facts), ["device"])
+    run = [c for c in ("run_timestamp",) if c in devices.columns]
+    return join_as_of(rows.drop(*facts), devices.select("device", *run, *facts), ["device"])
 
 
 def project_interface_dom(interfaces: DataFrame, devices: DataFrame, chassis: DataFrame,
-                          run_timestamp: int | Column | None) -> DataFrame:
-    """The 14 columns of the interface dataset."""
+                          run_timestamp: int | Column | None, keep: list[str] = ()) -> DataFrame:
+    """The 14 columns of the interface dataset, and those of `keep` (as in the other projections)."""
     rows = enrich_lake_chassis(interfaces, chassis)
     rows = _identity(_with_device(rows, devices), run_timestamp)
     text = {c: F.coalesce(c, F.lit("")) for c in ("vendor", "media_type", "fiber_type")}
-    return rows.withColumns(text).select(*C.INTERFACE_DOM_COLUMNS)
+    return rows.withColumns(text).select(*C.INTERFACE_DOM_COLUMNS, *keep)
 
 
-def project_lane_dom(lanes: DataFrame, devices: DataFrame, run_timestamp: int | Column | None) -> DataFrame:
+def project_lane_dom(lanes: DataFrame, devices: DataFrame, run_timestamp: int | Column | None, keep: list[str] = ()) -> DataFrame:
     """The 10 columns of the lane dataset, valid lanes only."""
     valid, _ = split_valid_lanes(lanes)
-    return _identity(_with_device(valid, devices), run_timestamp).select(*C.LANE_DOM_COLUMNS)
+    return _identity(_with_device(valid, devices), run_timestamp).select(*C.LANE_DOM_COLUMNS, *keep)
 
 
-def project_interface_counters(stats: DataFrame, devices: DataFrame,
-                               run_timestamp: int | Column | None) -> DataFrame:
+def project_interface_counters(stats: DataFrame, devices: DataFrame, run_timestamp: int | Column | None,
+                               keep: list[str] = ()) -> DataFrame:
     """The 18 columns of the counter dataset."""
     rows = _identity(_with_device(stats, devices), run_timestamp)
     text = {c: F.coalesce(c, F.lit("")) for c in ("if_name", "admin_status", "oper_status")}
-    return rows.withColumns(text).select(*C.INTERFACE_COUNTERS_COLUMNS)
+    return rows.withColumns(text).select(*C.INTERFACE_COUNTERS_COLUMNS, *keep)
 
 
 def string_hardening(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -1,9 +1,11 @@
-"""Time series and quantiles for groups too large for one task.
+"""Time series for groups too large for one task.
 
 A window function sorts a whole group in one task. Where the largest group is
-measured to be small, that is the best plan. Otherwise the series is cut into
-time slices; each slice is a group of its own and carries in the few rows it
-needs from its neighbours, so the result is the same whatever the cut.
+measured to be small, that is the best plan. Otherwise the large keys, and they
+alone, are cut into ranges of about equal numbers of rows: a sample of a key's
+order gives the split points, so a second with a million rows is cut like a
+year. Each range is a group of its own and carries in the few rows it needs from
+those before, so the result is the same whatever the cut.
 """
 
 from __future__ import annotations
@@ -13,32 +15,44 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opticlake.operators.joins import join_per_key
-from opticlake.session import group_limit, heaviest_group, heaviest_slices
+from opticlake.session import group_limit, heaviest_group, heaviest_slices, materialize
 
-SLICE, CARRY = "_slice", "_carry"
-# Day, hour, ten minutes, minute, ten seconds, second.
-WIDTHS = [86_400, 3_600, 600, 60, 10, 1]
-# The sketch is off by at most rows / accuracy ranks. A bracket is wider than that by one rank or more,
-# from these group sizes on; smaller groups use their whole range.
-SKETCH_ACCURACY = 100_000
-SLACKS = [(1_000_000, 2.0 / SKETCH_ACCURACY), (1_000, 0.004)]
+SLICE, CARRY, TIE = "_slice", "_carry", "_tie"
+# Rows that are sampled of each range of a large key. With 64 a range of twice the wanted size is out of the question.
+SAMPLED = 64
 
 
 @dataclass(frozen=True)
 class Series:
-    """Rows of many time series: `ts` in whole seconds, `order` the full order within a key."""
+    """Rows of many time series: `ts` in whole seconds, `order` the full order within a key.
+
+    Cut by `cuts` (keys and split points of the large keys), or by time into slices of `width` seconds, or not at all.
+    """
 
     df: DataFrame
     keys: list[str]
     ts: str
     order: list[str]
-    width: int | None
+    width: int | None = None
+    cuts: DataFrame | None = None
+
+    @property
+    def whole(self) -> bool:
+        return self.width is None and self.cuts is None
 
     def sliced(self) -> DataFrame:
-        at = F.floor(F.col(self.ts) / self.width) if self.width else F.lit(0).cast("long")
-        return self.df.withColumns({SLICE: at, CARRY: F.lit(False)})
+        if self.cuts is None:
+            at = F.floor(F.col(self.ts) / self.width) if self.width else F.lit(0).cast("long")
+            return self.df.withColumns({SLICE: at, CARRY: F.lit(False)})
+        # The number of split points at or before the row: first among every so many of them, then among those between.
+        rows, at = join_per_key(self.df, self.cuts, self.keys, nulls_match=True), F.struct(*self.order)
+        head = F.size(F.filter("_heads", lambda s: s <= at))
+        inner = F.size(F.filter(F.get("_groups", head - 1), lambda s: s <= at))
+        number = F.when(head > 0, (head - 1) * F.size(F.get("_groups", F.lit(0))) + inner).otherwise(0)
+        return rows.withColumns({SLICE: F.coalesce(number, F.lit(0)).cast("long"), CARRY: F.lit(False)}).drop("_heads", "_groups")
 
     def window(self, descending: bool = False):
         by = [F.col(c).desc() if descending else F.col(c).asc() for c in self.order]
@@ -56,24 +70,43 @@ class Series:
 
 def series(df: DataFrame, keys: list[str], ts: str, order: list[str] | None = None,
            width: int | str | None = "measure") -> Series:
-    """Choose the widest slice whose largest group one task can sort, no slices if none are needed."""
-    if width == "measure":
-        limit = group_limit(df.sparkSession)
-        width = None
-        if heaviest_group(df, keys) > limit:
-            # Two steps: fine slices are counted only where an hour is still too much.
-            for widths in (WIDTHS[:2], WIDTHS[2:]):
-                sizes = heaviest_slices(df, keys, ts, widths)
-                width = next((w for w in widths if sizes[w] <= limit), widths[-1])
-                if sizes[width] <= limit:
-                    break
-    return Series(df, keys, ts, order or [ts], width)
+    """The series, cut into ranges where the largest key is measured to be too large for a task."""
+    order = order or [ts]
+    if width != "measure":
+        return Series(df, keys, ts, order, width)
+    limit = group_limit(df.sparkSession)
+    if heaviest_group(df, keys) <= limit:
+        return Series(df, keys, ts, order)
+    # Rows that the order leaves equal are told apart by their values, so that they can be cut too.
+    values = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, T.VariantType)]
+    df, order = df.withColumn(TIE, F.xxhash64(*values)), [*order, TIE]
+    return Series(df, keys, ts, order, cuts=range_cuts(df, keys, order, limit))
+
+
+def range_cuts(df: DataFrame, keys: list[str], order: list[str], limit: int) -> DataFrame:
+    """(keys, _heads, _groups): the split points of each key with more than `limit` rows, in groups, and the first of each group.
+
+    Points are about half of `limit` rows apart. Only the sample of a key, `SAMPLED` rows of a range, is sorted as a whole.
+    """
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).drop("_n")
+    rows = join_per_key(df.select(*{*keys, *order}), hot.withColumn("_hot", F.lit(True)), keys, "inner", nulls_match=True)
+    aim = max(1, limit // 2)
+    picked = rows.where(F.rand(17) < min(1.0, SAMPLED / aim))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
+    points = picked.withColumn("_place", place).where((F.col("_place") > 0) & (F.col("_place") % min(SAMPLED, aim) == 0))
+    every = points.groupBy(*keys).agg(F.sort_array(F.collect_set(F.struct(*order))).alias("_points"))
+    size = F.ceil(F.sqrt(F.size("_points"))).cast("int")
+    starts = F.sequence(F.lit(0), F.size("_points") - 1, size)
+    groups = every.withColumn("_groups", F.transform(starts, lambda i: F.slice("_points", i + 1, size)))
+    heads = F.transform("_groups", lambda g: F.get(g, F.lit(0)))
+    # Written once: a sample that is drawn again would cut elsewhere.
+    return materialize(groups.select(*keys, heads.alias("_heads"), "_groups"), "range-cuts")
 
 
 def with_previous(s: Series, values: dict[str, Column]) -> DataFrame:
     """Sliced rows, plus one carried row per slice: the time and last known values before it."""
     rows = s.sliced()
-    if s.width is None:
+    if s.whole:
         return rows
     at = F.struct(*s.order)
     last = rows.groupBy(*s.keys, SLICE).agg(
@@ -95,7 +128,7 @@ def with_previous(s: Series, values: dict[str, Column]) -> DataFrame:
 def with_next(s: Series, test: Column) -> DataFrame:
     """Sliced rows, plus one carried row per slice: the first later row that passes the test."""
     rows = s.sliced()
-    if s.width is None:
+    if s.whole:
         return rows
     names = s.df.columns
     # Every slice needs a row here, also where nothing in it passes: earlier slices look through it.
@@ -112,14 +145,17 @@ def with_next(s: Series, test: Column) -> DataFrame:
 def with_rows_before(s: Series, n: int) -> DataFrame:
     """Sliced rows, plus the up to `n` rows before the start of each slice."""
     rows = s.sliced()
-    if s.width is None or n == 0:
+    if s.whole or n == 0:
         return rows
+    names = s.df.columns
     recent = rows.withColumn("_back", F.row_number().over(s.window(descending=True))).where(F.col("_back") <= n)
-    by_key = Window.partitionBy(*s.keys).orderBy(*s.order)
-    later = F.array_compact(F.array(*[F.lead(SLICE, i).over(by_key) for i in range(1, n + 1)]))
-    targets = recent.drop("_back", CARRY).withColumn("_to", F.array_except(later, F.array(SLICE)))
-    carried = targets.withColumn("_to", F.explode("_to")).withColumn(SLICE, F.col("_to")).drop("_to")
-    return rows.unionByName(carried.withColumn(CARRY, F.lit(True)))
+    last = recent.groupBy(*s.keys, SLICE).agg(F.collect_list(F.struct("_back", F.struct(*names).alias("_row"))).alias("_rows"))
+    nearest = last.withColumn("_rows", F.array_sort("_rows", lambda a, b: a["_back"] - b["_back"]))
+    # The n rows before a slice lie in the n slices before it, each of which has one at least.
+    before = F.collect_list("_rows").over(s.slices(descending=True).rowsBetween(1, n))
+    carried = nearest.withColumn("_before", F.slice(F.flatten(before), 1, n)).select(*s.keys, SLICE, F.explode("_before").alias("_b"))
+    rest = [F.col("_b")["_row"][c].alias(c) for c in names if c not in s.keys]
+    return rows.unionByName(carried.select(*s.keys, SLICE, *rest, F.lit(True).alias(CARRY)))
 
 
 def span_fits(df: DataFrame, keys: list[str], ts: str, seconds: int) -> bool:
@@ -159,74 +195,4 @@ def span_sums(df: DataFrame, keys: list[str], ts: str, seconds: int, sums: dict[
 
 
 def own_rows(df: DataFrame) -> DataFrame:
-    return df.where(~F.col(CARRY)).drop(SLICE, CARRY)
-
-
-def fits_one_task(df: DataFrame, by: list[str]) -> bool:
-    """Whether the built-in quantile, which holds a group's distinct values, may be used."""
-    return heaviest_group(df, by) <= group_limit(df.sparkSession)
-
-
-def group_quantiles(df: DataFrame, by: list[str], metrics: list[str], shares: dict[str, float],
-                    fits: bool | None = None, extra: list[Column] = ()) -> DataFrame:
-    """One row per group: exact quantiles `<metric>_<name>`, and other aggregates in the same pass."""
-    if fits_one_task(df, by) if fits is None else fits:
-        return df.groupBy(*by).agg(*extra, *[
-            F.percentile(m, float(p)).alias(f"{m}_{name}") for m in metrics for name, p in shares.items()])
-    out = df.groupBy(*by).agg(*(extra or [F.count("*").alias("_n")]))
-    out = out if extra else out.drop("_n")
-    for m in metrics:
-        long = exact_percentiles(df, by, m, list(shares.values()))
-        wide = long.groupBy(*by).agg(*[
-            F.max(F.when(F.col("share") == p, F.col("quantile"))).alias(f"{m}_{name}") for name, p in shares.items()])
-        out = join_per_key(out, wide, by, nulls_match=True)
-    return out
-
-
-def exact_percentiles(df: DataFrame, by: list[str], value: str, shares: list[float]) -> DataFrame:
-    """(by..., share, quantile): interpolated quantiles of one column, for groups of any size.
-
-    A mergeable sketch brackets each quantile; only the values inside the
-    bracket are counted and ranked, so the answer is exact.
-    """
-    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    ends = [min(1.0, max(0.0, p + side * slack)) for p in shares for _, slack in SLACKS for side in (-1, 1)]
-    sketch = rows.groupBy(*by).agg(
-        F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.approx_percentile("_v", ends, SKETCH_ACCURACY).alias("_ends"),
-    )
-
-    def end(share: int, side: int, outer: str) -> Column:
-        value = F.col(outer)
-        for level, (rows_from, slack) in reversed(list(enumerate(SLACKS))):
-            inside = 0.0 < shares[share] + (2 * side - 1) * slack < 1.0
-            at = F.get("_ends", F.lit((share * len(SLACKS) + level) * 2 + side)) if inside else F.col(outer)
-            value = F.when(F.col("_n") >= rows_from, at).otherwise(value)
-        return value
-
-    brackets = F.array(*[
-        F.struct(
-            F.lit(float(p)).alias("share"), (F.lit(float(p)) * (F.col("_n") - 1)).alias("rank"),
-            end(i, 0, "_min").alias("low"), end(i, 1, "_max").alias("high"),
-        )
-        for i, p in enumerate(shares)
-    ])
-    bounds = sketch.select(*by, F.explode(brackets).alias("_b")).select(*by, "_b.*")
-    paired = join_per_key(rows, bounds, by, "inner", nulls_match=True)
-    # Below the bracket only the count matters; inside, equal values are counted together before the shuffle.
-    inside = F.when(F.col("_v") >= F.col("low"), F.col("_v"))
-    counted = (
-        paired.where(F.col("_v") <= F.col("high"))
-        .groupBy(*by, "share", "rank", inside.alias("_v")).agg(F.count("*").alias("_c"))
-    )
-    upto = F.sum("_c").over(Window.partitionBy(*by, "share").orderBy(F.col("_v").asc_nulls_first()))
-    ranked = counted.withColumn("_upto", upto)
-    lower, upper = F.floor("rank"), F.ceil("rank")
-    found = ranked.where(F.col("_v").isNotNull()).groupBy(*by, "share", "rank").agg(
-        F.min(F.when(F.col("_upto") > lower, F.col("_v"))).alias("_lo"),
-        F.min(F.when(F.col("_upto") > upper, F.col("_v"))).alias("_hi"),
-    )
-    # Same arithmetic as the built-in aggregate.
-    mixed = (upper - F.col("rank")) * F.col("_lo") + (F.col("rank") - lower) * F.col("_hi")
-    value_at = F.when(lower == upper, F.col("_lo")).otherwise(mixed)
-    return found.select(*by, "share", value_at.alias("quantile"))
+    return df.where(~F.col(CARRY)).drop(SLICE, CARRY, TIE)

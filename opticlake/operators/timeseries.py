@@ -11,10 +11,10 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opticlake.operators.joins import join_as_of, join_per_key
+from opticlake.operators.as_of import join_as_of
+from opticlake.operators.joins import join_per_key
 from opticlake.operators.slices import (
-    fits_one_task,
-    group_quantiles,
+    Series,
     own_rows,
     series,
     span_fits,
@@ -23,6 +23,8 @@ from opticlake.operators.slices import (
     with_previous,
     with_rows_before,
 )
+from opticlake.operators.sketches import exact_quantiles
+from opticlake.session import group_limit
 
 KEYS = ["device", "if_name"]
 
@@ -69,7 +71,7 @@ def moving_features(df: DataFrame, metrics: list[str], n: int, seconds: int, key
             f"{m}_roc": F.when(gap > 0, (F.col(m) - F.lag(m).over(w)) / gap),
         }
     rows = own_rows(with_rows_before(s, max(n - 1, 1)).withColumns(columns))
-    if s.width is None and span_fits(df, keys, ts, seconds):
+    if s.whole and span_fits(df, keys, ts, seconds):
         span = Window.partitionBy(*keys).orderBy(ts).rangeBetween(-seconds, 0)
         return rows.withColumns({f"{m}_ma_t": F.avg(m).over(span) for m in metrics})
     sums = {f"{m}_{part}": v for m in metrics
@@ -87,16 +89,9 @@ def latest_sample(df: DataFrame, keys: list[str], ts: str = "ts", tiebreak: list
     return newest.select(*keys, "_v.*")
 
 
-def power_drift(df: DataFrame, metric: str, seconds: int, keys: list[str] = KEYS, ts: str = "ts",
-                width: int | str | None = "measure") -> DataFrame:
-    """Slope of a metric per second over the span that ends at each sample."""
+def power_drift(df: DataFrame, metric: str, seconds: int, keys: list[str] = KEYS, ts: str = "ts") -> DataFrame:
+    """Slope of a metric per second over the span that ends at each sample, from sums per second at any density."""
     y, name = F.col(metric), f"{metric}_drift"
-    s = series(df, keys, ts, width=width)
-    if s.width is None and span_fits(df, keys, ts, seconds):
-        span = Window.partitionBy(*keys).orderBy(ts).rangeBetween(-seconds, 0)
-        known = F.when(y.isNotNull(), F.col(ts))
-        enough = F.min(known).over(span) < F.max(known).over(span)
-        return df.withColumn(name, F.when(enough, F.regr_slope(y, F.col(ts).cast("double")).over(span)))
 
     def products(x: Column) -> dict[str, Column]:
         return {"_x": F.col("_n") * x, "_xx": F.col("_n") * x * x, "_xy": F.col("_y") * x,
@@ -114,15 +109,23 @@ def failure_label(df: DataFrame, horizon: int, delta: str = "fec_nccw_delta", ke
                   tiebreak: list[str] = (), width: int | str | None = "measure") -> DataFrame:
     """1 if the counter rises within (ts, ts + horizon], 0 if it does not, NULL where the end is not seen yet."""
     s = series(df, keys, ts, [ts, *tiebreak], width=width)
-    hit = F.col(delta) > 0
-    # Descending order turns "the first hit after" into a running minimum.
-    after = s.time_window(descending=True).rangeBetween(Window.unboundedPreceding, -1)
-    rows = own_rows(with_next(s, hit).withColumn("_next", F.min(F.when(hit, F.col(ts))).over(after)))
-    last = df.groupBy(*keys).agg(F.max(ts).alias("_last"))
-    rows = join_per_key(rows, last, keys, "inner", nulls_match=True)
+    hit = F.coalesce(F.col(delta) > 0, F.lit(False))
     end = F.col(ts) + horizon
-    label = F.when(F.col("_next") <= end, 1).when(end <= F.col("_last"), 0)
-    return rows.withColumn("failure_label", label).drop("_next", "_last")
+    label = F.when(F.col("_next") <= end, 1).when(end <= F.col("_last"), 0).alias("failure_label")
+    # Descending order turns "the first hit after" into a running minimum.
+    if s.whole:
+        after = Window.partitionBy(*keys).orderBy(F.col(ts).desc())
+        following = after.rangeBetween(Window.unboundedPreceding, -1)
+        seen = {"_next": F.min(F.when(hit, F.col(ts))).over(following), "_last": F.max(ts).over(after.rangeBetween(Window.unboundedPreceding, 0))}
+        return df.withColumns(seen).select(*df.columns, label)
+    # All samples of a second have one label: a slice of so many seconds has no more rows than that, whatever the density.
+    seconds = df.groupBy(*keys, ts).agg(F.max(hit).alias("_hit"))
+    t = Series(seconds, keys, ts, [ts], s.width or group_limit(df.sparkSession))
+    after = t.time_window(descending=True).rangeBetween(Window.unboundedPreceding, -1)
+    known = own_rows(with_next(t, F.col("_hit")).withColumn("_next", F.min(F.when(F.col("_hit"), F.col(ts))).over(after)))
+    last = seconds.groupBy(*keys).agg(F.max(ts).alias("_last"))
+    labels = join_per_key(known, last, keys, "inner", nulls_match=True).select(*keys, ts, label)
+    return join_per_key(df, labels, [*keys, ts], "inner", nulls_match=True)
 
 
 def anomaly_score(df: DataFrame, metrics: list[str], method: str = "zscore", keys: list[str] = KEYS) -> DataFrame:
@@ -135,11 +138,10 @@ def anomaly_score(df: DataFrame, metrics: list[str], method: str = "zscore", key
             *[f(m).alias(f"_{kind}_{m}") for m in metrics for kind, f in (("c", F.avg), ("s", F.stddev_pop))])
         rows = join_per_key(df, centres, keys, "inner", nulls_match=True)
     elif method == "mad":
-        fits = fits_one_task(df, keys)
-        centres = group_quantiles(df, keys, metrics, {"median": 0.5}, fits)
+        centres = exact_quantiles(df, keys, metrics, {"median": 0.5})
         rows = join_per_key(df, centres, keys, nulls_match=True).withColumnsRenamed({f"{m}_median": f"_c_{m}" for m in metrics})
         apart = rows.select(*keys, *[F.abs(F.col(m) - F.col(f"_c_{m}")).alias(m) for m in metrics])
-        spread = group_quantiles(apart, keys, metrics, {"median": 0.5}, fits)
+        spread = exact_quantiles(apart, keys, metrics, {"median": 0.5}, columns=[])
         rows = join_per_key(rows, spread.select(
             *keys, *[(F.col(f"{m}_median") * 1.4826).alias(f"_s_{m}") for m in metrics]), keys, nulls_match=True)
     else:

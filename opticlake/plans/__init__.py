@@ -1,6 +1,6 @@
 from importlib import import_module
 
-MODULES = ["collection", "extraction", "values", "relations", "trends", "storage", "streams"]
+MODULES = ["collection", "extraction", "values", "relations", "trends", "storage", "streams", "runs"]
 
 
 def load_all() -> None:

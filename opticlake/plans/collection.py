@@ -9,6 +9,7 @@ from opticlake.operators import enrich as J
 from opticlake.operators import exposition as E
 from opticlake.operators import extract as X
 from opticlake.operators import filters as P
+from opticlake.operators.joins import join_per_key
 from opticlake.plans import views as V
 from opticlake.plans.catalog import query
 from opticlake.plans.extraction import _SYSTEM
@@ -17,28 +18,38 @@ from opticlake.session import materialize
 
 def collect_run(system_docs: DataFrame, chassis_docs: DataFrame, optics_docs: DataFrame, stats_docs: DataFrame,
                 ports: DataFrame, devices: DataFrame, global_filter: str | None = None) -> dict[str, DataFrame]:
-    """Parse the four replies, apply the interface filters and merge metadata into the optics rows."""
+    """Parse the replies, apply the interface filters and merge metadata into the optics rows.
+
+    `ports` are port details, or the replies per slot that hold them (with fpc and pic); the later slot counts.
+    """
+    if "xml" in ports.columns:
+        ports = X.merge_pic_slots(X.extract_pic_ports(ports))
     system = X.extract_system_info(system_docs)
     # Both optics tables come from the same replies: these are parsed once.
     elements = materialize(X.optics_elements(optics_docs), "optics")
     serials, chassis = X.extract_chassis_inventory(chassis_docs)
-    stats = P.resolve_filter_precedence(X.extract_interface_stats(stats_docs), devices, global_filter)
+    # Counters and the bins beside them also share their replies.
+    counted = materialize(X.stats_elements(stats_docs), "stats")
+    bins = X.pivot_fec_histogram(X.histogram_rows(counted))
+    keys = [c for c in counted.columns if c != "pi"]
+    stats = join_per_key(X.stats_rows(counted), bins, keys, nulls_match=True)
+    stats = P.resolve_filter_precedence(stats, devices, global_filter)
     merged = {}
     for name, rows in (("interfaces", X.optics_interfaces(elements)), ("lanes", X.optics_lanes(elements))):
         rows = P.resolve_filter_precedence(rows, devices, global_filter)
         rows = J.enrich_device_metadata(rows, system, serials)
-        merged[name] = J.serial_precedence(J.enrich_transceiver(rows, ports), chassis)
+        merged[name] = J.enrich_ports(rows, ports, chassis)
     return {"system": system, "serials": serials, "chassis": chassis, "stats": stats, **merged}
 
 
-def hourly_datasets(bundle: dict[str, DataFrame], run_timestamp) -> tuple[dict[str, DataFrame], DataFrame]:
-    """The three lake datasets of a run, and the devices that failed."""
+def hourly_datasets(bundle: dict[str, DataFrame], run_timestamp, keep: list[str] = ()) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The three lake datasets of a run, with the columns of `keep` beside theirs, and the devices that failed."""
     rows, failed = P.fail_device_on_missing_name({k: bundle[k] for k in ("interfaces", "lanes", "stats")})
     devices = J.assemble_device_bundle(bundle["system"], bundle["serials"], bundle["interfaces"], bundle["stats"])
     return {
-        "interface_dom": P.project_interface_dom(rows["interfaces"], devices, bundle["chassis"], run_timestamp),
-        "lane_dom": P.project_lane_dom(rows["lanes"], devices, run_timestamp),
-        "interface_counters": P.project_interface_counters(rows["stats"], devices, run_timestamp),
+        "interface_dom": P.project_interface_dom(rows["interfaces"], devices, bundle["chassis"], run_timestamp, keep),
+        "lane_dom": P.project_lane_dom(rows["lanes"], devices, run_timestamp, keep),
+        "interface_counters": P.project_interface_counters(rows["stats"], devices, run_timestamp, keep),
     }, failed
 
 

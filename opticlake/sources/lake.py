@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,23 +32,23 @@ def append_same_file(df: DataFrame, path: str, partitions: list[str] = (), compr
     rows.write.mode("append").options(**write_options(compression)).partitionBy(*partitions).parquet(path)
 
 
-def write_lake_hourly(datasets: dict[str, DataFrame], root: str, compression: str = "snappy") -> list[str]:
-    """Write each dataset below its dt and hr; a dataset without rows writes nothing. The names of those with rows."""
-    written = []
+def write_lake_hourly(datasets: dict[str, DataFrame], root: str, compression: str = "snappy") -> dict[str, int]:
+    """Write each dataset below its dt and hr; a dataset without rows writes nothing. The rows of those that have some."""
+    written = {}
     for name, df in datasets.items():
-        # Whether there are rows shows in the bytes written, so nothing upstream runs twice.
-        before = _size(df.sparkSession, f"{root}/{name}")
-        append_same_file(df, f"{root}/{name}", PARTITIONS, compression)
-        if _size(df.sparkSession, f"{root}/{name}") > before:
-            written.append(name)
+        # Counted as they are written: nothing upstream runs twice, and other writers do not matter.
+        seen = Observation()
+        append_same_file(df.observe(seen, F.count(F.lit(1)).alias("rows")), f"{root}/{name}", PARTITIONS, compression)
+        if n := _observed(seen, df):
+            written[name] = n
     return written
 
 
-def _size(spark: SparkSession, folder: str) -> int:
-    """Bytes below a folder."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return store.getContentSummary(path).getLength() if store.exists(path) else 0
+def _observed(seen: Observation, df: DataFrame) -> int:
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError:  # rows that are known to be none are not run, and so not observed
+        return df.count()
 
 
 def write_per_device(df: DataFrame, root: str, by_device: bool = True, compression: str = "snappy",

@@ -14,7 +14,7 @@ from opticlake.operators import enrich as J
 from opticlake.operators import extract as X
 from opticlake.operators import filters as P
 from opticlake.operators import timeseries as W
-from opticlake.operators.joins import join_as_of
+from opticlake.operators.as_of import join_as_of
 from opticlake.session import scratch
 from opticlake.sources import lake as K
 from opticlake.sources import replies as A
@@ -96,9 +96,9 @@ def test_odd_samples_act_on_their_frames_only(spark, odd):
             assert len(said) == 1
             mean, expected = float(next(iter(said))), math.fsum(own) / len(own) if all(map(math.isfinite, own)) else sum(own)
             assert mean == pytest.approx(expected, rel=1e-12, nan_ok=True), (width, ts)
-    drifts = [{r["ts"]: r["t_drift"] for r in W.power_drift(rows, "t", 50, width=w).collect()} for w in (None, 60)]
-    plain = {ts for ts in drifts[0] if not any(ts - 50 <= at <= ts for _, _, at, v in data if v != 0.5)}
-    assert plain and all(d[ts] is None or d[ts] == pytest.approx(0, abs=1e-12) for d in drifts for ts in plain)
+    drift = {r["ts"]: r["t_drift"] for r in W.power_drift(rows, "t", 50).collect()}
+    plain = {ts for ts in drift if not any(ts - 50 <= at <= ts for _, _, at, v in data if v != 0.5)}
+    assert plain and all(drift[ts] is None or drift[ts] == pytest.approx(0, abs=1e-12) for ts in plain)
 
 
 def test_hot_second_and_distant_rows(spark):
@@ -212,10 +212,10 @@ def test_the_registry_gives_every_table_and_filters(spark):
     from opticlake.plans.registry import default_registry
     from tests import replies as R
 
-    docs = R.docs(spark, R.LANE_REPLY)
+    docs = R.docs(spark, R.LANED_REPLY)
     registry = default_registry()
     assert {"optics_diagnostics", "optics_interfaces", "chassis_inventory", "chassis_serials"} <= set(registry.entries)
     devices = spark.createDataFrame([("dev-0", "et-9/9/9")], "device string, interface_filter string")
-    assert registry.run(docs)["optics_interfaces"].count() == registry.run(docs)["optics_diagnostics"].count() == 1
+    assert registry.run(docs)["optics_interfaces"].count() == 1 and registry.run(docs)["optics_diagnostics"].count() == R.LANES
     assert registry.run(docs, devices)["optics_interfaces"].count() == 0
-    assert registry.run(docs, devices.withColumn("interface_filter", F.lit("")))["optics_diagnostics"].count() == 1
+    assert registry.run(docs, devices.withColumn("interface_filter", F.lit("")))["optics_diagnostics"].count() == R.LANES

@@ -113,10 +113,10 @@ def test_whole_run(spark):
     """Replies of two devices to lake rows and exposition text; one device fails on a nameless interface."""
     system = R.docs(spark, "<rpc-reply><system-information><host-name>h0</host-name><hardware-model>m</hardware-model>"
                            "</system-information></rpc-reply>", "<broken")
-    chassis = R.docs(spark, CHASSIS.replace("FPC 1", "FPC 0").replace("Xcvr 5", "Xcvr 28"), "<broken")
-    optics = R.docs(spark, R.LANE_REPLY, R.LANE_REPLY)
-    stats = R.docs(spark, *[R.optics_reply(stats_interface("et-0/0/28", "<fec_ccw_count>5</fec_ccw_count>"))] * 2)
-    ports = spark.createDataFrame([("dev-0", "et-0/0/28")], "device string, if_name string").withColumns(
+    chassis = R.docs(spark, CHASSIS.replace("FPC 1", "FPC 2").replace("Xcvr 5", "Xcvr 9"), "<broken")
+    optics = R.docs(spark, R.LANED_REPLY, R.LANED_REPLY)
+    stats = R.docs(spark, *[R.optics_reply(stats_interface(R.PORT, "<fec_ccw_count>5</fec_ccw_count>"))] * 2)
+    ports = spark.createDataFrame([("dev-0", R.PORT)], "device string, if_name string").withColumns(
         {c: F.lit(c.upper()) for c in C.TRANSCEIVER_COLUMNS if c != "serial_number"}).withColumn(
         "serial_number", F.lit(None).cast("string"))
     devices = spark.createDataFrame([("dev-0", None), ("dev-1", "")], "device string, interface_filter string")
@@ -129,10 +129,10 @@ def test_whole_run(spark):
             dom["dev-0"]["part_number"], dom["dev-0"]["vendor"]) == ("h0", "S1", "B", "PART_NUMBER", "VENDOR")
     assert (dom["dev-1"]["origin_hostname"], dom["dev-1"]["origin_name"], dom["dev-1"]["device_profile"]) == ("dev-1", None or "", None)
     assert dom["dev-0"]["collection_timestamp"] == "2023-11-14T22:13:20Z"
-    assert datasets["lane_dom"].columns == C.LANE_DOM_COLUMNS and datasets["lane_dom"].count() == 2
+    assert datasets["lane_dom"].columns == C.LANE_DOM_COLUMNS and datasets["lane_dom"].count() == 2 * R.LANES
     assert datasets["interface_counters"].columns == C.INTERFACE_COUNTERS_COLUMNS
     text = exposition_text(bundle).collect()
-    assert any(r["value"].startswith('rx_power{interface="et-0/0/28",lane="0",origin_hostname="h0",device_profile="JUNIPER_M",'
+    assert any(r["value"].startswith('rx_power{interface="et-2/0/9",lane="0",origin_hostname="h0",device_profile="JUNIPER_M",'
                                      'origin_name="S1",vendor="VENDOR"') and r["instance"] == "dev-0" for r in text)
 
     nameless = dict(bundle, interfaces=bundle["interfaces"].withColumn(

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opticlake.operators import timeseries as W
-from opticlake.operators.slices import exact_percentiles, series
+from opticlake.operators.slices import SLICE, series
 from opticlake.session import GROUP_ROWS_SETTING
 
 TIE = ["event_id"]
@@ -30,14 +30,6 @@ def samples(spark):
         rows, "device string, if_name string, event_id long, ts long, fec_ccw long, fec_nccw long, value double").cache()
 
 
-@pytest.fixture
-def tight(spark):
-    """At most three rows of a group per task."""
-    spark.conf.set(GROUP_ROWS_SETTING, "3")
-    yield
-    spark.conf.unset(GROUP_ROWS_SETTING)
-
-
 def same(a, b, digits=9):
     def rows(df):
         return sorted(
@@ -63,20 +55,63 @@ def test_sliced_features(samples, width):
 
 
 @pytest.mark.parametrize("width", WIDTHS)
-def test_sliced_drift_and_labels(samples, width):
-    same(W.power_drift(samples, "value", 7_200, width=None), W.power_drift(samples, "value", 7_200, width=width), 6)
+def test_sliced_labels(samples, width):
     deltas = W.counter_deltas(samples, ["fec_nccw"], tiebreak=TIE, width=None)
     same(W.failure_label(deltas, 50_000, tiebreak=TIE, width=None),
          W.failure_label(deltas, 50_000, tiebreak=TIE, width=width))
 
 
-def test_width_follows_the_measured_group(samples, spark):
-    assert series(samples, W.KEYS, "ts").width is None
-    spark.conf.set(GROUP_ROWS_SETTING, "100")
-    assert series(samples, W.KEYS, "ts").width == 86_400
-    spark.conf.set(GROUP_ROWS_SETTING, "1")
-    assert series(samples, W.KEYS, "ts").width < 60
-    spark.conf.unset(GROUP_ROWS_SETTING)
+def test_drift_is_the_fitted_slope(samples):
+    rows = samples.collect()
+    found = {r["event_id"]: r["value_drift"] for r in W.power_drift(samples, "value", 7_200).collect()}
+    for r in rows:
+        span = [o for o in rows if o["if_name"] == r["if_name"] and r["ts"] - 7_200 <= o["ts"] <= r["ts"]]
+        if len({o["ts"] for o in span}) < 2:
+            assert found[r["event_id"]] is None
+        else:
+            slope = statistics.linear_regression([o["ts"] - r["ts"] for o in span], [o["value"] for o in span]).slope
+            assert found[r["event_id"]] == pytest.approx(slope, rel=1e-6, abs=1e-12)
+
+
+def largest_range(s):
+    return s.sliced().groupBy(*s.keys, SLICE).count().agg(F.max("count")).first()[0]
+
+
+@pytest.mark.parametrize("limit", [3, 40, 150])
+def test_ranges_of_large_keys(samples, spark, limit):
+    """Only the large keys are cut, into ranges that a task can hold; all results are those of no cut."""
+    plain = W.counter_deltas(samples, ["fec_ccw", "fec_nccw"], tiebreak=TIE, width=None)
+    features = W.moving_features(samples, ["value"], 7, 3_600, tiebreak=TIE, width=None)
+    labels = W.failure_label(plain, 50_000, tiebreak=TIE, width=None)
+    spark.conf.set(GROUP_ROWS_SETTING, str(limit))
+    try:
+        s = series(samples, W.KEYS, "ts", ["ts", *TIE])
+        assert largest_range(s) <= limit
+        cut = {r["if_name"] for r in s.cuts.collect()}
+        assert cut == {r["if_name"] for r in samples.groupBy("if_name").count().where(f"count > {limit}").collect()}
+        same(plain, W.counter_deltas(samples, ["fec_ccw", "fec_nccw"], tiebreak=TIE))
+        same(features, W.moving_features(samples, ["value"], 7, 3_600, tiebreak=TIE), 6)
+        same(labels, W.failure_label(plain, 50_000, tiebreak=TIE))
+    finally:
+        spark.conf.unset(GROUP_ROWS_SETTING)
+    assert series(samples, W.KEYS, "ts").whole
+
+
+def test_a_dense_second(spark):
+    """All rows of a key in one second: they are cut by the rest of the order."""
+    rows = spark.range(20_000).select(F.lit("d").alias("device"), F.lit("i").alias("if_name"), F.lit(1_700_000_000).alias("ts"),
+                                      F.col("id").alias("event_id"), F.when(F.col("id") % 5 > 0, F.pmod(F.xxhash64("id"), F.lit(9))).alias("c"),
+                                      (F.col("id") % 1000).cast("double").alias("v"))
+    plain = W.counter_deltas(rows, ["c"], tiebreak=TIE, width=None)
+    features = W.moving_features(rows, ["v"], 4, 60, tiebreak=TIE, width=None)
+    spark.conf.set(GROUP_ROWS_SETTING, "1000")
+    try:
+        assert largest_range(series(rows, W.KEYS, "ts", ["ts", *TIE])) <= 1000
+        assert largest_range(series(rows, W.KEYS, "ts")) <= 1000  # no tiebreak: rows are told apart by their values
+        same(plain, W.counter_deltas(rows, ["c"], tiebreak=TIE))
+        same(features, W.moving_features(rows, ["v"], 4, 60, tiebreak=TIE), 6)
+    finally:
+        spark.conf.unset(GROUP_ROWS_SETTING)
 
 
 def test_label_by_brute_force(samples):
@@ -90,24 +125,6 @@ def test_label_by_brute_force(samples):
         assert labels[r["event_id"]] == (1 if hit else 0 if seen else None)
 
 
-def test_percentiles_of_large_groups(spark, tight):
-    rng = random.Random(3)
-    data = {"a": [rng.gauss(0, 1) for _ in range(5_000)], "b": [float(rng.randrange(4)) for _ in range(3_000)],
-            None: [1.0, 2.0], "c": [5.0]}
-    rows = [(k, v) for k, vs in data.items() for v in vs] + [("a", None)]
-    df = spark.createDataFrame(rows, "k string, v double").repartition(7)
-    shares = [0.0, 0.05, 0.5, 0.95, 0.999, 1.0]
-    found = {(r["k"], r["share"]): r["quantile"] for r in exact_percentiles(df, ["k"], "v", shares).collect()}
-    assert len(found) == len(data) * len(shares)
-    for k, vs in data.items():
-        ordered = sorted(vs)
-        for p in shares:
-            at = p * (len(ordered) - 1)
-            low = int(at)
-            high = min(low + 1, len(ordered) - 1)
-            assert found[k, p] == pytest.approx(ordered[low] + (at - low) * (ordered[high] - ordered[low]), abs=1e-12)
-
-
 def test_anomaly_methods(samples):
     scored = W.anomaly_score(samples, ["value"], "mad").where("if_name = 'et-0'").collect()
     values = [r["value"] for r in scored]

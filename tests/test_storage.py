@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opticlake.functions import run_time_columns
-from opticlake.session import scratch
+from opticlake.operators.timeseries import counter_deltas
+from opticlake.session import GROUP_ROWS_SETTING, scratch
 from opticlake.sources import lake as K
 from opticlake.sources import replies as A
-from opticlake.streaming import jobs
+from opticlake.streaming import jobs, state
 
 HOUR = 3600
 START = 1706342400  # 2024-01-27 08:00 UTC
@@ -26,7 +27,7 @@ def plan(df):
 
 def test_partition_and_column_pruning(spark, rows):
     root = scratch(spark, "test")
-    assert K.write_lake_hourly({"a": rows, "b": rows.where("false")}, root) == ["a"]
+    assert K.write_lake_hourly({"a": rows, "b": rows.where("false")}, root) == {"a": rows.count()}
     part = K.scan_lake_partition(spark, root, "a", "2024-01-27", "2024-01-27", "09", "dev-1")
     text = plan(part)
     assert "PartitionFilters: [isnotnull(dt" in text and "EqualTo(device,dev-1)" in text
@@ -125,3 +126,41 @@ def test_state_of_a_key_that_pauses(spark):
 def test_scratch_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert scratch(spark, "x").startswith(root.rstrip("/") + "/")
+
+
+def test_state_versions(spark, monkeypatch):
+    """Whole tables, changes since, repeated batches, forgotten keys and removed versions."""
+    monkeypatch.setattr(state, "EVERY", 3)
+    root, schema = scratch(spark, "state"), T.StructType.fromDDL("k string, seen long, v long")
+    kept = state.KeyedState(root, schema, ["k"], "seen", ttl=5)
+    expected = {}
+    for n in range(12):
+        changed = [(f"k{n % 5}", n, 10 * n), (None, n, n)] + ([("once", 0, 7)] if n == 0 else [])
+        for repeat in range(2):  # a batch that runs again
+            if repeat:
+                assert {r["k"]: (r["seen"], r["v"]) for r in kept.before(spark, n).collect()} == expected
+            kept.write(spark.createDataFrame(changed, schema), n)
+        expected |= {k: (seen, v) for k, seen, v in changed}
+        if n % 3 == 2:
+            expected = {k: x for k, x in expected.items() if x[0] >= n - 5}
+    assert "once" not in expected
+    assert {r["k"]: (r["seen"], r["v"]) for r in kept.before(spark, 12).collect()} == expected
+    assert sorted(kept._folders(spark, "whole")) == [8, 11] and min(kept._folders(spark, "changes")) == 9
+
+
+def test_a_batch_of_one_hot_key(spark):
+    """A key that is too large for a task is cut, in a batch as elsewhere."""
+    source, sink, progress = (scratch(spark, n) for n in ("samples", "deltas", "progress"))
+    rows = spark.range(3000).select(F.lit("d").alias("device"), F.when(F.col("id") % 3 == 0, "i").otherwise("j").alias("if_name"),
+                                    F.floor(F.col("id") / 100).alias("ts"), "id", F.when(F.col("id") % 7 > 0, F.pmod(F.xxhash64("id"), F.lit(50))).alias("c"))
+    spark.conf.set(GROUP_ROWS_SETTING, 200)
+    try:
+        for poll in (rows.where("ts < 11"), rows.where("ts >= 11")):
+            poll.write.mode("append").parquet(source)
+            stream = spark.readStream.schema(rows.schema).parquet(source)
+            jobs.stream_counter_deltas(stream, ["c"], sink, progress, tiebreak=["id"]).awaitTermination()
+    finally:
+        spark.conf.unset(GROUP_ROWS_SETTING)
+    found = spark.read.parquet(f"{sink}/rows").drop("batch_id")
+    whole = counter_deltas(rows, ["c"], tiebreak=["id"], width=None).select(*found.columns)
+    assert found.exceptAll(whole).isEmpty() and whole.exceptAll(found).isEmpty()
