@@ -78,17 +78,27 @@ def rollup_hourly_daily(df: DataFrame, metrics: list[str], keys: list[str] = ("d
     Days are summed from the hours, so the samples are read and shuffled once.
     Every aggregate keeps plain numbers, so all of it hashes and nothing is sorted.
     """
+    return merge_hours(hourly_states(df, metrics, keys, ts, order), metrics, keys)
+
+
+def hourly_states(df: DataFrame, metrics: list[str], keys: list[str] = ("device", "if_name"), ts: str = "ts", order: str | None = None,
+                  also: list[str] = ()) -> DataFrame:
+    """One row per key and hour (`bucket`), from which hours and days can be merged; `also` are further columns to group by."""
     def last(m: str):
         at = F.when(F.col(m).isNotNull(), F.col(order or ts))
         return F.max_by(m, at).alias(f"{m}_last"), F.max(at).alias(f"{m}_at")
 
     hour = F.floor(F.col(ts) / 3600) * 3600
-    hourly = df.groupBy(*keys, hour.alias("bucket")).agg(*[
+    return df.groupBy(*keys, *also, hour.alias("bucket")).agg(*[
         e for m in metrics for e in (
             F.count(m).alias(f"{m}_count"), F.min(m).alias(f"{m}_min"), F.max(m).alias(f"{m}_max"),
             F.sum(F.col(m).cast("double")).alias(f"{m}_sum"), *last(m),
         )
     ])
+
+
+def merge_hours(hourly: DataFrame, metrics: list[str], keys: list[str] = ("device", "if_name")) -> DataFrame:
+    """Hours and days from states of hours."""
     levels = F.array(
         F.struct(F.lit("hour").alias("level"), F.col("bucket").alias("start")),
         F.struct(F.lit("day").alias("level"), (F.floor(F.col("bucket") / 86400) * 86400).alias("start")),
