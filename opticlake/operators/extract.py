@@ -69,7 +69,9 @@ def find_elements(root: Column, schema: T.StructType, paths: list[list[str]]) ->
 
 
 def namespace_agnostic_tags(docs: DataFrame, schema: T.StructType) -> DataFrame:
-    """Replies parsed to a `reply` struct with namespaces and prefixes ignored."""
+    """Replies parsed to a `reply` struct with namespaces and prefixes ignored; those that have one already stay as they are."""
+    if "reply" in docs.columns:
+        return docs
     # A generator output is neither inlined nor filtered below, so each reply is parsed once.
     return docs.select("*", F.explode(F.array(parse_reply("xml", schema))).alias("reply"))
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -164,3 +166,23 @@ def test_a_batch_of_one_hot_key(spark):
     found = spark.read.parquet(f"{sink}/rows").drop("batch_id")
     whole = counter_deltas(rows, ["c"], tiebreak=["id"], width=None).select(*found.columns)
     assert found.exceptAll(whole).isEmpty() and whole.exceptAll(found).isEmpty()
+
+
+def test_a_batch_of_replies_that_runs_again(spark):
+    """Each file is in every table once, also where a batch is done again after a crash; a broken reply is in the rejects."""
+    from tests import replies as R
+
+    source, sink, progress = (scratch(spark, n) for n in ("replies", "tables", "progress"))
+    texts = [("a", R.LANED_REPLY), ("b", R.UNLANED_REPLY), ("c", R.LANED_REPLY[:-9])]
+    for device, text in texts:
+        A.write_named_files(spark.createDataFrame([(f"{device}_optics_diagnostics_raw.xml", text)], "name string, content string"), f"{source}/run=5")
+        jobs.stream_ingest_run(spark, source, sink, progress).awaitTermination()
+    # The last commit is lost: its batch runs again.
+    last = max(int(p.name) for p in Path(f"{progress}/query/commits").iterdir() if p.name.isdigit())
+    (Path(f"{progress}/query/commits") / str(last)).unlink()
+    (Path(f"{progress}/query/commits") / f".{last}.crc").unlink(missing_ok=True)
+    jobs.stream_ingest_run(spark, source, sink, progress).awaitTermination()
+    counts = {t: {r["device"]: r["count"] for r in spark.read.parquet(f"{sink}/{t}").groupBy("device").count().collect()}
+              for t in ("optics_interfaces", "optics_lanes", "rejects")}
+    assert counts == {"optics_interfaces": {"a": 1, "b": 1}, "optics_lanes": {"a": R.LANES}, "rejects": {"c": 1}}
+    assert {r["run_timestamp"] for r in spark.read.parquet(f"{sink}/optics_lanes").collect()} == {5}
