@@ -165,13 +165,17 @@ def train(docs: DataFrame, sample: int = 2000) -> Model | None:
     rows = picked.mapInArrow(features, "lang string, features binary").toArrow()
     if not rows.num_rows:
         return None
-    # Sorted, so that the order in which the rows came in does not matter.
-    held = sorted(zip(rows["lang"].to_pylist(), rows["features"].to_pylist(), strict=True))
-    y = np.array([languages.index(lang) for lang, _ in held])
+    # Sorted, so that the order in which the rows came in does not matter. The numbers stay in one Arrow buffer: a bytes object
+    # for each row would leave the driver's memory in pieces.
+    rows = rows.sort_by([("lang", "ascending"), ("features", "ascending")])
+    y = np.searchsorted(languages, rows["lang"].to_numpy())
+    packed = rows["features"].combine_chunks()
     del rows
-    packed = b"".join(features for _, features in held)
-    del held
-    return fit(np.frombuffer(packed, np.float16).reshape(-1, DIMS), y, languages)
+    first = packed.offset * DIMS
+    model = fit(np.frombuffer(packed.buffers()[2], np.float16)[first : first + len(packed) * DIMS].reshape(-1, DIMS), y, languages)
+    del packed
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def identify(docs: DataFrame, model: Model | None, names: tuple[str, str, str] = ("lang_pred", "score", "ambiguous")) -> DataFrame:
