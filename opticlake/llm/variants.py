@@ -73,7 +73,7 @@ def _runs(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     inside |= lead
     inside[1:] |= lead[:-1]
     edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-    cuts = rows[(rows > 0) & (rows < len(data))]
+    cuts = np.unique(rows[(rows > 0) & (rows < len(data))])  # once also where texts are empty
     split = cuts[inside[cuts] & inside[cuts - 1]]  # a run that ends with its text where the next text begins with one
     edge = np.sort(np.concatenate([edge, split, split]))
     edge = np.concatenate([[0] if len(data) and inside[0] else [], edge, [len(data)] if len(data) and inside[-1] else []]).astype(np.int64)
