@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opticlake import constants as C
+from opticlake.operators.joins import join_per_key
+from opticlake.session import group_limit, materialize
 
 PARTITIONS = ["dt", "hr"]
+FOLDERS = 500  # that a task writes, about
 
 
 def write_options(compression: str = "snappy") -> dict[str, str]:
@@ -60,10 +63,30 @@ def write_per_device(df: DataFrame, root: str, by_device: bool = True, compressi
         "collection_timestamp": F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"),
         "dt": F.date_format(at, "yyyy-MM-dd"),
     })
-    if by_device:
-        # The partition column leaves the files, so the device also stays as data.
-        rows = rows.withColumn("device_name", F.col("device"))
-    append_same_file(rows, root, ["dt", "device"] if by_device else ["dt"], compression)
+    if not by_device:
+        append_same_file(rows, root, ["dt"], compression)
+        return
+    # The partition column leaves the files, so the device also stays as data.
+    rows = rows.withColumn("device_name", F.col("device"))
+    for part in _by_folders(rows, ["dt", "device"]):
+        part.write.mode("append").options(**write_options(compression)).partitionBy("dt", "device").parquet(root)
+
+
+def _by_folders(rows: DataFrame, folders: list[str]) -> list[DataFrame]:
+    """The rows dealt to tasks for a write to very many folders, where files and not bytes cost the time.
+
+    A rebalance joins small partitions until they have enough bytes, and one task would write all files. Folders with
+    more rows than a task may take stay with the rebalance, which splits them.
+    """
+    spark = rows.sparkSession
+    sizes = materialize(rows.groupBy(*folders).agg(F.count(F.lit(1)).alias("_n")), "folders")
+    large = sizes.where(F.col("_n") > group_limit(spark)).withColumnRenamed("_n", "_large")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sizes.count() // FOLDERS)
+    if large.isEmpty():
+        return [rows.repartition(tasks, *folders)]
+    marked = join_per_key(rows, large, folders, nulls_match=True)
+    small = marked.where("_large IS NULL").drop("_large").repartition(tasks, *folders)
+    return [small, marked.where("_large IS NOT NULL").drop("_large").hint("rebalance", *folders)]
 
 
 def _dataset(spark: SparkSession, root: str, dataset: str) -> DataFrame:

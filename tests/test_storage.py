@@ -186,3 +186,24 @@ def test_a_batch_of_replies_that_runs_again(spark):
               for t in ("optics_interfaces", "optics_lanes", "rejects")}
     assert counts == {"optics_interfaces": {"a": 1, "b": 1}, "optics_lanes": {"a": R.LANES}, "rejects": {"c": 1}}
     assert {r["run_timestamp"] for r in spark.read.parquet(f"{sink}/optics_lanes").collect()} == {5}
+
+
+def test_many_folders_are_written_by_many_tasks(spark, tmp_path):
+    # A rebalance joins them to one partition, and one task would write them all.
+    rows = spark.range(40).select(F.concat(F.lit("dev-"), "id").alias("device"), F.col("id").alias("n"))
+    stamp = F.lit("2024-02-03 04:05:06").cast("timestamp")
+    K.write_per_device(rows, str(tmp_path / "spread"), collected_at=stamp)
+    back = spark.read.parquet(str(tmp_path / "spread"))
+    assert back.count() == 40 and back.select("device", "device_name").distinct().count() == 40
+    tasks = back.select(F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).alias("task")).distinct().count()
+    assert tasks > 1
+
+
+def test_large_folders_keep_all_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(K, "group_limit", lambda spark: 5)
+    rows = spark.range(30).select(
+        F.when(F.col("id") < 20, "hot").when(F.col("id") < 24, None).otherwise(F.col("id").cast("string")).alias("device"),
+        F.col("id").alias("n"))
+    K.write_per_device(rows, str(tmp_path / "hot"), collected_at=F.lit("2024-02-03 04:05:06").cast("timestamp"))
+    back = spark.read.parquet(str(tmp_path / "hot"))
+    assert sorted((r["device_name"] or "", r["n"]) for r in back.collect()) == sorted((r["device"] or "", r["n"]) for r in rows.collect())
