@@ -48,7 +48,7 @@ def drop_unavailable_optics(spark, sf):
     select device, run_timestamp, q + 0.5 as temperature from ({V.OPTICS_EXPECTED})""")
 def extract_temperature_attr(spark, sf):
     rows = X.drop_unavailable_optics(X.interface_elements(
-        V.optics_docs(spark, sf), S.OPTICS_INTERFACE_REPLY, unnamed=C.UNNAMED_INTERFACE))
+        V.optics_docs(spark, sf), S.OPTICS_TEMPERATURE_REPLY, unnamed=C.UNNAMED_INTERFACE))
     return rows.select("device", "run_timestamp",
                        X.extract_temperature_attr(F.col("diag")["module-temperature"]).alias("temperature"))
 
@@ -57,7 +57,7 @@ def extract_temperature_attr(spark, sf):
     select device, run_timestamp, if_name, rx_power from ({V.OPTICS_EXPECTED})""")
 def coalesce_rx_power(spark, sf):
     rows = X.drop_unavailable_optics(X.interface_elements(
-        V.optics_docs(spark, sf), S.OPTICS_INTERFACE_REPLY, unnamed=C.UNNAMED_INTERFACE))
+        V.optics_docs(spark, sf), S.OPTICS_RX_POWER_REPLY, unnamed=C.UNNAMED_INTERFACE))
     first, second = (F.get(F.col("diag")[tags["rx_power"]], F.lit(0)) for tags in (C.MEASURED_TAGS, C.FALLBACK_TAGS))
     return rows.select("device", "run_timestamp", "if_name", X.coalesce_rx_power(first, second).alias("rx_power"))
 

@@ -77,6 +77,15 @@ OPTICS_INTERFACE_REPLY = reply(
     INTERFACE_PATHS,
     leaves("name") + [elements("optics-diagnostics", [f for f in DIAGNOSTICS.dataType.elementType if f != LANE])],
 )
+OPTICS_TEMPERATURE_REPLY = reply(
+    INTERFACE_PATHS,
+    leaves("name") + [elements("optics-diagnostics", leaves("optic-diagnostics-not-available") + [TEMPERATURE])],
+)
+OPTICS_RX_POWER_REPLY = reply(
+    INTERFACE_PATHS,
+    leaves("name") + [elements("optics-diagnostics", leaves(
+        "optic-diagnostics-not-available", C.MEASURED_TAGS["rx_power"], C.FALLBACK_TAGS["rx_power"]))],
+)
 OPTICS_REPLY = reply(INTERFACE_PATHS, leaves("name") + [DIAGNOSTICS])
 OPTICS_LANE_REPLY = reply(
     INTERFACE_PATHS,

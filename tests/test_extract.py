@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from opticlake import constants as C
 from opticlake import schemas as S
 from opticlake.operators import extract as X
+from opticlake.plans import extraction as E
 from opticlake.plans.extraction import INTERFACE_MAPPING, LANE_MAPPING
 from tests import replies as R
 
@@ -203,3 +206,10 @@ def test_mapping_file(spark):
     assert sorted(lines) == sorted(LANE_MAPPING)
     found = X.extract_by_mapping(R.docs(spark, R.LANED_REPLY), lines, lane).collect()
     assert sorted(r["tx_bias"] for r in found) == [R.lane_values(lane)[-1] for lane in range(R.LANES)]
+
+
+def test_replies_are_parsed_by_what_is_read(spark, monkeypatch):
+    monkeypatch.setattr(E.V, "optics_docs", lambda spark, sf: R.docs(spark, R.LANED_REPLY))
+    for name in ("extract_temperature_attr", "coalesce_rx_power"):
+        plan = getattr(E, name)(spark, "")._jdf.queryExecution().analyzed().toString()
+        assert re.search("(?i)from_?xml|xmltostructs", plan) and "high-alarm" not in plan
