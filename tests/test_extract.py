@@ -213,3 +213,7 @@ def test_replies_are_parsed_by_what_is_read(spark, monkeypatch):
     for name in ("extract_temperature_attr", "coalesce_rx_power"):
         plan = getattr(E, name)(spark, "")._jdf.queryExecution().analyzed().toString()
         assert re.search("(?i)from_?xml|xmltostructs", plan) and "high-alarm" not in plan
+
+
+def test_generated_methods_stay_compiled(spark):
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
