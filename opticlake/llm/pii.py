@@ -8,15 +8,16 @@ written-out addresses, numbers without a plus, other groups and separators and c
 look-alikes in their place: wrong check digits, dates, amounts, order numbers, parts over 255, prose with `at` (wrong).
 Candidates of the texts beyond the base are examples (wrong) only where something speaks against them: they cut into a
 base span or a longer word or number, or fail the checksum or range; the others are not learnt from. A logistic
-calibration on the other half of the sample turns the margin into a probability, and each kind gets the least threshold
+calibration on the other half of the documents turns the margin into a probability, and each kind gets the least threshold
 at which at least PRECISION of the held-out examples are right. What passes, and overlaps no base span and no better
 candidate, is added.
 
 Candidates of digits are all stretches of up to MOST_GROUPS groups that have as many digits as their kind may have, wherever they
 stand in a run of groups; groups of a candidate are at most three separators apart. Written-out addresses have any length.
 
-The trees are fitted on the examples of a bounded sample, `sample` documents (4,000) picked by a hash of doc_id, at
-most CANDIDATES of them. Rules and scoring read all texts. A kind without a base span in the sample gets no added ones.
+The trees are fitted on the examples of half of all documents, split by a hash of doc_id, and calibration and thresholds
+come from those of the other half. Examples that are alike are one row with their number as weight; there are few kinds of
+them, so the fit grows much slower than the texts. Of the other half the driver gets counts per margin, in steps of 1 / STEPS.
 
 Edge cases: NULL text is empty, and an empty text has no spans; with too few candidates to learn from (one class only)
 only base spans are given; rows are judged one by one, so repeated rows give the same answer; further columns are not
@@ -46,7 +47,7 @@ from opticlake.llm.vectors import matrix
 from opticlake.session import materialize
 
 KINDS = ["email", "ip", "card", "phone"]
-SAMPLE, CANDIDATES, PRECISION = 4000, 40_000, 0.995
+PRECISION, STEPS = 0.995, 4096
 MOST_GROUPS = 8  # of digits in a candidate; a run may have any number of them
 Span = tuple[int, int]
 
@@ -305,58 +306,65 @@ class Scorer:
         return base, {k: sorted(v) for k, v in every.items()}
 
 
-def _calibrate(margins: np.ndarray, truth: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of the logistic curve through the held-out margins."""
+def _calibrate(margins: np.ndarray, truth: np.ndarray, n: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of the logistic curve through the held-out margins, each seen `n` times."""
     slope, shift = 1.0, 0.0
-    target = np.where(truth > 0, (truth.sum() + 1) / (truth.sum() + 2), 1 / ((truth == 0).sum() + 2))
+    right, wrong = n[truth > 0].sum(), n[truth == 0].sum()
+    target = np.where(truth > 0, (right + 1) / (right + 2), 1 / (wrong + 2))
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(slope * margins + shift, -30, 30)))
-        w = np.maximum(p * (1 - p), 1e-6)
-        grad = np.array([((p - target) * margins).sum(), (p - target).sum()])
+        w, off = n * np.maximum(p * (1 - p), 1e-6), n * (p - target)
+        grad = np.array([(off * margins).sum(), off.sum()])
         hess = np.array([[(w * margins * margins).sum() + 1e-3, (w * margins).sum()], [(w * margins).sum(), w.sum() + 1e-3]])
         slope, shift = np.array([slope, shift]) - np.linalg.solve(hess, grad)
     return float(slope), float(shift)
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> Scorer:
-    """Trees, calibration and thresholds from the examples of a bounded sample of documents."""
+def train(docs: DataFrame) -> Scorer:
+    """Trees, calibration and thresholds from the examples of all documents."""
     marked = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("_h", F.xxhash64("doc_id"))
-    share = min(1.0, sample / max(1, marked.count()))
-    picked = marked.where(F.pmod("_h", F.lit(1_000_000)) < int(math.ceil(share * 1_000_000)))
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for h, text in zip(batch.column("_h").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                rows += [(h, *row) for row in examples(h, text)]
-            names, types = ["h", "kind", "start", "x", "label"], [pa.int64(), pa.string(), pa.int64(), pa.list_(pa.float64()), pa.float64()]
+                rows += [(h // 1_000_000 % 2 != 0, *row) for row in examples(h, text)]
+            names, types = ["learn", "kind", "start", "x", "label"], [pa.bool_(), pa.string(), pa.int64(), pa.list_(pa.float64()), pa.float64()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
 
-    every = picked.select("_h", "text").mapInArrow(propose, "h long, kind string, start long, x array<double>, label double")
-    rows = materialize(every.orderBy("h", "kind", "start", "x", "label").limit(CANDIDATES).withColumn(
-        "learn", F.floor(F.col("h") / 1_000_000) % 2 != 0), "pii-examples")
-    sizes = {r["learn"]: r for r in rows.groupBy("learn").agg(F.count("*").alias("n"), F.count_distinct("label").alias("labels")).collect()}
+    every = marked.select("_h", "text").mapInArrow(propose, "learn boolean, kind string, start long, x array<double>, label double")
+    rows = materialize(every.groupBy("learn", "kind", "x", "label").agg(F.count(F.lit(1)).alias("n")), "pii-examples")
+    sizes = {r["learn"]: r for r in rows.groupBy("learn").agg(F.sum("n").alias("n"), F.count_distinct("label").alias("labels")).collect()}
     if any(half not in sizes or sizes[half]["n"] < 50 or sizes[half]["labels"] < 2 for half in (True, False)):
         return Scorer()
-    # The trees are fitted on the table; only the other half of the examples, as numbers, comes to the driver.
-    frame = rows.where("learn").select(array_to_vector("x").alias("v"), "label").coalesce(1)
-    model = GBTClassifier(featuresCol="v", labelCol="label", maxIter=30, maxDepth=5, maxBins=32, seed=7).fit(frame)
+    # Ordered, so that sums run in the same order each time.
+    frame = rows.where("learn").orderBy("x", "label").select(array_to_vector("x").alias("v"), "label", F.col("n").cast("double").alias("n"))
+    model = GBTClassifier(featuresCol="v", labelCol="label", weightCol="n", maxIter=30, maxDepth=5, maxBins=32, seed=7).fit(frame)
     scorer = Scorer(_trees(model))
-    test = rows.where("NOT learn").select("kind", "x", "label").toArrow()
-    held = matrix(test["x"])
-    truth, kinds = test["label"].to_numpy(), np.array(test["kind"].to_pylist())
-    margins = np.array([scorer.margin(x.tolist()) for x in held])
-    scorer.slope, scorer.shift = _calibrate(margins, truth)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            steps = [math.floor(scorer.margin(x.tolist()) * STEPS) for x in matrix(batch.column("x"))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("kind"), pa.array(steps, pa.int64()), batch.column("label"), batch.column("n")], names=["kind", "step", "label", "n"])
+
+    # A margin has a few thousand steps, however many examples there are.
+    judged = rows.where("NOT learn").select("kind", "x", "label", "n").mapInArrow(judge, "kind string, step long, label double, n long")
+    test = judged.groupBy("kind", "step", "label").agg(F.sum("n").alias("n")).orderBy("kind", "step", "label").toArrow()
+    margins, truth, n = test["step"].to_numpy() / STEPS, test["label"].to_numpy(), test["n"].to_numpy()
+    kinds = np.array(test["kind"].to_pylist())
+    scorer.slope, scorer.shift = _calibrate(margins, truth, n)
     sure = 1 / (1 + np.exp(-np.clip(scorer.slope * margins + scorer.shift, -50, 50)))
     for kind in KINDS:
         own = kinds == kind
-        order = np.argsort(-sure[own], kind="stable")
-        right = np.cumsum(truth[own][order]) / np.arange(1, own.sum() + 1)
+        # From the largest score down; a step counts whole, right and wrong ones.
+        scores, at = np.unique(-sure[own], return_inverse=True)
+        right = np.cumsum(np.bincount(at, (n * truth)[own])) / np.cumsum(np.bincount(at, n[own])) if len(scores) else np.zeros(0)
         good = np.flatnonzero(right >= PRECISION)
         # The least score at which the candidates from there up are right often enough; never below one half.
-        scorer.thresholds[kind] = max(0.5, float(sure[own][order][good[-1]])) if len(good) else 2.0
-    del test, held
+        scorer.thresholds[kind] = max(0.5, float(-scores[good[-1]])) if len(good) else 2.0
+    del test
     pa.default_memory_pool().release_unused()
     return scorer
 

@@ -6,6 +6,7 @@ import re
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from opticlake.llm import pii
 from opticlake.llm.catalog import QUERIES, load_all
@@ -172,3 +173,13 @@ def test_many_numbers_take_time_in_proportion():
     text = " ".join(str(i % 97) for i in range(30_000))
     assert len(candidates(text, base_spans(text))) < 40 * 30_000
     assert candidates("7" * 200_000, {k: [] for k in pii.KINDS}) == []
+
+
+def test_trees_and_thresholds_come_from_all_documents(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(pii, "materialize", lambda df, label: kept.append(df.localCheckpoint()) or kept[-1])
+    frame = spark.createDataFrame([(i, f"mail a{i}@example.org now", "x", "y") for i in range(6000)], SCHEMA)
+    pii.train(frame)
+    rows = frame.select(F.xxhash64("doc_id").alias("h"), "text").collect()
+    assert kept[0].agg(F.sum("n")).first()[0] == sum(len(pii.examples(r["h"], r["text"])) for r in rows)
+    assert kept[0].count() < 6000
