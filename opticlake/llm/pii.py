@@ -338,8 +338,9 @@ def train(docs: DataFrame) -> Scorer:
     sizes = {r["learn"]: r for r in rows.groupBy("learn").agg(F.sum("n").alias("n"), F.count_distinct("label").alias("labels")).collect()}
     if any(half not in sizes or sizes[half]["n"] < 50 or sizes[half]["labels"] < 2 for half in (True, False)):
         return Scorer()
-    # Ordered, so that sums run in the same order each time.
-    frame = rows.where("learn").orderBy("x", "label").select(array_to_vector("x").alias("v"), "label", F.col("n").cast("double").alias("n"))
+    # One task takes them, sorted: they are few, and sums run in the same order each time.
+    frame = rows.where("learn").coalesce(1).sortWithinPartitions("x", "label").select(
+        array_to_vector("x").alias("v"), "label", F.col("n").cast("double").alias("n"))
     model = GBTClassifier(featuresCol="v", labelCol="label", weightCol="n", maxIter=30, maxDepth=5, maxBins=32, seed=7).fit(frame)
     scorer = Scorer(_trees(model))
 
