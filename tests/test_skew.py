@@ -9,6 +9,7 @@ from opticlake.operators import enrich as J
 from opticlake.operators import filters as P
 from opticlake.operators import timeseries as W
 from opticlake.operators.joins import join_per_key
+from opticlake.session import spread
 
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -73,3 +74,15 @@ def test_plain_join_to_an_aggregate_would_not_be_split(eager_splitting, hot):
     centre = hot.groupBy("device", "if_name").agg(F.avg("value").alias("mean"))
     assert not is_split(hot.join(centre, ["device", "if_name"]))
     assert is_split(join_per_key(hot, centre, ["device", "if_name"], "inner"))
+
+
+def test_rows_in_one_of_many_partitions_are_spread(spark):
+    # As a file of one row group that is cut into many splits: only one of them has rows.
+    lumped = spark.range(0, 8000, 1, 1).unionByName(spark.range(0, 8, 1, 16).where(F.col("id") < 0))
+    counts = spread(lumped).groupBy(F.spark_partition_id()).count().agg(F.count("*"), F.max("count"), F.sum("count")).first()
+    assert counts[0] >= 8 and counts[1] <= 2000 and counts[2] == 8000
+
+
+def test_even_partitions_stay(spark):
+    even = spark.range(0, 8000, 1, 8)
+    assert spread(even) is even and spread(even.where("id < 0")).count() == 0
