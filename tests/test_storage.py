@@ -188,6 +188,25 @@ def test_a_batch_of_replies_that_runs_again(spark):
     assert {r["run_timestamp"] for r in spark.read.parquet(f"{sink}/optics_lanes").collect()} == {5}
 
 
+def test_a_batch_of_files_is_opened_once_for_all_calls(spark, tmp_path):
+    from tests import replies as R
+
+    source, sink, progress = (str(tmp_path / n) for n in ("replies", "tables", "progress"))
+    system = "<rpc-reply><system-information><host-name>h</host-name></system-information></rpc-reply>"
+    for run, device in enumerate("ab"):
+        files = [(f"{device}_optics_diagnostics_raw.xml", R.LANED_REPLY), (f"{device}_system_information_raw.xml", system)]
+        A.write_named_files(spark.createDataFrame(files, "name string, content string"), f"{source}/run={run + 5}")
+        jobs.stream_ingest_run(spark, source, sink, progress).awaitTermination()
+        # The replies of this batch alone, by call: tables are made from these and not from the files.
+        kept = spark.read.parquet(f"{progress}/replies").select("device", "rpc", "run_timestamp").collect()
+        assert sorted(map(tuple, kept)) == [(device, rpc, run + 5) for rpc in ("optics_diagnostics", "system_information")]
+    hosts = spark.read.parquet(f"{sink}/system_information").select("device", "origin_hostname", "run_timestamp").collect()
+    assert sorted(map(tuple, hosts)) == [("a", "h", 5), ("b", "h", 6)]
+    assert spark.read.parquet(f"{sink}/optics_lanes").count() == 2 * R.LANES
+    # Listing a batch takes few tasks, not one for each file.
+    assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) <= 100
+
+
 def test_many_folders_are_written_by_many_tasks(spark, tmp_path):
     # A rebalance joins them to one partition, and one task would write them all.
     rows = spark.range(40).select(F.concat(F.lit("dev-"), "id").alias("device"), F.col("id").alias("n"))
