@@ -10,6 +10,8 @@ has a doc_id; n_chars follows the redacted text where there is such a column; an
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,6 +72,12 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def _release(spark: SparkSession) -> None:
+    """Shuffle files, broadcasts and plans of a finished stage go when the driver collects its garbage, which by itself it does late."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of sf_dir."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -77,4 +85,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES) - 1:
             docs = materialize(docs, f"stage-{name}")
+            _release(spark)
     return docs

@@ -124,3 +124,30 @@ def test_kept_columns(spark):
     assert found.columns == ["doc_id", "a", "b", "epoch", "n_tokens", "text"]
     texts = [r["text"] for r in found.collect()]
     assert len(texts) == len(set(texts)) == 20
+
+
+def test_rows_with_their_texts_are_not_exchanged(spark):
+    docs = spark.range(400).select(
+        "id", F.concat(F.lit("x"), (F.col("id") % 3).cast("string")).alias("a"), F.lit("l").alias("b"),
+        F.concat(F.lit("some words of "), F.col("id").cast("string")).alias("text")).withColumnRenamed("id", "doc_id")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.maxMetadataStringLength": "500"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        mix = mix_sources(docs, ["a", "b"], {("x0",): 3}, F.expr("tokens div 2"), 7, 2, ["text"])
+        assert 0 < mix.where("text IS NOT NULL").count() < 400
+        plan = mix._jdf.queryExecution().simpleString().splitlines()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    depths, found = [], 0
+    for line in plan:
+        depth = len(line) - len(line.lstrip(" :+-"))
+        depths = [d for d in depths if d < depth]
+        if "Exchange hashpartitioning" in line:
+            depths.append(depth)
+        if "mix-counted" in line:
+            found += 1
+            assert not depths
+    assert found
