@@ -217,3 +217,11 @@ def test_replies_are_parsed_by_what_is_read(spark, monkeypatch):
 
 def test_generated_methods_stay_compiled(spark):
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_both_optics_tables_of_one_parse(spark):
+    docs = R.docs(spark, R.LANED_REPLY, R.UNLANED_REPLY, "<broken", None)
+    interfaces, lanes = X.optics_tables(docs)
+    for found, alone in ((interfaces, X.extract_optics_interface(docs)), (lanes, X.extract_optics_lanes(docs))):
+        assert found.schema.simpleString() == alone.schema.simpleString()
+        assert alone.count() and sorted(found.collect(), key=str) == sorted(alone.collect(), key=str)

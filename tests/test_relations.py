@@ -143,3 +143,21 @@ def test_whole_run(spark):
     summary = {r["device"]: r["exit_status"] for r in G.run_summary(
         {"interfaces": bundle["interfaces"]}, failed).collect()}
     assert summary == {"dev-0": 0, "dev-1": 1, None: 1}
+
+
+def test_a_dataset_reads_the_parsed_replies_once(spark):
+    """Failed devices and device facts are worked out once, not by each dataset from the interface rows again."""
+    nothing = R.docs(spark, "<rpc-reply/>")
+    stats = R.docs(spark, R.optics_reply(stats_interface(R.PORT, "<fec_ccw_count>5</fec_ccw_count>")))
+    ports = spark.createDataFrame([("dev-0", R.PORT)], "device string, if_name string").withColumns(
+        {c: F.lit(c.upper()) for c in C.TRANSCEIVER_COLUMNS})
+    devices = spark.createDataFrame([("dev-0", None)], "device string, interface_filter string")
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "500")
+    try:
+        datasets, _ = hourly_datasets(collect_run(nothing, nothing, R.docs(spark, R.LANED_REPLY), stats, ports, devices), 1700000000)
+        plan = datasets["lane_dom"]._jdf.queryExecution().simpleString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+    assert datasets["lane_dom"].count() == R.LANES
+    assert plan.count("/optics-") == 1
