@@ -10,8 +10,6 @@ has a doc_id; n_chars follows the redacted text where there is such a column; an
 
 from __future__ import annotations
 
-import gc
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +21,7 @@ from opticlake.llm.langid import train as train_languages
 from opticlake.llm.mixing import mix_documents
 from opticlake.llm.pii import redact
 from opticlake.llm.pii import train as train_pii
-from opticlake.session import materialize
+from opticlake.session import materialize, passing
 
 #: The least score of a document that the language stage keeps.
 LEAST_SCORE = 0.4
@@ -72,18 +70,11 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def _release(spark: SparkSession) -> None:
-    """Shuffle files, broadcasts and plans of a finished stage go when the driver collects its garbage, which by itself it does late."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of sf_dir."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES) - 1:
-            docs = materialize(docs, f"stage-{name}")
-            _release(spark)
-    return docs
+        if number == len(STAGES) - 1:
+            return stage(spark, docs, sf_dir)
+        with passing(spark, f"stage-{name}"):
+            docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")

@@ -42,7 +42,7 @@ from opticlake.llm.catalog import fresh, query
 from opticlake.llm.components import connected_components
 from opticlake.llm.words import LOWER, mix, run_hashes, span_hashes, text_blocks, word_spans
 from opticlake.operators.joins import join_per_key
-from opticlake.session import materialize
+from opticlake.session import materialize, passing, release
 
 SIZE, PERCENT = 5, 75
 SMALL = 16  # groups up to this size are paired in full at once
@@ -438,6 +438,7 @@ def similar_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     pairs, todo = None, texts
     for phase in range(PHASES):
         found = materialize(_group_pairs(_index(todo, frequent, size, percent), percent), "jaccard-found")
+        release(docs.sparkSession)  # the index of this phase
         new = found.where("sig IS NULL").select("a", "b")
         pairs = new if pairs is None else pairs.unionByName(new)
         kept = found.where("sig IS NOT NULL").select("sig", F.col("a").alias("doc"), F.col("b").alias("meta"), "single")
@@ -454,8 +455,9 @@ def similar_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
 
     def verify(some: DataFrame) -> DataFrame:
         n = some.count()
-        ids = _held(_ends(some).distinct(), "jaccard-ids", 2 * n)
-        return _held(_compare(some, _tokens(texts, ids, size, percent, True), percent, True).distinct(), "jaccard-verified", n)
+        with passing(docs.sparkSession, "jaccard-verified"):
+            ids = _held(_ends(some).distinct(), "jaccard-ids", 2 * n)
+            return _held(_compare(some, _tokens(texts, ids, size, percent, True), percent, True).distinct(), "jaccard-verified", n)
 
     # Rows of one doc_id with different sets are one document.
     twice = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("_max")).where("a <> _max").select("doc_id", "a")
@@ -488,8 +490,9 @@ def first_of_each(docs: DataFrame) -> DataFrame:
     Rows that share a doc_id are one document: of several, the one with the smallest text stays.
     """
     more, place = fresh("more", docs.columns), fresh("place", docs.columns)
-    firsts = similar_components(docs).where("doc_id = component_id").groupBy("doc_id").agg((F.count("*") > 1).alias(more))
-    ids = materialize(firsts, "jaccard-firsts")
+    with passing(docs.sparkSession, "jaccard-firsts"):
+        firsts = similar_components(docs).where("doc_id = component_id").groupBy("doc_id").agg((F.count("*") > 1).alias(more))
+        ids = materialize(firsts, "jaccard-firsts")
     kept = docs.join(ids, "doc_id").unionByName(docs.where("doc_id IS NULL").withColumn(more, F.lit(False)))
     if ids.where(F.col(more)).isEmpty():
         return kept.select(*docs.columns)
