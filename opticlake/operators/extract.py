@@ -82,17 +82,24 @@ def found_elements(docs: DataFrame, schema: T.StructType, paths: list[list[str]]
     return parsed, find_elements(F.col("reply"), schema, paths)
 
 
-def quarantine_malformed(docs: DataFrame, schema: T.StructType, keep: bool = False) -> tuple[DataFrame, DataFrame]:
+def quarantine_malformed(docs: DataFrame, schema: T.StructType, keep: bool | list[str] = False) -> tuple[DataFrame, DataFrame]:
     """(replies that parse, rejects with the reason); no reply stops the job.
 
-    With `keep` the parsed replies are written once for both, without it each side parses when it is read.
+    With `keep` the parsed replies are written once for both, without it each side parses when it is read. Columns given as
+    `keep` are all that the good side has: then neither they nor what is written hold the texts and trees of good replies.
     """
     parsed = namespace_agnostic_tags(docs, schema)
-    parsed = materialize(parsed, "parsed") if keep else parsed
     broken = F.col("reply").isNull() | F.col("reply")[S.CORRUPT].isNotNull()
-    reason = F.when(F.col("xml").isNull(), "missing").when(F.trim("xml") == "", "empty").otherwise("malformed")
+    why = F.when(F.col("xml").isNull(), "missing").when(F.trim("xml") == "", "empty").otherwise("malformed")
+    if isinstance(keep, list):
+        own = [c for c in keep if c not in ("device", "rpc")]
+        told = parsed.select("device", "rpc", *own, F.when(broken, why).alias("_reason"), F.when(broken, F.col("xml")).alias("_payload"))
+        told = materialize(told, "parsed")
+        rejects = told.where("_reason IS NOT NULL").select("device", "rpc", F.col("_reason").alias("reason"), F.col("_payload").alias("payload"))
+        return told.where("_reason IS NULL").select(*keep), rejects
+    parsed = materialize(parsed, "parsed") if keep else parsed
     good = parsed.where(~broken)
-    rejects = parsed.where(broken).select("device", "rpc", reason.alias("reason"), F.col("xml").alias("payload"))
+    rejects = parsed.where(broken).select("device", "rpc", why.alias("reason"), F.col("xml").alias("payload"))
     return good, rejects
 
 

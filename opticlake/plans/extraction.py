@@ -228,7 +228,7 @@ def extract_by_mapping(spark, sf):
              when order_key % 16 = 11 then 'empty' else 'parsed' end as outcome, count(*) as docs
     from t_lanes group by all""")
 def quarantine_malformed(spark, sf):
-    good, rejects = X.quarantine_malformed(V.optics_docs(spark, sf), S.OPTICS_LANE_REPLY, keep=True)
+    good, rejects = X.quarantine_malformed(V.optics_docs(spark, sf), S.OPTICS_LANE_REPLY, keep=["device", "rpc"])
     outcome = good.select("device", "rpc", F.lit("parsed").alias("outcome")).unionByName(
         rejects.select("device", "rpc", F.col("reason").alias("outcome")))
     return outcome.groupBy("device", "rpc", "outcome").agg(F.count("*").alias("docs"))
