@@ -15,8 +15,10 @@ without words has none and no links. Two sets link at a Jaccard similarity of 0.
 * Candidates. Sets under one signature are paired if sizes and positions allow the overlap (all pairs of up to SMALL
   sets; in larger groups each with the first). Larger groups are kept; those that then hold sets of different components
   are compared with their first member, at last with all members of other components. So copies are
-  not expanded to all pairs, and no link between different texts is lost.
-* Verification. The smallest quarter of two sets' hashes bounds what they can share; pairs that pass are intersected.
+  not expanded to all pairs, and no link between different texts is lost. Groups with the same first member, which mostly
+  hold the same documents, are one family there, so that two documents meet once and not under each token that they share.
+* Verification. The smallest quarter of two sets' hashes bounds what they can share, in the last comparison the bits in which
+  bitmaps of the whole sets differ; pairs that pass are intersected.
 
 Equal sets are one node, the smallest doc_id, so exact copies cost nothing. Hot signatures are salted or, where groups
 are compared again, joined in a way that adaptive execution can split.
@@ -53,9 +55,9 @@ FREQUENT = 1 << 18  # most buckets, and most tokens, that are known as frequent:
 SEND_IDS = 1_000_000  # most document numbers that are sent to all executors
 LEAST = 64  # hashes of a set that are compared first, where a quarter of it is less
 FILE_ROWS = 50_000  # rows of a file of a small table
-SEEN_PAIRS = 300_000  # pairs that a task remembers to have looked at
 BIG = 5_000  # most members of a group whose pairs are compared by one task
-PAIR_ROWS = 128  # members of a group that are compared with all before them at once
+PAIR_ROWS = 64  # members of a group that are compared with all others at once
+MOST_BITS = 1 << 15  # of the bitmap of a set
 CHUNK = 200_000  # most rows of a group that a task holds
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -288,6 +290,33 @@ def _tokens(docs: DataFrame, ids: DataFrame, size: int, percent: int, whole: boo
     return materialize(_only(docs, ids, "left_semi").mapInArrow(scan, "doc long, n long, tokens binary"), "jaccard-tokens")
 
 
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    """A set in at least two bits a token, the power of two: its words of 64 bits.
+
+    A bit that is set in one of two bitmaps alone stands for a token that the other set has not.
+    """
+    width = min(MOST_BITS, max(64, 1 << (2 * len(tokens) - 1).bit_length()))
+    bits = np.zeros(width, np.uint8)
+    bits[(tokens & np.uint64(width - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view(np.uint64)
+
+
+def _bitmaps(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """(doc, n, bits) of the documents in distinct ids."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers, out = batch.column("doc_id").to_pylist(), []
+            for row, tokens in shingle_sets(batch.column("text"), size):
+                if len(tokens):
+                    out.append((numbers[row], len(tokens), bitmap(tokens).tobytes()))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.binary())],
+                names=["doc", "n", "bits"])
+
+    return _only(docs, ids, "left_semi").mapInArrow(scan, "doc long, n long, bits binary")
+
+
 def _held(df: DataFrame, label: str, most: int) -> DataFrame:
     """A table of at most so many rows, in few files where that is little."""
     return materialize(df.coalesce(1 + most // FILE_ROWS), label) if most < 20 * FILE_ROWS else materialize(df, label)
@@ -332,7 +361,7 @@ def _compare(pairs: DataFrame, held: DataFrame, percent: int, whole: bool) -> Da
     return materialize(both.select("a", "b", "n", "x", "m", "y").mapInArrow(scan, "a long, b long"), "jaccard-compared")
 
 
-def _regroup(kept: DataFrame, labels: DataFrame, quarters: DataFrame, how: str, percent: int) -> DataFrame:
+def _regroup(kept: DataFrame, labels: DataFrame, texts: DataFrame, how: str, size: int, percent: int) -> DataFrame:
     """Pairs of different components in the groups that still hold some: with the first member, or all that may be similar."""
     rows = join_per_key(kept, labels.withColumnRenamed("node", "doc"), ["doc"]).withColumn("label", F.coalesce("label", "doc"))
     rows = materialize(rows.select("sig", "doc", "meta", "label"), "jaccard-kept")
@@ -342,7 +371,24 @@ def _regroup(kept: DataFrame, labels: DataFrame, quarters: DataFrame, how: str,
         both = join_per_key(rows, mixed.select("sig", F.col("_c.doc").alias("_d"), F.col("_c.meta").alias("_m"), F.col("_c.label").alias("_l")), ["sig"], "inner").where("label <> _l")
         return _fitting(both, percent)
     rows = materialize(join_per_key(rows, mixed.select("sig", "_n", F.col("_c.doc").alias("first")), ["sig"], "inner"), "jaccard-mixed")
-    return _pairs_within(join_per_key(rows, quarters, ["doc"], "inner"), percent).distinct()
+    members = materialize(_families(rows), "jaccard-families")
+    ids = materialize(members.select(F.col("doc").alias("doc_id")).distinct(), "jaccard-ids")
+    return _pairs_within(join_per_key(members, _bitmaps(texts, ids, size), ["doc", "n"], "inner"), percent).distinct()
+
+
+def _families(rows: DataFrame) -> DataFrame:
+    """(first, sig, _n, doc, n, meta, label): groups with the same first member as one, sig 0, where that makes fewer pairs.
+
+    The most that a member can share there is the most under any of its signatures.
+    """
+    rows = rows.withColumn("n", F.shiftright("meta", 32))
+    each = rows.groupBy("first").agg(F.sum("_n").alias("_each"))  # the sum of the squares of the sizes of its groups
+    members = rows.groupBy("first", "doc", "n").agg(F.max("meta").alias("meta"), F.max("label").alias("label"))
+    sizes = members.groupBy("first").agg(F.count("*").alias("_all")).join(each, "first")
+    sizes = materialize(sizes.withColumn("_one", F.col("_all") * F.col("_all") <= F.col("_each")), "jaccard-sizes")
+    as_one = sizes.where("_one").select("first", F.col("_all").alias("_n"))
+    apart = join_per_key(rows, sizes.where("NOT _one").select("first", "_one"), ["first"], "inner").drop("_one")
+    return join_per_key(members, as_one, ["first"], "inner").withColumn("sig", F.lit(0).cast("long")).unionByName(apart)
 
 
 def _fitting(both: DataFrame, percent: int) -> DataFrame:
@@ -353,57 +399,73 @@ def _fitting(both: DataFrame, percent: int) -> DataFrame:
     return both.where(fits).select(F.least("doc", "_d").alias("a"), F.greatest("doc", "_d").alias("b")).distinct()
 
 
+def _far(own: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """In how many bits each of some bitmaps differs from each of others; a row is a bitmap."""
+    out = np.zeros((len(own), len(other)), np.uint16)
+    for x, y in zip(own.T, np.ascontiguousarray(other.T), strict=True):
+        out += np.bitwise_count(x[:, None] ^ y)
+    return out
+
+
 def _pairs_within(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components within groups that may be similar by sizes, positions and least hashes.
+    """Pairs (a, b) of different components within groups (first, sig) that may be similar by sizes, positions and bitmaps.
 
-    Groups with the same first member mostly hold the same documents: they go to the same few tasks, each of which
-    looks at a pair once. The members of a group of more than BIG are dealt into blocks of half that size by a hash, and
-    each pair of blocks is compared by itself, so no task holds more than BIG of them.
+    The members of a group of more than BIG are dealt into blocks of half that size by a hash, and each pair of blocks is
+    compared by itself, so no task holds more than BIG of them.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
-        # Pairs that were looked at, as numbers of their members in the order in which this task met them.
-        met: dict[int, int] = {}
-        seen = np.zeros(0, np.int64)
 
-        def group(part: pa.Table) -> Iterator[tuple[int, int]]:
-            nonlocal seen
+        def group(part: pa.Table) -> Iterator[np.ndarray]:
             doc, meta, label, n, block = (part[c].to_numpy() for c in ("doc", "meta", "label", "n", "block"))
             across = part["low"][0].as_py() != part["high"][0].as_py()
-            if len(seen) > SEEN_PAIRS:
-                met.clear()
-                seen = seen[:0]
-            own = np.array([met.setdefault(d, len(met)) for d in doc.tolist()], np.int64)
-            tokens = [np.frombuffer(t, np.uint32) for t in part["tokens"].to_pylist()]
-            for at in range(0, len(doc), PAIR_ROWS):
-                end = min(at + PAIR_ROWS, len(doc))
-                left, right = slice(0, end), (slice(at, end), None)
-                good = (label[left] != label[right]) & _may_link(meta[left], meta[right], percent) & (doc[left] != doc[right])
-                good &= (np.arange(end) < np.arange(at, end)[:, None]) & ((block[left] != block[right]) if across else True)
-                j, i = np.nonzero(good)
-                j += at
-                key, once = np.unique((np.minimum(own[i], own[j]) << np.int64(32)) + np.maximum(own[i], own[j]), return_index=True)
-                new = ~np.isin(key, seen)
-                seen = np.union1d(seen, key[new])
-                for x, y in zip(i[once[new]].tolist(), j[once[new]].tolist(), strict=True):
-                    if (100 + percent) * _most_shared(n[x], tokens[x], n[y], tokens[y]) >= percent * (n[x] + n[y]):
-                        yield min(doc[x], doc[y]), max(doc[x], doc[y])
+            bits = part["bits"].to_pylist()
+            words = np.array([len(x) // 8 for x in bits])
+            before, maps = np.zeros(0, np.int64), np.zeros((0, 0), np.uint64)  # rows of half the width, and their bitmaps
+            for width in np.unique(words):
+                rows = np.flatnonzero(words == width)
+                own = np.frombuffer(b"".join(bits[i] for i in rows), np.uint64).reshape(len(rows), width)
+                # Sets of a fourth of the width are too small to be similar.
+                shorter = own[:, : width // 2] | own[:, width // 2 :] if maps.shape[1] * 2 == width else None
+                for at in range(0, len(rows), PAIR_ROWS):
+                    some = slice(at, at + PAIR_ROWS)
+                    sides = [(rows[: at + PAIR_ROWS], own[some], own[: at + PAIR_ROWS])]
+                    if shorter is not None:
+                        sides.append((before, shorter[some], maps))
+                    for others, left, right in sides:
+                        i, j = rows[some, None], others
+                        good = (label[i] != label[j]) & (doc[i] != doc[j]) & _may_link(meta[i], meta[j], percent)
+                        if others is not before:
+                            good &= j < i
+                        if across:
+                            good &= block[i] != block[j]
+                        if good.any():
+                            both = n[i] + n[j]
+                            good &= (100 + percent) * (both - _far(left, right)) >= 2 * percent * both
+                            x, y = np.nonzero(good)
+                            x, y = doc[rows[some][x]], doc[others[y]]
+                            yield np.stack([np.minimum(x, y), np.maximum(x, y)])
+                before, maps = rows, own
 
         def edges(part: pa.Table) -> np.ndarray:
             """First rows of groups, but for the first group."""
-            sig, low, high = (part[c].to_numpy() for c in ("sig", "low", "high"))
-            return np.flatnonzero((sig[1:] != sig[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])) + 1
+            change = np.zeros(part.num_rows - 1, bool)
+            for c in ("first", "sig", "low", "high"):
+                own = part[c].to_numpy()
+                change |= own[1:] != own[:-1]
+            return np.flatnonzero(change) + 1
 
         def flush(part: pa.Table) -> pa.RecordBatch:
             edge = [0, *edges(part).tolist(), part.num_rows]
-            found = [pair for a, b in zip(edge[:-1], edge[1:], strict=True) for pair in group(part.slice(a, b - a))]
-            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], names=["a", "b"])
+            found = [pairs for a, b in zip(edge[:-1], edge[1:], strict=True) for pairs in group(part.slice(a, b - a))]
+            pairs = np.unique(np.concatenate([np.zeros((2, 0), np.int64), *found], 1), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
         for batch in batches:
             part = pa.Table.from_batches([batch])
             part = part if held is None else pa.concat_tables([held, part])
-            change = edges(part)
+            change = edges(part) if part.num_rows else []
             cut = int(change[-1]) if len(change) else 0  # the last group may go on in the next batch
             if cut:
                 yield flush(part.slice(0, cut))
@@ -416,8 +478,8 @@ def _pairs_within(rows: DataFrame, percent: int) -> DataFrame:
     sides = F.transform(F.sequence(F.lit(0), blocks - 1), lambda x: F.struct(F.least(x, F.col("block")).alias("low"), F.greatest(x, F.col("block")).alias("high")))
     own = own.where(F.col("_n") <= BIG).withColumns({"block": F.lit(0), "low": F.lit(0), "high": F.lit(0)}).unionByName(
         own.where(F.col("_n") > BIG).withColumn("_s", F.explode(sides)).withColumns({"low": F.col("_s.low"), "high": F.col("_s.high")}).drop("_s"))
-    wanted = own.select("first", F.pmod("sig", F.lit(4)).alias("part"), "sig", "low", "high", "block", "doc", "meta", "label", "n", "tokens")
-    dealt = wanted.repartition("first", "part", "low", "high").sortWithinPartitions("first", "part", "sig", "low", "high")
+    wanted = own.select("first", "sig", "low", "high", "block", "doc", "meta", "label", "n", "bits")
+    dealt = wanted.repartition("first", "sig", "low", "high").sortWithinPartitions("first", "sig", "low", "high")
     return dealt.mapInArrow(scan, "a long, b long")
 
 
@@ -468,7 +530,7 @@ def similar_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     links = materialize(links.unionByName(verify(tried)), "jaccard-links")
     labels = connected_components(links)
     for how in ("first", "all"):
-        more = _regroup(kept, labels, quarters, how, percent).join(tried, ["a", "b"], "left_anti")
+        more = _regroup(kept, labels, texts, how, size, percent).join(tried, ["a", "b"], "left_anti")
         more = materialize(more, "jaccard-more")
         if more.isEmpty():
             continue

@@ -104,3 +104,50 @@ def test_bound_from_least_hashes():
         x, y = (np.sort(rng.choice(pool, int(rng.integers(1, 50)), replace=False)) for _ in range(2))
         low, high = ((v[: int(rng.integers(1, len(v) + 1))] >> np.uint64(32)).astype(np.uint32) for v in (x, y))
         assert jaccard._most_shared(len(x), low, len(y), high) >= len(np.intersect1d(x, y))
+
+
+def test_documents_of_a_family_meet_once(spark):
+    """Sixty documents under fifty common tokens each are compared as one group; groups that share only their first member are not."""
+    rows = [(sig, 60, 0, doc, (100 << 32) + sig, doc) for sig in range(1, 51) for doc in range(60)]
+    rows += [(sig, 2, 1000, doc, (100 << 32) + 90, doc) for sig in range(100, 110) for doc in (1000, 1000 + sig)]
+    found = jaccard._families(spark.createDataFrame(rows, "sig long, _n long, first long, doc long, meta long, label long"))
+    family = found.where("first = 0").collect()
+    assert sorted((r["doc"], r["sig"], r["_n"], r["n"], r["meta"]) for r in family) == [(d, 0, 60, 100, (100 << 32) + 50) for d in range(60)]
+    assert sorted((r["sig"], r["doc"]) for r in found.where("first = 1000").collect()) == sorted(
+        (sig, doc) for sig in range(100, 110) for doc in (1000, 1000 + sig))
+
+
+def test_bitmaps_bound_the_difference():
+    rng = np.random.default_rng(6)
+    for n in (1, 30, 31, 64, 500, 20_000, 40_000):
+        tokens = np.unique(rng.integers(0, 2**64, 2 * n, dtype=np.uint64))
+        x, y = tokens[: n], np.concatenate([tokens[n // 8 : n], tokens[n : n + n // 9]])
+        left, right = (jaccard.bitmap(v) for v in (x, y))
+        if len(left) != len(right):  # the wider one is folded
+            left, right = (v if len(v) == min(len(left), len(right)) else v[: len(v) // 2] | v[len(v) // 2 :] for v in (left, right))
+        differ = len(np.setxor1d(x, y))
+        assert (differ == 0 or differ // 4 <= jaccard._far(left[None], right[None])[0, 0]) and jaccard._far(left[None], right[None])[0, 0] <= differ
+
+
+@pytest.mark.parametrize("big", [5_000, 12])
+def test_pairs_within_families_equal_brute_force(spark, monkeypatch, big):
+    """Near-threshold texts of many sizes, in one task or dealt into blocks: every similar pair of different components is given."""
+    monkeypatch.setattr(jaccard, "BIG", big)
+    monkeypatch.setattr(jaccard, "PAIR_ROWS", 8)
+    rng, rows, sets = random.Random(8), [], {}
+    for base in (40, 300):
+        words = [rng.randrange(2**64) for _ in range(base)]
+        for _ in range(40):
+            own = set(words[rng.randrange(base // 4) :]) | {rng.randrange(2**64) for _ in range(rng.randrange(1 + base // 6))}
+            sets[len(sets)] = np.array(sorted(own), np.uint64)
+    for doc, tokens in sets.items():
+        rows.append((0, 0, 80, doc, len(tokens), (len(tokens) << 32) + len(tokens), doc // 2, bytearray(jaccard.bitmap(tokens).tobytes())))
+    frame = spark.createDataFrame(rows, "first long, sig long, _n long, doc long, n long, meta long, label long, bits binary")
+    found = {(r["a"], r["b"]) for r in jaccard._pairs_within(frame, 75).collect()}
+
+    def alike(x, y):
+        shared = len(np.intersect1d(sets[x], sets[y]))
+        return 100 * shared >= 75 * (len(sets[x]) + len(sets[y]) - shared)
+
+    want = {(x, y) for x in sets for y in sets if x < y and x // 2 != y // 2 and alike(x, y)}
+    assert want and want <= found and all(x // 2 != y // 2 and x < y for x, y in found)
