@@ -92,3 +92,17 @@ def test_placeholders_profile_status(spark):
 def test_run_time_columns(spark):
     df = spark.createDataFrame([(1706342400 + 5 * 3600,)], "timestamp long")
     assert fn.run_time_columns(df).first()[1:] == ("2024-01-27T13:00:00Z", "2024-01-27", "13")
+
+
+def test_short_way_for_plain_numbers_reads_the_same(spark):
+    """Odd texts are none of its business: each gives what the long way gives."""
+    from opticlake.functions import text as X
+
+    rows = ["5", "+5.25 V", "-0", "-.5", ".5", "1.", ".", "", " ", " 7", "7\t8", "7\n", "7\x01", "\x017", "1d", "2F", "0x1p3", "1_000", "1e3", "1E-2x", "- Inf", "-inf",
+            "+nan", "Infinity", "12,5", "1.2.3", "--1", "\u0663", "5\u00a0C", "9" * 400, None]
+    df = spark.createDataFrame([(t,) for t in rows], "t string")
+    for short, end in ((X.parse_numeric_units, X._FIRST_WORD), (X.parse_number, X._WHOLE)):
+        found = df.select("t", short("t").alias("a"), X._number(F.col("t"), end).alias("b")).collect()
+        assert [(r["t"], str(r["a"])) for r in found] == [(r["t"], str(r["b"])) for r in found]
+    held = df.select(X._plain_or(F.col("t"), F.col("t"), X._WHOLE).alias("a")).collect()
+    assert [str(r["a"]) for r in held[:6]] == ["5.0", "None", "-0.0", "-0.5", "0.5", "1.0"]
